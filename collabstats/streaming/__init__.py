@@ -1,0 +1,5 @@
+"""Streaming.
+
+The reference is batch only: it has no stream sources, watermarks, windows
+over event time, or state.  Nothing is built here; see README ("Not built").
+"""
