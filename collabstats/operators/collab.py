@@ -2,29 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from collabstats.operators.expand import expand_countries
 from collabstats.schemas import MISSING_COUNTRY, US
 
 
-def _known_authors(commits_yearly: DataFrame, users: DataFrame, year: int, missing: str) -> DataFrame:
-    """(branch, author_id, country) of the year's commits by known users (inner join, J1).
+def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
+                     missing: str = MISSING_COUNTRY) -> DataFrame:
+    """(branch, country, n_users) for the year's commits by known users.
 
-    The year filter is pushed into the commits scan (partition pruning when the
-    table is written partitioned by `commit_year`).
-    """
-    commits = commits_yearly.where(F.col("commit_year") == year).select("branch", "author_id")
-    ux = expand_countries(users, missing).select(F.col("id").alias("author_id"), "country")
-    return commits.join(ux, on="author_id", how="inner")
+    One row per distinct (branch, country) plus one marker row per branch
+    (country NULL); every row carries n_users, the number of distinct known
+    authors of the branch.  Built as one chain:
 
+    * users side, once per id: the set of the user's countries (bounded by
+      the country domain), so the join emits one row per commit row;
+    * inner join of the year's commits to it (J1); the year filter prunes the
+      partitioned commits table;
+    * explode each author's countries plus a NULL marker and count per
+      (branch, country) with map-side partial aggregation, so a branch with
+      millions of authors is a few rows after the shuffle;
+    * n_users from the marker row through a window by branch, over at most
+      (number of countries + 1) rows per branch.
 
-def _users_per_branch(joined: DataFrame) -> DataFrame:
-    """(branch, n_users): distinct known authors per branch, without a DISTINCT
-    aggregate (dedupe on (branch, author) reuses the join's author partitioning,
-    then a partially aggregated count by branch)."""
-    return joined.select("branch", "author_id").distinct().groupBy("branch").agg(F.count(F.lit(1)).alias("n_users"))
+    Precondition: the commits are distinct on (branch, author_id, commit_year),
+    as the yearly table is.
+    """
+    commits = commits_yearly.where(F.col("commit_year") == year).select("branch", "author_id")
+    per_id = expand_countries(users, missing).groupBy(F.col("id").alias("author_id")) \
+        .agg(F.collect_set("country").alias("_cs"))
+    elems = commits.join(per_id, on="author_id", how="inner").select(
+        "branch", F.explode(F.concat("_cs", F.array(F.lit(None).cast("string")))).alias("country")
+    )
+    counts = elems.groupBy("branch", "country").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.withColumn(
+        "n_users", F.max(F.when(F.col("country").isNull(), F.col("_n"))).over(Window.partitionBy("branch"))
+    ).drop("_n")
 
 
 def collaborations_by_country(commits_yearly: DataFrame, users: DataFrame, year: int,
@@ -32,40 +47,28 @@ def collaborations_by_country(commits_yearly: DataFrame, users: DataFrame, year:
                               missing: str = MISSING_COUNTRY) -> DataFrame:
     """Per foreign country, distinct branches of three kinds of collaboration.
 
-    Per branch (only known users count): n_users, has_home, and the set of
-    foreign (not home, not missing) countries.  Then
-      with home      = has_home and n_users > 1 and >= 1 foreign country
-      with non-home  = n_users > 1 and >= 2 foreign countries
-      excluding home = not has_home and n_users > 1 and >= 2 foreign countries
+    Per branch (only known users count): n_users, has_home, n_foreign =
+    distinct countries that are neither home nor missing.  Then
+      with home      = has_home and n_users > 1 and n_foreign >= 1
+      with non-home  = n_users > 1 and n_foreign >= 2
+      excluding home = not has_home and n_users > 1 and n_foreign >= 2
     Only foreign countries are rows; a country with all three counts 0 is
     absent.  Top n by `collaborations_with_us`, ties broken by name (T10).
-
-    One aggregation by branch produces the profile; the foreign-country set per
-    branch is bounded by the number of countries.
     """
-    joined = _known_authors(commits_yearly, users, year, missing)
-    foreign = (F.col("country") != home) & (F.col("country") != missing)
-    profile = (
-        joined.select("branch", "country").distinct()
-        .groupBy("branch")
-        .agg(
-            F.max(F.col("country") == home).alias("has_home"),
-            F.collect_set(F.when(foreign, F.col("country"))).alias("foreign"),
-        )
-        .join(_users_per_branch(joined).where(F.col("n_users") > 1), on="branch")
-        .where(F.size("foreign") >= 1)
-    )
-    n_foreign = F.size("foreign")
-    flags = profile.select(
-        F.explode("foreign").alias("country"),
-        F.col("has_home").cast("int").alias("with_home"),
-        (n_foreign > 1).cast("int").alias("with_non_home"),
-        ((~F.col("has_home")) & (n_foreign > 1)).cast("int").alias("excl_home"),
-    )
-    out = flags.groupBy("country").agg(
-        F.sum("with_home").cast("bigint").alias("collaborations_with_us"),
-        F.sum("with_non_home").cast("bigint").alias("collaborations_with_non_us"),
-        F.sum("excl_home").cast("bigint").alias("collaborations_non_us_excl_us"),
+    bc = branch_countries(commits_yearly, users, year, missing)
+    country = F.col("country")
+    foreign = (country != home) & (country != missing)
+    by_branch = Window.partitionBy("branch")
+    profiled = bc.select(
+        "branch", "country", "n_users", foreign.alias("_foreign"),
+        F.max(country == home).over(by_branch).alias("has_home"),
+        F.count(F.when(foreign, F.lit(1))).over(by_branch).alias("n_foreign"),
+    ).where(F.col("_foreign") & (F.col("n_users") > 1))
+    multi = F.col("n_foreign") > 1
+    out = profiled.groupBy("country").agg(
+        F.count(F.when(F.col("has_home"), F.lit(1))).alias("collaborations_with_us"),
+        F.count(F.when(multi, F.lit(1))).alias("collaborations_with_non_us"),
+        F.count(F.when(~F.col("has_home") & multi, F.lit(1))).alias("collaborations_non_us_excl_us"),
     ).where(
         (F.col("collaborations_with_us") + F.col("collaborations_with_non_us")
          + F.col("collaborations_non_us_excl_us")) > 0
@@ -83,16 +86,14 @@ def codeveloped_pairs(commits_yearly: DataFrame, users: DataFrame, year: int,
     dropping that label before pairing because users were counted first.
 
     Pairs are generated once per distinct *country combination*, not per
-    branch: branches are first reduced to their sorted country set (bounded by
-    the number of countries), the sets are counted, and each distinct set emits
+    branch: each branch is reduced to its sorted country set (bounded by the
+    number of countries), the sets are counted, and each distinct set emits
     its pairs weighted by that count.  Byte order decides which country is
     listed first (T13).
     """
-    joined = _known_authors(commits_yearly, users, year, missing)
+    bc = branch_countries(commits_yearly, users, year, missing)
     sets = (
-        joined.where(F.col("country") != missing).select("branch", "country").distinct()
-        .join(_users_per_branch(joined).where(F.col("n_users") >= min_users).select("branch"),
-              on="branch", how="left_semi")
+        bc.where(F.col("country").isNotNull() & (F.col("country") != missing) & (F.col("n_users") >= min_users))
         .groupBy("branch").agg(F.array_sort(F.collect_set("country")).alias("countries"))
         .where(F.size("countries") >= 2)
         .groupBy("countries").agg(F.count(F.lit(1)).alias("n_branches"))

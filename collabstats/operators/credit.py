@@ -2,119 +2,97 @@
 
 Each kept repository (branch) is worth 1: every distinct author gets
 1/n_users, split equally over the author's distinct attribute values
-(countries, or country × sector combinations).
-
-Formulation (no DISTINCT windows, no window partitioned by branch):
-
-1. left-join commits to the expanded users on the author id (the join output
-   is hash-partitioned by author, so the per-(branch, author) aggregation
-   that follows needs no further shuffle);
-2. per (branch, author[, year]): the set of attribute values (bounded by the
-   attribute domains, e.g. <= number of countries) and whether the author
-   matched a user;
-3. explode the set with weight 1/|set| and pre-aggregate to
-   (branch[, year], values) with map-side partial aggregation, so a hot branch
-   collapses to one row per value before the shuffle;
-4. per branch: number of authors (and the first year), again with partial
-   aggregation; join the two on branch, where both sides are now at most a
-   few rows per branch;
-5. credit = weight / n_users.
+(countries, or country x sector combinations).
+
+The computation is one chain of operators, so the large commits x users join
+runs once per report and nothing is consumed twice:
+
+1. users side, once per user id: the distinct value combinations and the
+   weight w = 1 / prod(|distinct values of each attribute|) - an author's
+   split depends only on the user, not on the branch, so it is computed on
+   the (smaller) user table, one row per id, like a dimension;
+2. left-join the commits to it on the author id (one output row per commit
+   row); unmatched authors get the labels with weight 1;
+3. explode each row into its combinations plus one *marker* element (all
+   values NULL, weight 1) that counts the author, and pre-aggregate to
+   (branch[, year], values) with map-side partial aggregation, so a hot
+   branch collapses to one row per value (and one marker per year) before it
+   is shuffled;
+4. a window partitioned by branch over those few rows gives the branch's
+   first year, whether any author matched a user, and n_users (the marker
+   weight of the first year) - no join back, no DISTINCT window;
+5. credit = w / n_users; the marker row carries n_users x 1/n_users, the
+   branch's contribution to "Total Repos".
+
+Precondition: `commits` is distinct on (branch, author_id[, year]) - true for
+the yearly, first-participation and merged tables this package writes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _join_users(commits: DataFrame, users_x: DataFrame, dims: Sequence[str], labels: Sequence[str]) -> DataFrame:
-    """Left join commits to expanded users; unmatched authors get the labels."""
-    ux = users_x.select(F.col("id").alias("author_id"), *dims, F.lit(True).alias("_matched"))
-    j = commits.join(ux, on="author_id", how="left")
-    return j.select(
-        *[c for c in commits.columns],
-        *[F.coalesce(F.col(d), F.lit(lbl)).alias(d) for d, lbl in zip(dims, labels)],
-        F.coalesce(F.col("_matched"), F.lit(False)).alias("matched"),
-    )
-
+def user_splits(users_x: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """(id, elements): per user id, an array of (*dims, w) structs - each
+    distinct value combination with weight w = 1 / prod(number of distinct
+    values per attribute) - followed by the marker (dims NULL, w = 1).
 
-def _per_author(joined: DataFrame, keys: Sequence[str], dims: Sequence[str]) -> DataFrame:
-    """Per (keys..., author): the distinct value combinations, their weight
-    w = 1 / prod(|distinct values of each dim|), and whether the author matched.
-
-    The sets are bounded by the attribute domains (countries, sectors).
+    Duplicate user rows merge, as the reference's per-(branch, author)
+    distinct counts merge them.  Sets are bounded by the attribute domains.
+    Everything per-user is computed here, on the user table, so the large
+    side of the join only explodes the array.
     """
-    combo = F.struct(*[F.col(d) for d in dims])
-    per_author = joined.groupBy(*keys, "author_id").agg(
-        F.collect_set(combo).alias("_combos"),
+    per_id = users_x.groupBy("id").agg(
+        F.collect_set(F.struct(*[F.col(d) for d in dims])).alias("_combos"),
         *[F.size(F.collect_set(d)).alias(f"_n_{d}") for d in dims],
-        F.max("matched").alias("matched"),
     )
     denom: Column = F.lit(1.0)
     for d in dims:
         denom = denom * F.col(f"_n_{d}")
-    return per_author.select(*keys, "author_id", "matched", "_combos", (F.lit(1.0) / denom).alias("w"))
+    weighted = F.transform("_combos", lambda c: F.struct(*[c[d].alias(d) for d in dims], (F.lit(1.0) / denom).alias("w")))
+    return per_id.select("id", F.concat(weighted, _marker(dims)).alias("elements"))
 
 
-def _cells(per_author: DataFrame, keys: Sequence[str], dims: Sequence[str]) -> DataFrame:
-    """Explode each author's combinations and pre-aggregate to (keys..., dims) -> sum(w)."""
-    exploded = per_author.select(*keys, "w", F.explode("_combos").alias("_c"))
-    return exploded.groupBy(*keys, *[F.col(f"_c.{d}").alias(d) for d in dims]).agg(F.sum("w").alias("w"))
+def _marker(dims: Sequence[str]) -> Column:
+    return F.array(F.struct(*[F.lit(None).cast("string").alias(d) for d in dims], F.lit(1.0).alias("w")))
 
 
-def single_year_credit(commits_year: DataFrame, users_x: DataFrame, dims: Sequence[str],
-                       labels: Sequence[str]) -> DataFrame:
-    """(branch, *dims, credit) for one year's (branch, author_id) commits.
+def credit_cells(commits: DataFrame, users_x: DataFrame, dims: Sequence[str], labels: Sequence[str],
+                 year_col: str | None = None) -> DataFrame:
+    """Per kept branch: (branch[, year], *dims, credit, is_total).
 
-    Branches with no matched author are dropped; unmatched authors still take
-    their share, under the labels (C12).
+    `commits` holds (branch, author_id[, year_col]).  With `year_col`, a
+    branch belongs to its earliest year and only that year's authors share
+    its credit (first-year rule); without it all authors share.  A branch is
+    kept if any of its authors - in any year - matched a user (T15).
+    `is_total` rows (dims NULL) carry the branch's total, n_users x 1/n_users.
     """
-    joined = _join_users(commits_year.select("branch", "author_id"), users_x, dims, labels)
-    per_author = _per_author(joined, ["branch"], dims)
-    per_branch = _cells(per_author, ["branch"], dims)
-    authors = (
-        per_author.groupBy("branch").agg(F.count(F.lit(1)).alias("n_users"), F.max("matched").alias("kept"))
-        .where("kept")
-    )
-    return per_branch.join(authors, on="branch").select(
-        "branch", *dims, (F.col("w") / F.col("n_users")).alias("credit")
-    )
-
-
-def first_year_credit(first_commits: DataFrame, users_x: DataFrame, dims: Sequence[str],
-                      labels: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """First-year credit over all years.
-
-    A branch is kept if any author in any year matched a user (trap T15); it
-    belongs to its earliest year, and only the authors of that year share its
-    credit.  Returns
-      cells:    (year, *dims, credit) pre-aggregated per branch, still one row
-                per (branch, year, dims) - sum it by whatever keys a report needs;
-      branches: (branch, year, n_users) for the kept branches.
-    """
-    fc = first_commits.select("branch", "author_id", F.col("min_commit_year").alias("year"))
-    joined = _join_users(fc, users_x, dims, labels)
-    per_author = _per_author(joined, ["branch", "year"], dims)
-    per_branch_year = _cells(per_author, ["branch", "year"], dims)
-    by_year = (
-        per_author.groupBy("branch", "year").agg(F.count(F.lit(1)).alias("n_auth"), F.max("matched").alias("m"))
-    )
-    branches = (
-        by_year.groupBy("branch")
-        .agg(F.min(F.struct("year", "n_auth")).alias("_first"), F.max("m").alias("kept"))
-        .where("kept")
-        .select("branch", F.col("_first.year").alias("year"), F.col("_first.n_auth").alias("n_users"))
-    )
-    cells = per_branch_year.join(branches, on=["branch", "year"]).select(
-        "branch", "year", *dims, (F.col("w") / F.col("n_users")).alias("credit")
-    )
-    return cells, branches
-
+    keys = ["branch"] + ([year_col] if year_col else [])
+    splits = user_splits(users_x, dims).withColumnRenamed("id", "author_id")
+    joined = commits.select("author_id", *keys).join(splits, on="author_id", how="left")
 
-def total_repos_by_year(branches: DataFrame) -> DataFrame:
-    """`Total Repos`: per first year, the sum over kept branches of n_users x 1/n_users."""
-    return branches.groupBy("year").agg(
-        F.sum(F.col("n_users") * (F.lit(1.0) / F.col("n_users"))).alias("value")
+    unmatched = F.concat(
+        F.array(F.struct(*[F.lit(lbl).alias(d) for d, lbl in zip(dims, labels)], F.lit(1.0).alias("w"))),
+        _marker(dims),
     )
+    elements = joined.select(
+        *keys, F.col("elements").isNotNull().alias("matched"),
+        F.explode(F.coalesce(F.col("elements"), unmatched)).alias("_e"),
+    ).select(*keys, "matched", *[F.col(f"_e.{d}").alias(d) for d in dims], F.col("_e.w").alias("w"))
+
+    cells = elements.groupBy(*keys, *dims).agg(F.sum("w").alias("w"), F.max("matched").alias("matched"))
+    by_branch = Window.partitionBy("branch")
+    is_total = F.col(dims[0]).isNull()
+    kept = cells.withColumn("_kept", F.max("matched").over(by_branch))
+    if year_col:
+        kept = kept.withColumn("_first", F.min(year_col).over(by_branch))
+        kept = kept.where(F.col("_kept") & (F.col(year_col) == F.col("_first")))
+    else:
+        kept = kept.where(F.col("_kept"))
+    with_n = kept.withColumn("_n", F.max(F.when(is_total, F.col("w"))).over(by_branch))
+    credit = F.when(is_total, F.col("_n") * (F.lit(1.0) / F.col("_n"))).otherwise(F.col("w") / F.col("_n"))
+    return with_n.select(*keys, *dims, credit.alias("credit"), is_total.alias("is_total"))

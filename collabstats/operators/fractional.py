@@ -1,4 +1,9 @@
-"""Fractional repository counts."""
+"""Fractional repository counts.
+
+Every report is a single chain: credit cells (see `credit`) -> each cell is
+exploded into the report rows it contributes to -> one aggregation with one
+conditional sum per year (the pivot).  Nothing is computed twice.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from collabstats.operators.credit import first_year_credit, single_year_credit, total_repos_by_year
-from collabstats.operators.expand import expand_countries, expand_country_sector
-from collabstats.plans.report import order_rows, pivot_years, recode
 from collabstats.functions.numeric import round_half_even
+from collabstats.operators.credit import credit_cells
+from collabstats.operators.expand import expand_countries, expand_country_sector
+from collabstats.plans.report import contributions, order_rows, recode, year_sums
 from collabstats.schemas import (
     MISSING,
     MISSING_COUNTRY,
@@ -30,15 +35,20 @@ def fractional_repos_by_country(commits_yearly: DataFrame, users: DataFrame, yea
     label; only branches with >= 1 matched user are kept.  The grand total
     equals the number of kept branches.
     """
-    commits = commits_yearly.where(F.col("commit_year") == year)
-    ux = expand_countries(users, missing)
-    credit = single_year_credit(commits, ux, ["country"], [missing])
+    commits = commits_yearly.where(F.col("commit_year") == year).select("branch", "author_id")
+    cells = credit_cells(commits, expand_countries(users, missing), ["country"], [missing])
     return (
-        credit.groupBy("country").agg(F.sum("credit").alias("total_repositories"))
+        cells.where(~F.col("is_total"))
+        .groupBy("country").agg(F.sum("credit").alias("total_repositories"))
         .orderBy(F.desc("total_repositories"), "country")
     )
 
 
+def _first_year_cells(first_commits: DataFrame, users_x: DataFrame, dims, labels) -> DataFrame:
+    commits = first_commits.select("branch", "author_id", F.col("min_commit_year").alias("year"))
+    return credit_cells(commits, users_x, dims, labels, year_col="year")
+
+
 def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years: Sequence[int] = REPORT_YEARS,
                              home: str = US, missing: str = MISSING, unclassified: str = UNCLASSIFIED) -> DataFrame:
     """First-year fractional credit by sector and year.
@@ -46,29 +56,22 @@ def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years:
     Rows: Total Repos; Total (Global) = neither home nor missing; Total (US);
     home credit by sector (recoded); Total (Missing Country).  Values are
     rounded half-to-even; every year of `years` is a column (0 when absent).
-
-    All rows except Total Repos come from one small cube
-    (year, country class, sector) -> credit, computed once.
+    A home cell counts toward Total (US) and toward its sector row.
     """
     ux = expand_country_sector(users, missing, unclassified)
-    cells, branches = first_year_credit(first_commits, ux, ["country_val", "sector_val"], [missing, unclassified])
-    cls = (F.when(F.col("country_val") == home, F.lit("home"))
-           .when(F.col("country_val") == missing, F.lit("missing"))
-           .otherwise(F.lit("global")))
-    cube = cells.groupBy("year", cls.alias("cls"), "sector_val").agg(F.sum("credit").alias("value"))
-    by_class = cube.groupBy("year", "cls").agg(F.sum("value").alias("value"))
-    class_label = (F.when(F.col("cls") == "home", F.lit("Total (US)"))
-                   .when(F.col("cls") == "global", F.lit("Total (Global)"))
-                   .otherwise(F.lit("Total (Missing Country)")))
-    recode_expr = recode(F.col("sector_val"), SECTOR_RECODE)
-    blocks = (
-        total_repos_by_year(branches).select("year", F.lit("Total Repos").alias("sector"), "value")
-        .unionByName(by_class.select("year", class_label.alias("sector"), "value"))
-        .unionByName(cube.where(F.col("cls") == "home")
-                     .select("year", recode_expr.alias("sector"), "value"))
+    cells = _first_year_cells(first_commits, ux, ["country_val", "sector_val"], [missing, unclassified])
+    # Small cube first (year x class x sector), then each cube row adds to its report rows.
+    cube = cells.groupBy("year", "is_total", "country_val", "sector_val").agg(F.sum("credit").alias("credit"))
+    country = F.col("country_val")
+    labels = (
+        F.when(F.col("is_total"), F.array(F.lit("Total Repos")))
+        .when(country == home, F.array(F.lit("Total (US)"), recode(F.col("sector_val"), SECTOR_RECODE)))
+        .when(country == missing, F.array(F.lit("Total (Missing Country)")))
+        .otherwise(F.array(F.lit("Total (Global)")))
     )
-    wide = pivot_years(blocks, ["sector"], "year", "value", years)
-    report = wide.select("sector", *[round_half_even(F.col(str(y))).alias(str(y)) for y in years])
+    rows = cube.select("year", "credit", F.explode(labels).alias("sector"))
+    wide = rows.groupBy("sector").agg(*year_sums("credit", "year", years))
+    report = wide.select("sector", *[round_half_even(str(y)).alias(str(y)) for y in years])
     return order_rows(report, "sector", SECTOR_ROW_ORDER)
 
 
@@ -79,33 +82,35 @@ def new_repos_by_country_year(first_commits: DataFrame, users: DataFrame, years:
     Rows: Total Repos; Total (Any Country); the top-n countries by total over
     all years (rank with ties, missing excluded; T16); All Other Countries;
     Total (Missing Country).  Top rows are sorted by total, then name.
+
+    The per-country table (one row per country, years as columns, plus the
+    overall total) is bounded by the country domain, so ranking it with an
+    unpartitioned window is cheap; each country row then contributes to its
+    report rows and one aggregation stacks them.
     """
     ux = expand_countries(users, missing, out="country_val")
-    cells, branches = first_year_credit(first_commits, ux, ["country_val"], [missing])
-    by_country = cells.groupBy("year", "country_val").agg(F.sum("credit").alias("value"))
-    known = by_country.where(F.col("country_val") != missing)
-    # One row per country: the window below is bounded by the country domain.
-    totals = known.groupBy("country_val").agg(F.sum("value").alias("overall"))
-    ranked = totals.select(
-        "country_val",
-        F.rank().over(Window.orderBy(F.desc(F.round("overall", 6)))).alias("rnk"),
-        F.row_number().over(Window.orderBy(F.desc(F.round("overall", 6)), "country_val")).alias("pos"),
-    ).where(F.col("rnk") <= top_n)
-    top = F.broadcast(ranked)  # <= top_n rows plus ties: bounded
-    tagged = known.join(top, on="country_val", how="left")
-    blocks = (
-        total_repos_by_year(branches).select("year", F.lit("Total Repos").alias("country"), "value",
-                                             F.lit(0).alias("row_order"))
-        .unionByName(known.groupBy("year").agg(F.sum("value").alias("value"))
-                     .select("year", F.lit("Total (Any Country)").alias("country"), "value", F.lit(1).alias("row_order")))
-        .unionByName(tagged.where(F.col("pos").isNotNull())
-                     .select("year", F.col("country_val").alias("country"), "value", (F.col("pos") + 1).alias("row_order")))
-        .unionByName(tagged.where(F.col("pos").isNull()).groupBy("year").agg(F.sum("value").alias("value"))
-                     .select("year", F.lit("All Other Countries").alias("country"), "value",
-                             F.lit(1_000_000).alias("row_order")))
-        .unionByName(by_country.where(F.col("country_val") == missing)
-                     .select("year", F.lit("Total (Missing Country)").alias("country"), "value",
-                             F.lit(1_000_001).alias("row_order")))
+    cells = _first_year_cells(first_commits, ux, ["country_val"], [missing])
+    cube = cells.groupBy("is_total", "country_val", "year").agg(F.sum("credit").alias("credit"))
+    per_country = cube.groupBy("is_total", "country_val").agg(
+        F.sum("credit").alias("overall"), *year_sums("credit", "year", years)
+    )
+    country = F.col("country_val")
+    rankable = ~F.col("is_total") & (country != missing)
+    score = F.when(rankable, F.round("overall", 6))
+    ranked = per_country.select(
+        "*",
+        F.rank().over(Window.orderBy(F.desc_nulls_last(score))).alias("_rank"),
+        F.row_number().over(Window.orderBy(F.desc_nulls_last(score), country)).alias("_pos"),
+    )
+    top = rankable & (F.col("_rank") <= top_n)
+    labels = (
+        F.when(F.col("is_total"), contributions(("Total Repos", 0)))
+        .when(country == missing, contributions(("Total (Missing Country)", 1_000_001)))
+        .when(top, contributions((country, F.col("_pos") + 1), ("Total (Any Country)", 1)))
+        .otherwise(contributions(("All Other Countries", 1_000_000), ("Total (Any Country)", 1)))
     )
-    wide = pivot_years(blocks, ["country", "row_order"], "year", "value", years)
-    return wide.select("country", *[round_half_even(F.col(str(y))).alias(str(y)) for y in years], "row_order")
+    names = [str(y) for y in years]
+    rows = ranked.select(*names, F.explode(labels).alias("_l"))
+    out = rows.groupBy(F.col("_l.label").alias("country"), F.col("_l.row_order").alias("row_order")) \
+        .agg(*[F.sum(n).alias(n) for n in names])
+    return out.select("country", *[round_half_even(n).alias(n) for n in names], "row_order")

@@ -2,7 +2,9 @@
 
 Users are expanded with aligned (zipped) lists: the i-th organisation pairs
 with the i-th country and sector (E3).  Per (branch, org[, sector]) the first
-year is the minimum over its contributors.
+year is the minimum over its contributors.  Each report is one chain ending
+in a single aggregation: every (branch, org) row is exploded into the report
+rows it counts toward.
 """
 
 from __future__ import annotations
@@ -14,10 +16,9 @@ from pyspark.sql import functions as F
 
 from collabstats.functions.lists import not_in_keep_null
 from collabstats.operators.expand import expand_aligned
-from collabstats.plans.report import order_rows, pivot_years
+from collabstats.plans.report import contributions, order_rows, year_sums
 from collabstats.schemas import (
     AGENCY_LIST,
-    AGENCY_ROW_ORDER,
     ALL_OTHER_FEDERAL,
     FEDERAL_TOTAL,
     INSTITUTION_BLOCKS,
@@ -31,21 +32,27 @@ def branch_org_first_year(first_commits: DataFrame, users: DataFrame, country: s
     """(branch, org[, sector], first_year) for users whose aligned entry has
     the given country and one of the sectors at the same list position.
 
-    NULL org (a shorter organisation list) is a group of its own.
+    NULL org (a shorter organisation list) is a group of its own.  The user
+    filter runs before the join, so only qualifying users are shuffled.
     """
     ux = expand_aligned(users).where(F.col("sector").isin(list(sectors)))
     if country is not None:
         ux = ux.where(F.col("country") == country)
     keys = ["org", "sector"] if keep_sector else ["org"]
     ux = ux.select(F.col("id").alias("author_id"), *keys)
-    joined = first_commits.join(ux, on="author_id", how="inner")
+    joined = first_commits.select("author_id", "branch", "min_commit_year").join(ux, on="author_id", how="inner")
     return joined.groupBy("branch", *keys).agg(F.min("min_commit_year").alias("first_year"))
 
 
-def _agency_class(agencies: Sequence[str]):
-    """Listed agency -> itself; other non-NULL org -> All Other Federal; NULL stays NULL."""
+def _agency_rows(agencies: Sequence[str]):
+    """Listed agency -> [agency, Federal Total]; other non-NULL org ->
+    [All Other Federal, Federal Total]; NULL org -> [Federal Total] (P8)."""
     org = F.col("org")
-    return F.when(org.isin(list(agencies)), org).when(org.isNotNull(), F.lit(ALL_OTHER_FEDERAL))
+    return (
+        F.when(org.isin(list(agencies)), F.array(org, F.lit(FEDERAL_TOTAL)))
+        .when(org.isNotNull(), F.array(F.lit(ALL_OTHER_FEDERAL), F.lit(FEDERAL_TOTAL)))
+        .otherwise(F.array(F.lit(FEDERAL_TOTAL)))
+    )
 
 
 def new_repos_by_agency_year(first_commits: DataFrame, users: DataFrame,
@@ -59,15 +66,8 @@ def new_repos_by_agency_year(first_commits: DataFrame, users: DataFrame,
     have no row.  Columns are the given years, 0 where absent.
     """
     bo = branch_org_first_year(first_commits, users)
-    cells = bo.groupBy("first_year", _agency_class(agencies).alias("institution")) \
-        .agg(F.count(F.lit(1)).alias("n"))
-    blocks = (
-        cells.where(F.col("institution").isNotNull())
-        .unionByName(cells.groupBy("first_year").agg(F.sum("n").alias("n"))
-                     .select("first_year", F.lit(FEDERAL_TOTAL).alias("institution"), "n"))
-    )
-    wide = pivot_years(blocks, "institution", "first_year", "n", years)
-    wide = wide.select("institution", *[F.col(str(y)).cast("bigint").alias(str(y)) for y in years])
+    rows = bo.select("first_year", F.explode(_agency_rows(agencies)).alias("institution"))
+    wide = rows.groupBy("institution").agg(*year_sums(None, "first_year", years))
     return order_rows(wide, "institution", [FEDERAL_TOTAL, *agencies, ALL_OTHER_FEDERAL])
 
 
@@ -75,30 +75,27 @@ def repos_by_agency(first_commits: DataFrame, users: DataFrame,
                     agencies: Sequence[str] = AGENCY_LIST) -> DataFrame:
     """C14: repositories per listed agency over all years, plus Federal Total
     and All Other Federal (both always present, 0 on empty input)."""
+    spark: SparkSession = first_commits.sparkSession
     bo = branch_org_first_year(first_commits, users)
-    cls = _agency_class(agencies)
-    agency_rows = (
-        bo.where(F.col("org").isin(list(agencies)))
-        .groupBy(F.col("org").alias("institution")).agg(F.count(F.lit(1)).alias("n_repositories"))
-    )
-    totals = bo.agg(
-        F.count(F.lit(1)).alias("federal"),
-        F.count(F.when(cls == ALL_OTHER_FEDERAL, F.lit(1))).alias("other"),
-    ).select(F.expr(f"stack(2, '{FEDERAL_TOTAL}', federal, '{ALL_OTHER_FEDERAL}', other)")
-             .alias("institution", "n_repositories"))
-    out = agency_rows.unionByName(totals).select("institution", F.col("n_repositories").cast("bigint"))
+    rows = bo.select(F.explode(_agency_rows(agencies)).alias("institution"), F.lit(1).alias("n"))
+    always = spark.createDataFrame([(FEDERAL_TOTAL, 0), (ALL_OTHER_FEDERAL, 0)], "institution string, n int")
+    out = rows.unionByName(always).groupBy("institution").agg(F.sum("n").cast("bigint").alias("n_repositories"))
     return order_rows(out, "institution", [FEDERAL_TOTAL, *agencies, ALL_OTHER_FEDERAL])
 
 
 def top_institutions(first_commits: DataFrame, users: DataFrame, top_n: int = 10,
-                     blocks: Sequence[tuple] = INSTITUTION_BLOCKS) -> DataFrame:
+                     blocks: Sequence[tuple] = INSTITUTION_BLOCKS, buckets: int = 64) -> DataFrame:
     """Per sector block - header, total, top-n organisations, all other.
 
     Counts are distinct branches per (org, sector).  Excluded orgs ('' and the
     Misc. label) leave the block; a NULL org is kept (R's `%in%` rule, P9) and
     may rank.  Top-n keeps no ties: count descending, then name (NULL last).
-    The top list is found with an ordered limit (partial top-k per task), so
-    no single task sees every organisation.
+
+    Distributed top-k in two stages, so no task sees every organisation: orgs
+    are hashed into `buckets` groups per sector; within a group only the
+    top-n survive individually and the rest collapse into one row (an org
+    beaten by n others in its group cannot be in the global top-n).  The
+    second stage ranks the <= buckets x (n + 1) survivors per sector.
     """
     spark: SparkSession = first_commits.sparkSession
     sectors = [b[0] for b in blocks]
@@ -106,30 +103,38 @@ def top_institutions(first_commits: DataFrame, users: DataFrame, top_n: int = 10
         branch_org_first_year(first_commits, users, country=None, sectors=sectors, keep_sector=True)
         .groupBy("org", "sector").agg(F.count(F.lit(1)).alias("n"))
     )
-    parts = []
+    eligible = None
+    for sector, _h, _t, _o, excluded in blocks:
+        cond = (F.col("sector") == sector) & not_in_keep_null("org", excluded)
+        eligible = cond if eligible is None else eligible | cond
+    order = [F.desc("n"), F.asc_nulls_last("org")]
+
+    bucket = F.pmod(F.xxhash64("org"), F.lit(buckets))
+    stage1 = counts.where(eligible).withColumn("_b", bucket).withColumn(
+        "_r", F.row_number().over(Window.partitionBy("sector", "_b").orderBy(*order)))
+    rest = F.col("_r") > top_n
+    survivors = stage1.groupBy(
+        "sector", "_b", F.when(~rest, F.col("org")).alias("org"), rest.alias("_rest")
+    ).agg(F.sum("n").alias("n"))
+    stage2 = survivors.withColumn(
+        "_r", F.row_number().over(Window.partitionBy("sector").orderBy(F.asc("_rest"), *order)))
+
+    is_top = ~F.col("_rest") & (F.col("_r") <= top_n)
+    labels = None
+    literal_rows = []
     offset = 0
-    for sector, header, total_label, other_label, excluded in blocks:
-        eligible = counts.where((F.col("sector") == sector) & not_in_keep_null("org", excluded)).select("org", "n")
-        top = eligible.orderBy(F.desc("n"), F.asc_nulls_last("org")).limit(top_n)
-        # <= top_n rows: bounded, so ranking them in one partition is fine.
-        top_ranked = top.select(
-            "org", "n",
-            F.row_number().over(Window.orderBy(F.desc("n"), F.asc_nulls_last("org"))).alias("rn"),
-        )
-        flagged = eligible.join(F.broadcast(top_ranked.select(F.col("org").alias("t_org"), "rn")),
-                                F.col("org").eqNullSafe(F.col("t_org")), "left")
-        sums = flagged.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-            F.coalesce(F.sum(F.when(F.col("rn").isNull(), F.col("n"))), F.lit(0)).alias("other"),
-        ).select(F.expr(
-            f"stack(2, '{total_label}', total, {offset + 1}, '{other_label}', other, {offset + top_n + 2})"
-        ).alias("institution", "n_repositories", "row_order"))
-        head = spark.createDataFrame([(header, None, offset)], "institution string, n_repositories bigint, row_order int")
-        body = top_ranked.select(F.col("org").alias("institution"), F.col("n").alias("n_repositories"),
-                                 (F.col("rn") + offset + 1).cast("int").alias("row_order"))
-        parts += [head, sums, body]
+    for sector, header, total_label, other_label, _excluded in blocks:
+        in_block = F.col("sector") == sector
+        block_labels = F.when(is_top, contributions((F.col("org"), F.col("_r") + offset + 1), (total_label, offset + 1))) \
+            .otherwise(contributions((other_label, offset + top_n + 2), (total_label, offset + 1)))
+        labels = F.when(in_block, block_labels) if labels is None else labels.when(in_block, block_labels)
+        literal_rows += [(header, None, offset), (total_label, 0, offset + 1), (other_label, 0, offset + top_n + 2)]
         offset += top_n + 3
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("institution", F.col("n_repositories").cast("bigint"), F.col("row_order").cast("int"))
+    rows = stage2.select(F.col("n").cast("bigint").alias("n"), F.explode(labels).alias("_l")) \
+        .select(F.col("_l.label").alias("institution"), F.col("_l.row_order").alias("row_order"), "n")
+    fixed = spark.createDataFrame(literal_rows, "institution string, n bigint, row_order int")
+    return (
+        rows.unionByName(fixed)
+        .groupBy("institution", "row_order").agg(F.sum("n").alias("n_repositories"))
+        .select("institution", F.col("n_repositories").cast("bigint"), F.col("row_order").cast("int"))
+    )
