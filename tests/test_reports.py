@@ -1,0 +1,184 @@
+"""Hand-made cases for the report tables (FIXTURES.md §3)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from collabstats.operators.collab import codeveloped_pairs, collaborations_by_country
+from collabstats.operators.fractional import (
+    fractional_repos_by_country,
+    new_repos_by_country_year,
+    new_repos_by_sector_year,
+)
+from collabstats.operators.institutions import new_repos_by_agency_year, repos_by_agency, top_institutions
+from tests.conftest import as_dict, first_df, users_df, yearly_df
+
+Y = 2014
+
+
+def _collab(spark, users, commits):
+    out = collaborations_by_country(yearly_df(spark, commits), users_df(spark, users), Y, top_n=None)
+    return {r.country: (r.collaborations_with_us, r.collaborations_with_non_us, r.collaborations_non_us_excl_us)
+            for r in out.collect()}
+
+
+def test_collab_two_country_user_plus_no_country_user(spark):
+    users = [(1, "A, B", "", ""), (2, "", "", "")]
+    commits = [("b1", 1, Y), ("b1", 2, Y)]
+    assert _collab(spark, users, commits) == {"A": (0, 1, 1), "B": (0, 1, 1)}
+
+
+def test_collab_single_user_with_two_countries_does_not_count(spark):
+    assert _collab(spark, [(1, "A, B", "", "")], [("b1", 1, Y)]) == {}
+
+
+def test_collab_with_us(spark):
+    users = [(1, "United States", "", ""), (2, "A", "", ""), (3, "B", "", "")]
+    commits = [("b1", 1, Y), ("b1", 2, Y), ("b2", 1, Y), ("b2", 2, Y), ("b2", 3, Y), ("b3", 1, 2013), ("b3", 2, 2013)]
+    got = _collab(spark, users, commits)
+    assert got == {"A": (2, 1, 0), "B": (1, 1, 0)}
+
+
+def test_collab_unknown_authors_do_not_count(spark):
+    users = [(1, "A", "", ""), (2, "B", "", "")]
+    commits = [("b1", 1, Y), ("b1", 99, Y)]
+    assert _collab(spark, users, commits) == {}
+
+
+def test_collab_top_n_breaks_ties_by_name(spark):
+    users = [(1, "United States", "", ""), (2, "B", "", ""), (3, "A", "", "")]
+    commits = [("b1", 1, Y), ("b1", 2, Y), ("b2", 1, Y), ("b2", 3, Y)]
+    out = collaborations_by_country(yearly_df(spark, commits), users_df(spark, users), Y, top_n=1).collect()
+    assert [r.country for r in out] == ["A"]
+
+
+def test_codeveloped_pairs(spark):
+    users = [(1, "B, A", "", ""), (2, "", "", ""), (3, "C", "", ""), (4, "A", "", "")]
+    commits = [
+        ("b1", 1, Y), ("b1", 2, Y),              # A-B (user 2 counts toward n_users, Missing dropped)
+        ("b2", 1, Y), ("b2", 3, Y),              # A-B, A-C, B-C
+        ("b3", 1, Y),                            # single user: no pairs
+        ("b4", 4, Y), ("b4", 99, Y),             # unknown author does not count
+    ]
+    out = codeveloped_pairs(yearly_df(spark, commits), users_df(spark, users), Y).collect()
+    got = {(r.country_1, r.country_2): r.co_developed_repositories for r in out}
+    assert got == {("A", "B"): 2, ("A", "C"): 1, ("B", "C"): 1}
+
+
+def test_fractional_by_country(spark):
+    users = [(1, "A, B", "", ""), (2, "", "", ""), (3, "C", "", "")]
+    commits = [
+        ("b1", 1, Y), ("b1", 2, Y), ("b1", 99, Y),   # each 1/3; user 1 split over A, B; 2 and 99 missing
+        ("b2", 98, Y),                               # only unknown authors: dropped
+        ("b3", 3, Y),
+    ]
+    got = as_dict(fractional_repos_by_country(yearly_df(spark, commits), users_df(spark, users), Y),
+                  "country", "total_repositories")
+    assert got.keys() == {"A", "B", "C", "Missing Country"}
+    assert got["A"] == pytest.approx(1 / 6) and got["B"] == pytest.approx(1 / 6)
+    assert got["Missing Country"] == pytest.approx(2 / 3) and got["C"] == pytest.approx(1.0)
+    assert sum(got.values()) == pytest.approx(2.0)   # = kept branches
+
+
+GOV = "government"
+
+
+def test_agency_tables(spark):
+    users = [
+        (1, "United States", "Department of Energy", GOV),
+        (2, "United States, United States", "Department of Commerce, City X", f"{GOV}, {GOV}"),
+        (3, "United States, United States", "Department of Energy", f"{GOV}, {GOV}"),   # shorter org list: NULL org
+        (4, "Canada", "Department of Energy", GOV),                                     # not U.S.
+        (5, "United States", "", GOV),                                                   # '' counts as other
+    ]
+    commits = [("b1", 1, 2010), ("b1", 2, 2011), ("b2", 3, 2012), ("b3", 4, 2010), ("b4", 5, 2013)]
+    fc, u = first_df(spark, commits), users_df(spark, users)
+    totals = as_dict(repos_by_agency(fc, u), "institution", "n_repositories")
+    # pairs: (b1, Energy), (b1, Commerce), (b1, City X), (b2, Energy), (b2, NULL), (b4, '')
+    assert totals == {"Federal Total": 6, "Department of Energy": 2, "Department of Commerce": 1,
+                      "All Other Federal": 2}
+    by_year = {r.institution: r for r in new_repos_by_agency_year(fc, u).collect()}
+    assert by_year["Federal Total"]["2010"] == 1 and by_year["Federal Total"]["2011"] == 2
+    assert by_year["Department of Energy"]["2012"] == 1 and by_year["Department of Energy"]["2023"] == 0
+    for inst, row in by_year.items():
+        assert sum(row[str(y)] for y in range(2009, 2024)) == totals[inst]
+    orders = as_dict(repos_by_agency(fc, u), "institution", "row_order")
+    assert orders["Federal Total"] == 1 and orders["All Other Federal"] == 26
+
+
+def test_agency_totals_on_empty_users(spark):
+    fc = first_df(spark, [("b1", 1, 2010)])
+    u = users_df(spark, [])
+    assert as_dict(repos_by_agency(fc, u), "institution", "n_repositories") == \
+        {"Federal Total": 0, "All Other Federal": 0}
+
+
+def test_top_institutions(spark):
+    users = [(i, "X", f"Biz{i}", "business") for i in range(1, 13)]
+    users += [(20, "X", "Google, ", "business, business"),   # 'Google' and '' entries
+              (21, "X", "", "business, academic"),            # NULL org under academic (padding)
+              (22, "X", "Misc. Business", "business")]
+    commits = [(f"b{i}_{k}", i, 2010) for i in range(1, 13) for k in range(i)]   # Biz i has i branches
+    commits += [("g1", 20, 2010), ("n1", 21, 2011), ("n2", 21, 2011), ("m1", 22, 2010)]
+    out = {(r.row_order): (r.institution, r.n_repositories)
+           for r in top_institutions(first_df(spark, commits), users_df(spark, users)).collect()}
+    assert out[0] == ("Top 10 Businesses (Global)", None)
+    biz_total = sum(range(1, 13)) + 1   # + Google; '' and Misc excluded
+    assert out[1] == ("Business Total", biz_total)
+    assert [out[k] for k in range(2, 12)] == [(f"Biz{i}", i) for i in range(12, 2, -1)]
+    assert out[12] == ("All Other Business", 1 + 2 + 1)   # Biz1, Biz2, Google
+    assert out[13] == ("Top 10 Universities (Global)", None)
+    assert out[14] == ("Academic Total", 2)
+    assert out[15] == (None, 2)                            # NULL org is kept and ranks
+    assert out[25] == ("All Other Academic", 0)
+
+
+def test_top_institutions_ties_by_name(spark):
+    users = [(1, "X", "Zeta", "business"), (2, "X", "Alpha", "business")]
+    commits = [("b1", 1, 2010), ("b2", 2, 2010)]
+    out = top_institutions(first_df(spark, commits), users_df(spark, users), top_n=1).collect()
+    got = {r.row_order: r.institution for r in out}
+    assert got[2] == "Alpha"
+
+
+def _sectors(spark, users, commits):
+    out = new_repos_by_sector_year(first_df(spark, commits), users_df(spark, users))
+    return {r.sector: r for r in out.collect()}
+
+
+def test_sectors_first_year_and_missing(spark):
+    users = [(1, "United States", "", "academic, business"), (2, "A", "", ""), (3, "United States", "", "")]
+    commits = [
+        ("b1", 1, 2010), ("b1", 2, 2010), ("b1", 3, 2012),     # 2012 author gets nothing
+        ("b2", 99, 2011), ("b2", 3, 2013),                     # first year has only an unknown author
+        ("b3", 98, 2011),                                      # no matched user at all: dropped
+    ]
+    got = _sectors(spark, users, commits)
+    assert got["Total Repos"]["2010"] == 1 and got["Total Repos"]["2011"] == 1
+    assert got["Total (Missing Country)"]["2011"] == 1        # all of b2's credit is missing
+    assert got["Total (US)"]["2010"] == 0                     # 0.5 -> 0 (half to even)
+    assert got["Academic"]["2010"] == 0 and got["Business"]["2010"] == 0
+    assert got["Total (Global)"]["2010"] == 0
+    assert got["Total Repos"]["2012"] == 0 and got["Total Repos"]["2023"] == 0
+
+
+def test_half_to_even(spark):
+    # 3 branches each split 1/2 U.S., 1/2 A: U.S. gets 1.5 -> 2, A gets 1.5 -> 2; 5 branches: 2.5 -> 2
+    users = [(1, "United States", "", "academic"), (2, "A", "", "")]
+    commits = [(f"b{k}", a, 2010) for k in range(5) for a in (1, 2)]
+    got = _sectors(spark, users, commits)
+    assert got["Total (US)"]["2010"] == 2 and got["Academic"]["2010"] == 2 and got["Total (Global)"]["2010"] == 2
+    assert got["Total Repos"]["2010"] == 5
+
+
+def test_countries_by_year_rank_keeps_ties(spark):
+    users = [(i, f"C{i:02d}", "", "") for i in range(1, 13)] + [(50, "", "", "")]
+    # C01..C09 get 3 branches, C10 and C11 get 2 (tied at rank 10), C12 gets 1, missing gets 1
+    counts = {i: 3 for i in range(1, 10)} | {10: 2, 11: 2, 12: 1, 50: 1}
+    commits = [(f"b{i}_{k}", i, 2010) for i, n in counts.items() for k in range(n)]
+    out = {r.country: r for r in new_repos_by_country_year(first_df(spark, commits), users_df(spark, users)).collect()}
+    assert "C10" in out and "C11" in out and "C12" not in out
+    assert out["All Other Countries"]["2010"] == 1
+    assert out["Total (Any Country)"]["2010"] == 9 * 3 + 2 + 2 + 1
+    assert out["Total (Missing Country)"]["2010"] == 1
+    assert out["Total Repos"]["2010"] == sum(counts.values())
+    assert out["C10"].row_order < out["C11"].row_order
