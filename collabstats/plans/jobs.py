@@ -12,6 +12,7 @@ them with display headers (S6).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,15 @@ from collabstats.operators.fractional import (
 )
 from collabstats.operators.institutions import new_repos_by_agency_year, repos_by_agency, top_institutions
 from collabstats.operators.merge import merge_commits, merge_users
-from collabstats.schemas import DISPLAY_HEADERS, ORG_COLUMNS_PRIMARY, ORG_COLUMNS_SECONDARY, REPORT_YEARS
+from collabstats.schemas import (
+    COMMITS_FIRST_SCHEMA,
+    COMMITS_YEARLY_SCHEMA,
+    DISPLAY_HEADERS,
+    ORG_COLUMNS_PRIMARY,
+    ORG_COLUMNS_SECONDARY,
+    REPORT_YEARS,
+    USERS_CLEAN_SCHEMA,
+)
 from collabstats.sources.parquet import scan
 from collabstats.sources.sinks import write_by_year, write_parquet, write_report
 
@@ -46,8 +55,28 @@ class Prepared:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def exists(self, spark: SparkSession, name: str) -> bool:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return scan(spark, self.path(name))
+        schema = PREPARED_SCHEMAS.get(name)
+        if schema is None:
+            return scan(spark, self.path(name))
+        # Known schema: no footer-reading job to infer it.
+        return spark.read.schema(schema).parquet(self.path(name))
+
+
+PREPARED_SCHEMAS = {
+    "users_clean": USERS_CLEAN_SCHEMA,
+    "users_clean_secondary": USERS_CLEAN_SCHEMA,
+    "users_merged": USERS_CLEAN_SCHEMA,
+    "commits_yearly": COMMITS_YEARLY_SCHEMA,
+    "commits_first": COMMITS_FIRST_SCHEMA,
+    "commits_first_secondary": COMMITS_FIRST_SCHEMA,
+    "commits_merged": COMMITS_FIRST_SCHEMA,
+}
 
 
 PRIMARY_TABLES = ("users_clean", "commits_yearly", "commits_first")
@@ -81,27 +110,34 @@ def prepare_secondary(spark: SparkSession, raw: RawInputs, prepared: Prepared) -
     return prepared
 
 
+def report_builders(spark: SparkSession, prepared: Prepared, year: int,
+                    years=REPORT_YEARS) -> dict[str, Callable[[], DataFrame]]:
+    """The eight report tables (02-09) as zero-argument builders over the prepared tables."""
+    users = lambda: prepared.read(spark, "users_clean")
+    yearly = lambda: prepared.read(spark, "commits_yearly")
+    first = lambda: prepared.read(spark, "commits_first")
+
+    def merged():
+        if prepared.exists(spark, "commits_merged") and prepared.exists(spark, "users_merged"):
+            return prepared.read(spark, "commits_merged"), prepared.read(spark, "users_merged")
+        return first(), users()  # no second source prepared: agency tables over the first source
+
+    return {
+        "collab_by_country": lambda: collaborations_by_country(yearly(), users(), year, top_n=11),
+        "collab_by_country_supp": lambda: collaborations_by_country(yearly(), users(), year, top_n=51),
+        "codeveloped_pairs": lambda: codeveloped_pairs(yearly(), users(), year),
+        "fractional_by_country": lambda: fractional_repos_by_country(yearly(), users(), year),
+        "top_institutions": lambda: top_institutions(first(), users()),
+        "sectors_by_year": lambda: new_repos_by_sector_year(first(), users(), years),
+        "countries_by_year": lambda: new_repos_by_country_year(first(), users(), years),
+        "agency_new_by_year": lambda: new_repos_by_agency_year(*merged(), years=years),
+        "agency_totals": lambda: repos_by_agency(*merged()),
+    }
+
+
 def reports(spark: SparkSession, prepared: Prepared, year: int, years=REPORT_YEARS) -> dict[str, DataFrame]:
     """The eight report tables (02-09) as lazy DataFrames over the prepared tables."""
-    users = prepared.read(spark, "users_clean")
-    yearly = prepared.read(spark, "commits_yearly")
-    first = prepared.read(spark, "commits_first")
-    out = {
-        "collab_by_country": collaborations_by_country(yearly, users, year, top_n=11),
-        "collab_by_country_supp": collaborations_by_country(yearly, users, year, top_n=51),
-        "codeveloped_pairs": codeveloped_pairs(yearly, users, year),
-        "fractional_by_country": fractional_repos_by_country(yearly, users, year),
-        "top_institutions": top_institutions(first, users),
-        "sectors_by_year": new_repos_by_sector_year(first, users, years),
-        "countries_by_year": new_repos_by_country_year(first, users, years),
-    }
-    try:
-        users_m, commits_m = prepared.read(spark, "users_merged"), prepared.read(spark, "commits_merged")
-    except Exception:  # no second source prepared: agency tables over the first source
-        users_m, commits_m = users, first
-    out["agency_new_by_year"] = new_repos_by_agency_year(commits_m, users_m, years=years)
-    out["agency_totals"] = repos_by_agency(commits_m, users_m)
-    return out
+    return {name: build() for name, build in report_builders(spark, prepared, year, years).items()}
 
 
 def write_reports(tables: dict[str, DataFrame], root: str, fmt: str = "csv") -> dict[str, str]:
