@@ -23,6 +23,38 @@ SESSION_DEFAULTS = {
 }
 
 
+# Runtime SQL settings for a large cluster (opt-in via `configure`): start
+# shuffles wide and let AQE coalesce them to ~128 MB partitions, read Parquet
+# in 256 MB splits, and split skewed join partitions (a hot author).  Broadcast
+# stays at Spark's size-checked default: AQE converts a join to broadcast only
+# after measuring the shuffled side.
+SCALE_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
+def configure(spark: SparkSession, scale: bool = True, override: bool = False) -> dict[str, str]:
+    """Apply SESSION_DEFAULTS (and SCALE_DEFAULTS when `scale`) to an existing
+    session.  Keys the user set explicitly are kept unless `override`.
+    Returns what was set."""
+    wanted = dict(SESSION_DEFAULTS)
+    if scale:
+        wanted.update(SCALE_DEFAULTS)
+    applied = {}
+    for key, value in wanted.items():
+        if (override or spark.conf.get(key, None) is None) and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+            applied[key] = value
+    checkpoint_dir(spark)
+    return applied
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "collabstats") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -41,10 +73,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """Return the shared checkpoint folder named by `spark.checkpoint.dir`.
+
+    Only when the session names none (local tests) is a scratch folder
+    created; on a cluster the configured shared folder is always used.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="collabstats-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # core setting not modifiable at run time: the context setting below suffices
+            pass
     spark.sparkContext.setCheckpointDir(configured)
     return configured
