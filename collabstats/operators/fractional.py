@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from collabstats.functions.numeric import round_half_even
 from collabstats.operators.credit import credit_cells
 from collabstats.operators.expand import expand_countries, expand_country_sector
-from collabstats.plans.report import contributions, order_rows, recode, year_sums
+from collabstats.plans.report import contributions, order_rows, pivot_years, recode, year_sums
 from collabstats.schemas import (
     MISSING,
     MISSING_COUNTRY,
@@ -70,7 +70,7 @@ def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years:
         .otherwise(F.array(F.lit("Total (Global)")))
     )
     rows = cube.select("year", "credit", F.explode(labels).alias("sector"))
-    wide = rows.groupBy("sector").agg(*year_sums("credit", "year", years))
+    wide = pivot_years(rows, "sector", "year", "credit", years)
     report = wide.select("sector", *[round_half_even(str(y)).alias(str(y)) for y in years])
     return order_rows(report, "sector", SECTOR_ROW_ORDER)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from collabstats.functions.lists import not_in_keep_null
 from collabstats.operators.expand import expand_aligned
-from collabstats.plans.report import contributions, order_rows, year_sums
+from collabstats.plans.report import contributions, order_rows, pivot_years, stack_blocks
 from collabstats.schemas import (
     AGENCY_LIST,
     ALL_OTHER_FEDERAL,
@@ -67,7 +67,7 @@ def new_repos_by_agency_year(first_commits: DataFrame, users: DataFrame,
     """
     bo = branch_org_first_year(first_commits, users)
     rows = bo.select("first_year", F.explode(_agency_rows(agencies)).alias("institution"))
-    wide = rows.groupBy("institution").agg(*year_sums(None, "first_year", years))
+    wide = pivot_years(rows, "institution", "first_year", None, years)
     return order_rows(wide, "institution", [FEDERAL_TOTAL, *agencies, ALL_OTHER_FEDERAL])
 
 
@@ -79,7 +79,7 @@ def repos_by_agency(first_commits: DataFrame, users: DataFrame,
     bo = branch_org_first_year(first_commits, users)
     rows = bo.select(F.explode(_agency_rows(agencies)).alias("institution"), F.lit(1).alias("n"))
     always = spark.createDataFrame([(FEDERAL_TOTAL, 0), (ALL_OTHER_FEDERAL, 0)], "institution string, n int")
-    out = rows.unionByName(always).groupBy("institution").agg(F.sum("n").cast("bigint").alias("n_repositories"))
+    out = stack_blocks(rows, always).groupBy("institution").agg(F.sum("n").cast("bigint").alias("n_repositories"))
     return order_rows(out, "institution", [FEDERAL_TOTAL, *agencies, ALL_OTHER_FEDERAL])
 
 
@@ -134,7 +134,7 @@ def top_institutions(first_commits: DataFrame, users: DataFrame, top_n: int = 10
         .select(F.col("_l.label").alias("institution"), F.col("_l.row_order").alias("row_order"), "n")
     fixed = spark.createDataFrame(literal_rows, "institution string, n bigint, row_order int")
     return (
-        rows.unionByName(fixed)
+        stack_blocks(rows, fixed)
         .groupBy("institution", "row_order").agg(F.sum("n").alias("n_repositories"))
         .select("institution", F.col("n_repositories").cast("bigint"), F.col("row_order").cast("int"))
     )
