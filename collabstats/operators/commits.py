@@ -3,20 +3,27 @@ and the second-source first participation (C6)."""
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from collabstats.schemas import FIRST_YEAR, REPORT_YEARS
 
 
-def year_range_predicate(col: str, first: int, last: int):
+def year_range_predicate(col: str, first: int, last: int, dtype: T.DataType | None = None):
     """`EXTRACT(YEAR FROM ts) BETWEEN first AND last` as a range on the raw
-    timestamp, so Parquet row-group min/max statistics can skip data."""
+    timestamp, so Parquet row-group min/max statistics can skip data.
+
+    The bounds are literals of the column's own type (wall-clock for
+    TIMESTAMP_NTZ, session time zone for TIMESTAMP, as `year()` uses), so the
+    column is compared uncast and the filter reaches the scan.
+    """
+    parse = F.to_timestamp_ntz if isinstance(dtype, T.TimestampNTZType) else F.to_timestamp
+    lo, hi = (parse(F.lit(f"{y:04d}-01-01 00:00:00")) for y in (first, last + 1))
     ts = F.col(col)
-    return (ts >= F.lit(dt.datetime(first, 1, 1))) & (ts < F.lit(dt.datetime(last + 1, 1, 1)))
+    return (ts >= lo) & (ts < hi)
 
 
 def commit_rows(raw: DataFrame, years: Sequence[int] = REPORT_YEARS) -> DataFrame:
@@ -28,7 +35,7 @@ def commit_rows(raw: DataFrame, years: Sequence[int] = REPORT_YEARS) -> DataFram
     """
     lo, hi = min(years), max(years)
     rows = (
-        raw.where(year_range_predicate("committedat", lo, hi))
+        raw.where(year_range_predicate("committedat", lo, hi, raw.schema["committedat"].dataType))
         .select("branch", F.explode("authors_id").alias("author_id"),
                 F.year("committedat").cast("bigint").alias("commit_year"))
         .where(F.col("author_id").isNotNull())
