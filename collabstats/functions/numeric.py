@@ -14,9 +14,3 @@ def round_half_even(col: str | Column, digits: int = 0) -> Column:
     """
     c = F.col(col) if isinstance(col, str) else col
     return F.bround(F.round(c, 6), digits)
-
-
-def share(numerator: Column | float, denominator: Column) -> Column:
-    """Double division for credit shares (F10); never DECIMAL."""
-    num = numerator if isinstance(numerator, Column) else F.lit(float(numerator))
-    return num.cast("double") / denominator.cast("double")

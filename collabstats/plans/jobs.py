@@ -79,11 +79,6 @@ PREPARED_SCHEMAS = {
 }
 
 
-PRIMARY_TABLES = ("users_clean", "commits_yearly", "commits_first")
-SECONDARY_TABLES = ("users_gov_secondary", "users_clean_secondary", "commits_first_secondary",
-                    "users_merged", "commits_merged")
-
-
 def prepare_primary(spark: SparkSession, raw: RawInputs, root: str,
                     years=REPORT_YEARS, org_cols=ORG_COLUMNS_PRIMARY) -> Prepared:
     """01G: cleaned users; yearly distinct commits (one job, partitioned by

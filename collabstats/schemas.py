@@ -161,7 +161,6 @@ AGENCY_LIST = [
 ]
 FEDERAL_TOTAL = "Federal Total"
 ALL_OTHER_FEDERAL = "All Other Federal"
-AGENCY_ROW_ORDER = [FEDERAL_TOTAL] + AGENCY_LIST + [ALL_OTHER_FEDERAL]
 
 # Sector report rows and recoding.
 SECTOR_RECODE = {
