@@ -18,9 +18,9 @@ runs once per report and nothing is consumed twice:
    (branch[, year], values) with map-side partial aggregation, so a hot
    branch collapses to one row per value (and one marker per year) before it
    is shuffled;
-4. a window partitioned by branch over those few rows gives the branch's
-   first year, whether any author matched a user, and n_users (the marker
-   weight of the first year) - no join back, no DISTINCT window;
+4. one window pass partitioned by branch over those few rows gives the
+   branch's first year, whether any author matched a user, and n_users (the
+   marker weight of the first year) - no join back, no DISTINCT window;
 5. credit = w / n_users; the marker row carries n_users x 1/n_users, the
    branch's contribution to "Total Repos".
 
@@ -87,12 +87,19 @@ def credit_cells(commits: DataFrame, users_x: DataFrame, dims: Sequence[str], la
     cells = elements.groupBy(*keys, *dims).agg(F.sum("w").alias("w"), F.max("matched").alias("matched"))
     by_branch = Window.partitionBy("branch")
     is_total = F.col(dims[0]).isNull()
-    kept = cells.withColumn("_kept", F.max("matched").over(by_branch))
+    marker_w = F.when(is_total, F.col("w"))
+    # One window pass per branch: kept flag, first year, and the marker weight
+    # (= number of authors) of the first year.
+    stats = [F.max("matched").over(by_branch).alias("_kept")]
     if year_col:
-        kept = kept.withColumn("_first", F.min(year_col).over(by_branch))
-        kept = kept.where(F.col("_kept") & (F.col(year_col) == F.col("_first")))
+        stats += [
+            F.min(year_col).over(by_branch).alias("_first"),
+            F.min_by(marker_w, F.when(is_total, F.col(year_col))).over(by_branch).alias("_n"),
+        ]
     else:
-        kept = kept.where(F.col("_kept"))
-    with_n = kept.withColumn("_n", F.max(F.when(is_total, F.col("w"))).over(by_branch))
+        stats += [F.max(marker_w).over(by_branch).alias("_n")]
+    kept = cells.select("*", *stats).where(
+        F.col("_kept") & ((F.col(year_col) == F.col("_first")) if year_col else F.lit(True))
+    )
     credit = F.when(is_total, F.col("_n") * (F.lit(1.0) / F.col("_n"))).otherwise(F.col("w") / F.col("_n"))
-    return with_n.select(*keys, *dims, credit.alias("credit"), is_total.alias("is_total"))
+    return kept.select(*keys, *dims, credit.alias("credit"), is_total.alias("is_total"))
