@@ -1,4 +1,4 @@
-"""End-to-end jobs: preparation (01G, 01C) and the eight report tables.
+"""End-to-end jobs: preparation of both sources and the eight report tables.
 
 Preparation materialises the reduced tables as Parquet, as the reference
 does: cleaned users, yearly commits (partitioned by year, so single-year
@@ -81,7 +81,7 @@ PREPARED_SCHEMAS = {
 
 def prepare_primary(spark: SparkSession, raw: RawInputs, root: str,
                     years=REPORT_YEARS, org_cols=ORG_COLUMNS_PRIMARY) -> Prepared:
-    """01G: cleaned users; yearly distinct commits (one job, partitioned by
+    """First source: cleaned users; yearly distinct commits (one job, partitioned by
     year); first participation, read back from the yearly table."""
     out = Prepared(root)
     write_parquet(clean_users(raw.users, org_cols), out.path("users_clean"))
@@ -91,7 +91,7 @@ def prepare_primary(spark: SparkSession, raw: RawInputs, root: str,
 
 
 def prepare_secondary(spark: SparkSession, raw: RawInputs, prepared: Prepared) -> Prepared:
-    """01C: agency classification and cleaning of the second source, its first
+    """Second source: agency classification and cleaning of the second source, its first
     participation (>= first report year), and the merged tables (first source wins)."""
     users2 = raw.users_secondary
     write_parquet(attach_agency(users2, classify_agency(users2)), prepared.path("users_gov_secondary"))
@@ -107,7 +107,7 @@ def prepare_secondary(spark: SparkSession, raw: RawInputs, prepared: Prepared) -
 
 def report_builders(spark: SparkSession, prepared: Prepared, year: int,
                     years=REPORT_YEARS) -> dict[str, Callable[[], DataFrame]]:
-    """The eight report tables (02-09) as zero-argument builders over the prepared tables."""
+    """The eight report tables as zero-argument builders over the prepared tables."""
     users = lambda: prepared.read(spark, "users_clean")
     yearly = lambda: prepared.read(spark, "commits_yearly")
     first = lambda: prepared.read(spark, "commits_first")
@@ -131,7 +131,7 @@ def report_builders(spark: SparkSession, prepared: Prepared, year: int,
 
 
 def reports(spark: SparkSession, prepared: Prepared, year: int, years=REPORT_YEARS) -> dict[str, DataFrame]:
-    """The eight report tables (02-09) as lazy DataFrames over the prepared tables."""
+    """The eight report tables as lazy DataFrames over the prepared tables."""
     return {name: build() for name, build in report_builders(spark, prepared, year, years).items()}
 
 
