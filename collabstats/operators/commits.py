@@ -65,6 +65,37 @@ def first_commits(commits: DataFrame) -> DataFrame:
     return commits.groupBy("author_id", "branch").agg(F.min("commit_year").cast("bigint").alias("min_commit_year"))
 
 
+def commit_years(raw: DataFrame, years: Sequence[int] = REPORT_YEARS) -> DataFrame:
+    """(author_id, branch, year_bits): the years each author committed to each
+    branch, as a bitmask (bit i = year min(years) + i).
+
+    One shuffle by (author_id, branch) with a codegen'd `bit_or` hash
+    aggregate, combined map-side, so repeated commits collapse before the
+    shuffle.  Both C4 and C5 derive from it without another shuffle
+    (`years_to_rows`, `first_year`), which is how `plans.jobs` prepares them.
+    """
+    base, span = min(years), max(years) - min(years) + 1
+    if span > 62:
+        raise ValueError("year range too wide for a 64-bit mask")
+    bit = F.expr(f"shiftleft(1L, cast(commit_year - {base} AS INT))")
+    return commit_rows(raw, years).groupBy("author_id", "branch").agg(F.bit_or(bit).alias("year_bits"))
+
+
+def years_to_rows(bits: DataFrame, years: Sequence[int] = REPORT_YEARS) -> DataFrame:
+    """C4 from `commit_years`: one (branch, author_id, commit_year) row per set bit."""
+    base, span = min(years), max(years) - min(years) + 1
+    set_years = F.expr(
+        f"transform(filter(sequence(0, {span - 1}), i -> ((year_bits >> i) & 1) = 1), i -> CAST(i + {base} AS BIGINT))")
+    return bits.select("branch", "author_id", F.explode(set_years).alias("commit_year"))
+
+
+def first_year(bits: DataFrame, years: Sequence[int] = REPORT_YEARS) -> DataFrame:
+    """C5 from `commit_years`: the lowest set bit is the first year."""
+    lowest = F.col("year_bits").bitwiseAND(-F.col("year_bits"))   # 2^k
+    k = F.length(F.bin(lowest)) - 1
+    return bits.select("author_id", "branch", (k + F.lit(min(years))).cast("bigint").alias("min_commit_year"))
+
+
 def first_commits_secondary(raw: DataFrame, min_year: int = FIRST_YEAR) -> DataFrame:
     """MIN(year) per (userid, repoid), HAVING the minimum >= min_year.
 

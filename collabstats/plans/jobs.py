@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from collabstats.operators.clean import attach_agency, classify_agency, clean_users
 from collabstats.operators.collab import codeveloped_pairs, collaborations_by_country
-from collabstats.operators.commits import first_commits, first_commits_secondary, yearly_commits
+from collabstats.operators.commits import commit_years, first_commits_secondary, first_year, years_to_rows
 from collabstats.operators.fractional import (
     fractional_repos_by_country,
     new_repos_by_country_year,
@@ -81,12 +81,15 @@ PREPARED_SCHEMAS = {
 
 def prepare_primary(spark: SparkSession, raw: RawInputs, root: str,
                     years=REPORT_YEARS, org_cols=ORG_COLUMNS_PRIMARY) -> Prepared:
-    """First source: cleaned users; yearly distinct commits (one job, partitioned by
-    year); first participation, read back from the yearly table."""
+    """First source: cleaned users; per (author, branch) the active years (one
+    shuffle of the raw commits); from that table, without another shuffle, the
+    yearly distinct commits (partitioned by year) and first participation."""
     out = Prepared(root)
     write_parquet(clean_users(raw.users, org_cols), out.path("users_clean"))
-    write_by_year(yearly_commits(raw.commits, years), out.path("commits_yearly"))
-    write_parquet(first_commits(out.read(spark, "commits_yearly")), out.path("commits_first"))
+    write_parquet(commit_years(raw.commits, years), out.path("commit_years"))
+    bits = out.read(spark, "commit_years")
+    write_by_year(years_to_rows(bits, years), out.path("commits_yearly"))
+    write_parquet(first_year(bits, years), out.path("commits_first"))
     return out
 
 

@@ -63,3 +63,20 @@ def test_merge_commits_anti_join_on_two_keys(spark):
     got = [(r.branch, r.author_id, r.min_commit_year) for r in got]
     # (1, b1) exists in the first source, so its 2010 wins; NULL keys are kept (NOT EXISTS)
     assert got == [("b1", 1, 2010), ("b1", 2, 2012), ("b2", 1, 2011), ("b3", None, 2013)]
+
+
+def test_year_bits_give_the_same_tables(spark):
+    from collabstats.operators.commits import commit_years, first_year, years_to_rows
+    from collabstats.sources import adapter
+    from tests.conftest import SF001
+
+    raw = adapter.raw_commits(spark, SF001)
+    bits = commit_years(raw)
+    assert years_to_rows(bits).exceptAll(yearly_commits(raw)).count() == 0
+    assert yearly_commits(raw).exceptAll(years_to_rows(bits)).count() == 0
+    assert first_year(bits).exceptAll(first_commits(commit_rows(raw))).count() == 0
+    assert first_commits(commit_rows(raw)).exceptAll(first_year(bits)).count() == 0
+    edge = spark.createDataFrame([("b", [1], ts(2009)), ("b", [1], ts(2023)), ("c", [2], ts(2023))], RAW_COMMITS_SCHEMA)
+    assert sorted(tuple(r) for r in first_year(commit_years(edge)).collect()) == [(1, "b", 2009), (2, "c", 2023)]
+    assert sorted(tuple(r) for r in years_to_rows(commit_years(edge)).collect()) == \
+        [("b", 1, 2009), ("b", 1, 2023), ("c", 2, 2023)]
