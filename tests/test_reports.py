@@ -182,3 +182,15 @@ def test_countries_by_year_rank_keeps_ties(spark):
     assert out["Total (Missing Country)"]["2010"] == 1
     assert out["Total Repos"]["2010"] == sum(counts.values())
     assert out["C10"].row_order < out["C11"].row_order
+
+
+def test_empty_inputs(spark):
+    fc = first_df(spark, [("b1", 1, 2010)])
+    y = yearly_df(spark, [("b1", 1, Y)])
+    empty_users = users_df(spark, [])
+    assert fractional_repos_by_country(y, empty_users, Y).count() == 0
+    assert new_repos_by_sector_year(fc, empty_users).count() == 0
+    rows = {r.row_order: (r.institution, r.n_repositories) for r in top_institutions(fc, empty_users).collect()}
+    assert rows == {0: ("Top 10 Businesses (Global)", None), 1: ("Business Total", 0), 12: ("All Other Business", 0),
+                    13: ("Top 10 Universities (Global)", None), 14: ("Academic Total", 0),
+                    25: ("All Other Academic", 0)}
