@@ -1,7 +1,6 @@
 """Hand-made cases for the report tables (FIXTURES.md §3)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from collabstats.operators.collab import codeveloped_pairs, collaborations_by_country
 from collabstats.operators.fractional import (

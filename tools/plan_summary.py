@@ -15,7 +15,7 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from collabstats.plans.jobs import Prepared, RawInputs, prepare_primary, prepare_secondary, report_builders  # noqa: E402
+from collabstats.plans.jobs import RawInputs, prepare_primary, prepare_secondary, report_builders  # noqa: E402
 from collabstats.session import local_session  # noqa: E402
 from collabstats.sources import adapter  # noqa: E402
 
