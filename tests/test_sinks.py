@@ -58,3 +58,28 @@ def test_end_to_end_jobs_and_report_sink(spark):
     assert rows[0] == ["Institution", "Number of repositories", "row_order"]
     assert rows[1][0] == "Federal Total"
     assert write_report(tables["agency_totals"], None, "skip") is None
+
+
+def test_production_entry_point(spark):
+    from collabstats.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="collabstats-test-")
+    commits = adapter.raw_commits(spark, SF001)
+    for y in (2009, 2012, 2014):   # an unpacked archive: one folder per year, named "<year>.0"
+        commits.where(F.year("committedat") == y).write.parquet(f"{root}/archive/{y}.0")
+    adapter.raw_users(spark, SF001).write.parquet(f"{root}/users")
+    adapter.raw_users_secondary(spark, SF001).write.parquet(f"{root}/users2")
+    adapter.raw_commits_secondary(spark, SF001).write.parquet(f"{root}/commits2")
+    from collabstats.session import SCALE_DEFAULTS, SESSION_DEFAULTS
+
+    before = {k: spark.conf.get(k, None) for k in {**SESSION_DEFAULTS, **SCALE_DEFAULTS}}
+    try:
+        written = main(["--users", f"{root}/users", "--commits", f"{root}/archive", "--users2", f"{root}/users2",
+                        "--commits2", f"{root}/commits2", "--prepared", f"{root}/prepared", "--out", f"{root}/out",
+                        "--year", "2014"])
+    finally:   # the session is shared with other tests: undo the cluster settings main() applied
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(written) == 9 and all(glob.glob(f"{p}/*.csv") for p in written.values())
+    years = {r.commit_year for r in scan(spark, f"{root}/prepared/commits_yearly").select("commit_year").distinct().collect()}
+    assert years == {2009, 2012, 2014}
