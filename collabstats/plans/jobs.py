@@ -12,6 +12,7 @@ them with display headers (S6).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -50,17 +51,45 @@ class RawInputs:
 
 @dataclass(frozen=True)
 class Prepared:
+    """Folder of prepared tables.
+
+    With `buckets`, the tables every report joins on the author / user id
+    (cleaned and merged users, yearly, first and merged commits) are written
+    as external catalog tables bucketed by that id into the same number of
+    buckets.  The per-user aggregation then needs no shuffle (the bucketed
+    scan is already partitioned by id) and the commits x users sort-merge join
+    shuffles neither side: the largest shuffle of every report is paid once,
+    here.  Without a catalog entry for a table (e.g. a new session on an
+    in-memory catalog) it is read as plain Parquet: same rows, just not
+    co-located.
+    """
+
     root: str
+    buckets: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def table(self, name: str) -> str:
+        return f"collabstats_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}_{name}"
+
     def exists(self, spark: SparkSession, name: str) -> bool:
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.path(name))
         return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
+    def write(self, df: DataFrame, name: str, key: str | None = None, by_year: bool = False) -> str:
+        if self.buckets and key:
+            writer = df.repartition(self.buckets, key).write.mode("overwrite").option("path", self.path(name))
+            if by_year:
+                writer = writer.partitionBy("commit_year")
+            writer.bucketBy(self.buckets, key).saveAsTable(self.table(name))
+            return self.path(name)
+        return write_by_year(df, self.path(name)) if by_year else write_parquet(df, self.path(name))
+
     def read(self, spark: SparkSession, name: str) -> DataFrame:
+        if self.buckets and spark.catalog.tableExists(self.table(name)):
+            return spark.table(self.table(name))
         schema = PREPARED_SCHEMAS.get(name)
         if schema is None:
             return scan(spark, self.path(name))
@@ -79,17 +108,17 @@ PREPARED_SCHEMAS = {
 }
 
 
-def prepare_primary(spark: SparkSession, raw: RawInputs, root: str,
+def prepare_primary(spark: SparkSession, raw: RawInputs, root: str | Prepared,
                     years=REPORT_YEARS, org_cols=ORG_COLUMNS_PRIMARY) -> Prepared:
     """First source: cleaned users; per (author, branch) the active years (one
     shuffle of the raw commits); from that table, without another shuffle, the
     yearly distinct commits (partitioned by year) and first participation."""
-    out = Prepared(root)
-    write_parquet(clean_users(raw.users, org_cols), out.path("users_clean"))
+    out = root if isinstance(root, Prepared) else Prepared(root)
+    out.write(clean_users(raw.users, org_cols), "users_clean", key="id")
     write_parquet(commit_years(raw.commits, years), out.path("commit_years"))
     bits = out.read(spark, "commit_years")
-    write_by_year(years_to_rows(bits, years), out.path("commits_yearly"))
-    write_parquet(first_year(bits, years), out.path("commits_first"))
+    out.write(years_to_rows(bits, years), "commits_yearly", key="author_id", by_year=True)
+    out.write(first_year(bits, years), "commits_first", key="author_id")
     return out
 
 
@@ -101,10 +130,11 @@ def prepare_secondary(spark: SparkSession, raw: RawInputs, prepared: Prepared) -
     write_parquet(clean_users(prepared.read(spark, "users_gov_secondary"), ORG_COLUMNS_SECONDARY),
                   prepared.path("users_clean_secondary"))
     write_parquet(first_commits_secondary(raw.commits_secondary), prepared.path("commits_first_secondary"))
-    write_parquet(merge_users(prepared.read(spark, "users_clean"), prepared.read(spark, "users_clean_secondary")),
-                  prepared.path("users_merged"))
-    write_parquet(merge_commits(prepared.read(spark, "commits_first"), prepared.read(spark, "commits_first_secondary")),
-                  prepared.path("commits_merged"))
+    prepared.write(merge_users(prepared.read(spark, "users_clean"), prepared.read(spark, "users_clean_secondary")),
+                   "users_merged", key="id")
+    prepared.write(merge_commits(prepared.read(spark, "commits_first"),
+                                 prepared.read(spark, "commits_first_secondary")),
+                   "commits_merged", key="author_id")
     return prepared
 
 

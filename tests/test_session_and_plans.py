@@ -50,3 +50,25 @@ def test_reports_join_commits_and_users_once(spark):
             assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_bucketed_preparation_same_results_and_no_join_shuffle(spark):
+    from collabstats.plans.jobs import Prepared, prepare_secondary
+
+    raw = RawInputs(adapter.raw_users(spark, SF001), adapter.raw_commits(spark, SF001),
+                    adapter.raw_users_secondary(spark, SF001), adapter.raw_commits_secondary(spark, SF001))
+    plain = prepare_secondary(spark, raw, prepare_primary(spark, raw, tempfile.mkdtemp(prefix="collabstats-test-")))
+    bucketed = prepare_secondary(spark, raw, prepare_primary(
+        spark, raw, Prepared(tempfile.mkdtemp(prefix="collabstats-test-"), buckets=4)))
+    a, b = report_builders(spark, plain, 2014), report_builders(spark, bucketed, 2014)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in a:
+            x, y = a[name](), b[name]()
+            assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
+            lines = y._jdf.queryExecution().executedPlan().toString().splitlines()
+            j = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+            assert not any("Exchange hashpartitioning" in line for line in lines[j + 1:]), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
