@@ -32,8 +32,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap.add_argument("--out", required=True)
     ap.add_argument("--year", type=int, default=REPORT_YEARS[-1])
     ap.add_argument("--format", choices=["csv", "parquet"], default="csv")
-    ap.add_argument("--buckets", type=int, default=None,
-                    help="buckets for the id-keyed prepared tables (default: spark.sql.shuffle.partitions; 0 = off)")
+    ap.add_argument("--buckets", type=int, default=0,
+                    help="bucket the id-keyed prepared tables into this many buckets (default 0 = off; see README)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("collabstats").getOrCreate()
@@ -44,8 +44,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
         users_secondary=spark.read.parquet(args.users2) if args.users2 else None,
         commits_secondary=spark.read.parquet(args.commits2) if args.commits2 else None,
     )
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if args.buckets is None else args.buckets
-    prepared = prepare_primary(spark, raw, Prepared(args.prepared, buckets=buckets or None))
+    prepared = prepare_primary(spark, raw, Prepared(args.prepared, buckets=args.buckets or None))
     if raw.users_secondary is not None and raw.commits_secondary is not None:
         prepare_secondary(spark, raw, prepared)
     return write_reports(reports(spark, prepared, args.year), args.out, args.format)

@@ -62,6 +62,11 @@ class Prepared:
     here.  Without a catalog entry for a table (e.g. a new session on an
     in-memory catalog) it is read as plain Parquet: same rows, just not
     co-located.
+
+    Trade-off: a bucketed join is not shuffled, so AQE cannot split a skewed
+    partition - all rows of one author are joined by the task of its bucket.
+    Use buckets when no author holds a large share of the commits; the
+    default (None) keeps shuffled joins, where AQE splits hot authors.
     """
 
     root: str
