@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from collabstats.operators.expand import expand_countries
+from collabstats.operators.skew import skewed_join
 from collabstats.schemas import MISSING_COUNTRY, US
 
 
 def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
-                     missing: str = MISSING_COUNTRY) -> DataFrame:
+                     missing: str = MISSING_COUNTRY, hot_rows: int | None = None) -> DataFrame:
     """(branch, country, n_users) for the year's commits by known users.
 
     One row per distinct (branch, country) plus one marker row per branch
@@ -33,7 +34,7 @@ def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
     commits = commits_yearly.where(F.col("commit_year") == year).select("branch", "author_id")
     per_id = expand_countries(users, missing).groupBy(F.col("id").alias("author_id")) \
         .agg(F.collect_set("country").alias("_cs"))
-    elems = commits.join(per_id, on="author_id", how="inner").select(
+    elems = skewed_join(commits, per_id, "author_id", "inner", salt_cols=["branch"], hot_rows=hot_rows).select(
         "branch", F.explode(F.concat("_cs", F.array(F.lit(None).cast("string")))).alias("country")
     )
     counts = elems.groupBy("branch", "country").agg(F.count(F.lit(1)).alias("_n"))
@@ -44,7 +45,7 @@ def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
 
 def collaborations_by_country(commits_yearly: DataFrame, users: DataFrame, year: int,
                               home: str = US, top_n: int | None = 11,
-                              missing: str = MISSING_COUNTRY) -> DataFrame:
+                              missing: str = MISSING_COUNTRY, hot_rows: int | None = None) -> DataFrame:
     """Per foreign country, distinct branches of three kinds of collaboration.
 
     Per branch (only known users count): n_users, has_home, n_foreign =
@@ -55,7 +56,7 @@ def collaborations_by_country(commits_yearly: DataFrame, users: DataFrame, year:
     Only foreign countries are rows; a country with all three counts 0 is
     absent.  Top n by `collaborations_with_us`, ties broken by name (T10).
     """
-    bc = branch_countries(commits_yearly, users, year, missing)
+    bc = branch_countries(commits_yearly, users, year, missing, hot_rows)
     country = F.col("country")
     foreign = (country != home) & (country != missing)
     by_branch = Window.partitionBy("branch")
@@ -78,7 +79,7 @@ def collaborations_by_country(commits_yearly: DataFrame, users: DataFrame, year:
 
 
 def codeveloped_pairs(commits_yearly: DataFrame, users: DataFrame, year: int,
-                      missing: str = MISSING_COUNTRY, min_users: int = 2) -> DataFrame:
+                      missing: str = MISSING_COUNTRY, min_users: int = 2, hot_rows: int | None = None) -> DataFrame:
     """C11: distinct branches per unordered country pair (country_1 < country_2).
 
     Branches need >= `min_users` distinct known users (counted including users
@@ -91,7 +92,7 @@ def codeveloped_pairs(commits_yearly: DataFrame, users: DataFrame, year: int,
     its pairs weighted by that count.  Byte order decides which country is
     listed first (T13).
     """
-    bc = branch_countries(commits_yearly, users, year, missing)
+    bc = branch_countries(commits_yearly, users, year, missing, hot_rows)
     sets = (
         bc.where(F.col("country").isNotNull() & (F.col("country") != missing) & (F.col("n_users") >= min_users))
         .groupBy("branch").agg(F.array_sort(F.collect_set("country")).alias("countries"))

@@ -12,7 +12,8 @@ runs once per report and nothing is consumed twice:
    split depends only on the user, not on the branch, so it is computed on
    the (smaller) user table, one row per id, like a dimension;
 2. left-join the commits to it on the author id (one output row per commit
-   row); unmatched authors get the labels with weight 1;
+   row; hot authors salted, see `skew`); unmatched authors get the labels
+   with weight 1;
 3. explode each row into its combinations plus one *marker* element (all
    values NULL, weight 1) that counts the author, and pre-aggregate to
    (branch[, year], values) with map-side partial aggregation, so a hot
@@ -35,6 +36,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from collabstats.operators.skew import skewed_join
+
 
 def user_splits(users_x: DataFrame, dims: Sequence[str]) -> DataFrame:
     """(id, elements): per user id, an array of (*dims, w) structs - each
@@ -62,7 +65,7 @@ def _marker(dims: Sequence[str]) -> Column:
 
 
 def credit_cells(commits: DataFrame, users_x: DataFrame, dims: Sequence[str], labels: Sequence[str],
-                 year_col: str | None = None) -> DataFrame:
+                 year_col: str | None = None, hot_rows: int | None = None) -> DataFrame:
     """Per kept branch: (branch[, year], *dims, credit, is_total).
 
     `commits` holds (branch, author_id[, year_col]).  With `year_col`, a
@@ -73,7 +76,8 @@ def credit_cells(commits: DataFrame, users_x: DataFrame, dims: Sequence[str], la
     """
     keys = ["branch"] + ([year_col] if year_col else [])
     splits = user_splits(users_x, dims).withColumnRenamed("id", "author_id")
-    joined = commits.select("author_id", *keys).join(splits, on="author_id", how="left")
+    joined = skewed_join(commits.select("author_id", *keys), splits, "author_id", "left", salt_cols=["branch"],
+                         hot_rows=hot_rows)
 
     unmatched = F.concat(
         F.array(F.struct(*[F.lit(lbl).alias(d) for d, lbl in zip(dims, labels)], F.lit(1.0).alias("w"))),

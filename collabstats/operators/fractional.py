@@ -28,7 +28,7 @@ from collabstats.schemas import (
 
 
 def fractional_repos_by_country(commits_yearly: DataFrame, users: DataFrame, year: int,
-                                missing: str = MISSING_COUNTRY) -> DataFrame:
+                                missing: str = MISSING_COUNTRY, hot_rows: int | None = None) -> DataFrame:
     """(country, total_repositories) for one year, sorted descending.
 
     Left join, so authors unknown to the user table count as the missing
@@ -36,7 +36,7 @@ def fractional_repos_by_country(commits_yearly: DataFrame, users: DataFrame, yea
     equals the number of kept branches.
     """
     commits = commits_yearly.where(F.col("commit_year") == year).select("branch", "author_id")
-    cells = credit_cells(commits, expand_countries(users, missing), ["country"], [missing])
+    cells = credit_cells(commits, expand_countries(users, missing), ["country"], [missing], hot_rows=hot_rows)
     return (
         cells.where(~F.col("is_total"))
         .groupBy("country").agg(F.sum("credit").alias("total_repositories"))
@@ -44,13 +44,14 @@ def fractional_repos_by_country(commits_yearly: DataFrame, users: DataFrame, yea
     )
 
 
-def _first_year_cells(first_commits: DataFrame, users_x: DataFrame, dims, labels) -> DataFrame:
+def _first_year_cells(first_commits: DataFrame, users_x: DataFrame, dims, labels, hot_rows) -> DataFrame:
     commits = first_commits.select("branch", "author_id", F.col("min_commit_year").alias("year"))
-    return credit_cells(commits, users_x, dims, labels, year_col="year")
+    return credit_cells(commits, users_x, dims, labels, year_col="year", hot_rows=hot_rows)
 
 
 def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years: Sequence[int] = REPORT_YEARS,
-                             home: str = US, missing: str = MISSING, unclassified: str = UNCLASSIFIED) -> DataFrame:
+                             home: str = US, missing: str = MISSING, unclassified: str = UNCLASSIFIED,
+                             hot_rows: int | None = None) -> DataFrame:
     """First-year fractional credit by sector and year.
 
     Rows: Total Repos; Total (Global) = neither home nor missing; Total (US);
@@ -59,7 +60,7 @@ def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years:
     A home cell counts toward Total (US) and toward its sector row.
     """
     ux = expand_country_sector(users, missing, unclassified)
-    cells = _first_year_cells(first_commits, ux, ["country_val", "sector_val"], [missing, unclassified])
+    cells = _first_year_cells(first_commits, ux, ["country_val", "sector_val"], [missing, unclassified], hot_rows)
     # Small cube first (year x class x sector), then each cube row adds to its report rows.
     cube = cells.groupBy("year", "is_total", "country_val", "sector_val").agg(F.sum("credit").alias("credit"))
     country = F.col("country_val")
@@ -76,7 +77,7 @@ def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years:
 
 
 def new_repos_by_country_year(first_commits: DataFrame, users: DataFrame, years: Sequence[int] = REPORT_YEARS,
-                              top_n: int = 10, missing: str = MISSING) -> DataFrame:
+                              top_n: int = 10, missing: str = MISSING, hot_rows: int | None = None) -> DataFrame:
     """C17: first-year fractional credit by country and year.
 
     Rows: Total Repos; Total (Any Country); the top-n countries by total over
@@ -89,7 +90,7 @@ def new_repos_by_country_year(first_commits: DataFrame, users: DataFrame, years:
     report rows and one aggregation stacks them.
     """
     ux = expand_countries(users, missing, out="country_val")
-    cells = _first_year_cells(first_commits, ux, ["country_val"], [missing])
+    cells = _first_year_cells(first_commits, ux, ["country_val"], [missing], hot_rows)
     cube = cells.groupBy("is_total", "country_val", "year").agg(F.sum("credit").alias("credit"))
     per_country = cube.groupBy("is_total", "country_val").agg(
         F.sum("credit").alias("overall"), *year_sums("credit", "year", years)

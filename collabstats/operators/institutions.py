@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from collabstats.functions.lists import not_in_keep_null
 from collabstats.operators.expand import expand_aligned
+from collabstats.operators.skew import skewed_join
 from collabstats.plans.report import contributions, order_rows, pivot_years, stack_blocks
 from collabstats.schemas import (
     AGENCY_LIST,
@@ -28,7 +29,8 @@ from collabstats.schemas import (
 
 
 def branch_org_first_year(first_commits: DataFrame, users: DataFrame, country: str | None = US,
-                          sectors: Sequence[str] = ("government",), keep_sector: bool = False) -> DataFrame:
+                          sectors: Sequence[str] = ("government",), keep_sector: bool = False,
+                          hot_rows: int | None = None) -> DataFrame:
     """(branch, org[, sector], first_year) for users whose aligned entry has
     the given country and one of the sectors at the same list position.
 
@@ -40,7 +42,8 @@ def branch_org_first_year(first_commits: DataFrame, users: DataFrame, country: s
         ux = ux.where(F.col("country") == country)
     keys = ["org", "sector"] if keep_sector else ["org"]
     ux = ux.select(F.col("id").alias("author_id"), *keys)
-    joined = first_commits.select("author_id", "branch", "min_commit_year").join(ux, on="author_id", how="inner")
+    joined = skewed_join(first_commits.select("author_id", "branch", "min_commit_year"), ux, "author_id", "inner",
+                         salt_cols=["branch"], hot_rows=hot_rows)
     return joined.groupBy("branch", *keys).agg(F.min("min_commit_year").alias("first_year"))
 
 
@@ -57,7 +60,7 @@ def _agency_rows(agencies: Sequence[str]):
 
 def new_repos_by_agency_year(first_commits: DataFrame, users: DataFrame,
                              agencies: Sequence[str] = AGENCY_LIST,
-                             years: Sequence[int] = REPORT_YEARS) -> DataFrame:
+                             years: Sequence[int] = REPORT_YEARS, hot_rows: int | None = None) -> DataFrame:
     """New repositories per listed agency and first year, years as columns.
 
     Federal Total counts (branch, org) pairs - a branch touched by two agencies
@@ -65,18 +68,18 @@ def new_repos_by_agency_year(first_commits: DataFrame, users: DataFrame,
     org is not listed (NULL excluded, '' included).  Agencies without data
     have no row.  Columns are the given years, 0 where absent.
     """
-    bo = branch_org_first_year(first_commits, users)
+    bo = branch_org_first_year(first_commits, users, hot_rows=hot_rows)
     rows = bo.select("first_year", F.explode(_agency_rows(agencies)).alias("institution"))
     wide = pivot_years(rows, "institution", "first_year", None, years)
     return order_rows(wide, "institution", [FEDERAL_TOTAL, *agencies, ALL_OTHER_FEDERAL])
 
 
 def repos_by_agency(first_commits: DataFrame, users: DataFrame,
-                    agencies: Sequence[str] = AGENCY_LIST) -> DataFrame:
+                    agencies: Sequence[str] = AGENCY_LIST, hot_rows: int | None = None) -> DataFrame:
     """C14: repositories per listed agency over all years, plus Federal Total
     and All Other Federal (both always present, 0 on empty input)."""
     spark: SparkSession = first_commits.sparkSession
-    bo = branch_org_first_year(first_commits, users)
+    bo = branch_org_first_year(first_commits, users, hot_rows=hot_rows)
     rows = bo.select(F.explode(_agency_rows(agencies)).alias("institution"), F.lit(1).alias("n"))
     always = spark.createDataFrame([(FEDERAL_TOTAL, 0), (ALL_OTHER_FEDERAL, 0)], "institution string, n int")
     out = stack_blocks(rows, always).groupBy("institution").agg(F.sum("n").cast("bigint").alias("n_repositories"))
@@ -84,7 +87,8 @@ def repos_by_agency(first_commits: DataFrame, users: DataFrame,
 
 
 def top_institutions(first_commits: DataFrame, users: DataFrame, top_n: int = 10,
-                     blocks: Sequence[tuple] = INSTITUTION_BLOCKS, buckets: int = 1024) -> DataFrame:
+                     blocks: Sequence[tuple] = INSTITUTION_BLOCKS, buckets: int = 1024,
+                     hot_rows: int | None = None) -> DataFrame:
     """Per sector block - header, total, top-n organisations, all other.
 
     Counts are distinct branches per (org, sector).  Excluded orgs ('' and the
@@ -102,7 +106,8 @@ def top_institutions(first_commits: DataFrame, users: DataFrame, top_n: int = 10
     spark: SparkSession = first_commits.sparkSession
     sectors = [b[0] for b in blocks]
     counts = (
-        branch_org_first_year(first_commits, users, country=None, sectors=sectors, keep_sector=True)
+        branch_org_first_year(first_commits, users, country=None, sectors=sectors, keep_sector=True,
+                              hot_rows=hot_rows)
         .groupBy("org", "sector").agg(F.count(F.lit(1)).alias("n"))
     )
     eligible = None

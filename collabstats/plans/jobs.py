@@ -63,10 +63,12 @@ class Prepared:
     in-memory catalog) it is read as plain Parquet: same rows, just not
     co-located.
 
-    Trade-off: a bucketed join is not shuffled, so AQE cannot split a skewed
-    partition - all rows of one author are joined by the task of its bucket.
-    Use buckets when no author holds a large share of the commits; the
-    default (None) keeps shuffled joins, where AQE splits hot authors.
+    Trade-off: a bucketed join is not shuffled, so a hot author cannot be
+    split - all its rows are joined by the task of its bucket.  Choosing
+    buckets declares that no author holds a large share of the commits, and
+    the reports then skip the hot-key salting (`operators.skew`), which
+    would undo the co-location.  The default (None) keeps salted, shuffled
+    joins.
     """
 
     root: str
@@ -155,16 +157,18 @@ def report_builders(spark: SparkSession, prepared: Prepared, year: int,
             return prepared.read(spark, "commits_merged"), prepared.read(spark, "users_merged")
         return first(), users()  # no second source prepared: agency tables over the first source
 
+    # A bucketed layout declares that no author is hot: plain (co-located) joins.
+    h = {"hot_rows": 0} if prepared.buckets else {}
     return {
-        "collab_by_country": lambda: collaborations_by_country(yearly(), users(), year, top_n=11),
-        "collab_by_country_supp": lambda: collaborations_by_country(yearly(), users(), year, top_n=51),
-        "codeveloped_pairs": lambda: codeveloped_pairs(yearly(), users(), year),
-        "fractional_by_country": lambda: fractional_repos_by_country(yearly(), users(), year),
-        "top_institutions": lambda: top_institutions(first(), users()),
-        "sectors_by_year": lambda: new_repos_by_sector_year(first(), users(), years),
-        "countries_by_year": lambda: new_repos_by_country_year(first(), users(), years),
-        "agency_new_by_year": lambda: new_repos_by_agency_year(*merged(), years=years),
-        "agency_totals": lambda: repos_by_agency(*merged()),
+        "collab_by_country": lambda: collaborations_by_country(yearly(), users(), year, top_n=11, **h),
+        "collab_by_country_supp": lambda: collaborations_by_country(yearly(), users(), year, top_n=51, **h),
+        "codeveloped_pairs": lambda: codeveloped_pairs(yearly(), users(), year, **h),
+        "fractional_by_country": lambda: fractional_repos_by_country(yearly(), users(), year, **h),
+        "top_institutions": lambda: top_institutions(first(), users(), **h),
+        "sectors_by_year": lambda: new_repos_by_sector_year(first(), users(), years, **h),
+        "countries_by_year": lambda: new_repos_by_country_year(first(), users(), years, **h),
+        "agency_new_by_year": lambda: new_repos_by_agency_year(*merged(), years=years, **h),
+        "agency_totals": lambda: repos_by_agency(*merged(), **h),
     }
 
 

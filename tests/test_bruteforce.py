@@ -103,6 +103,19 @@ def r6(x):
     return round(x, 6)
 
 
+@pytest.fixture(params=["plain", "salted"], autouse=True)
+def salting(request, monkeypatch):
+    """Run every comparison twice: default threshold (no key is hot) and with
+    the hot-key threshold at 3 rows, so the hot author and most others take
+    the salted join path."""
+    from collabstats.operators import skew
+
+    if request.param == "salted":
+        monkeypatch.setattr(skew, "HOT_ROWS", 3)
+        monkeypatch.setattr(skew, "SALTS", 4)
+    return request.param
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_fractional_by_country_bruteforce(spark, seed):
     users, first = make_fixture(seed)
@@ -204,3 +217,17 @@ def test_collab_and_pairs_bruteforce(spark, seed):
     assert got == want_collab
     got_pairs = {(r.country_1, r.country_2): r.co_developed_repositories for r in codeveloped_pairs(y, u, 2014).collect()}
     assert got_pairs == want_pairs
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    from collabstats.operators.skew import skewed_join
+
+    large = spark.createDataFrame([(1, f"b{i}") for i in range(400)] + [(2, "x"), (3, "y")], "author_id long, branch string")
+    small = spark.createDataFrame([(1, "A"), (1, "B"), (2, "C")], "author_id long, country string")
+    out = skewed_join(large, small, "author_id", "left", ["branch"], hot_rows=100, salts=8)
+    rows = out.collect()
+    assert len(rows) == 400 * 2 + 1 + 1            # every large row meets each of its key's small rows once
+    assert sorted({r.country for r in rows if r.author_id == 1}) == ["A", "B"]
+    assert [r.country for r in rows if r.author_id == 3] == [None]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
