@@ -11,7 +11,7 @@ from collabstats.schemas import MISSING_COUNTRY, US
 
 
 def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
-                     missing: str = MISSING_COUNTRY, hot_rows: int | None = None) -> DataFrame:
+                     missing: str = MISSING_COUNTRY, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """(branch, country, n_users) for the year's commits by known users.
 
     One row per distinct (branch, country) plus one marker row per branch
@@ -45,7 +45,7 @@ def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
 
 def collaborations_by_country(commits_yearly: DataFrame, users: DataFrame, year: int,
                               home: str = US, top_n: int | None = 11,
-                              missing: str = MISSING_COUNTRY, hot_rows: int | None = None) -> DataFrame:
+                              missing: str = MISSING_COUNTRY, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """Per foreign country, distinct branches of three kinds of collaboration.
 
     Per branch (only known users count): n_users, has_home, n_foreign =
@@ -79,7 +79,7 @@ def collaborations_by_country(commits_yearly: DataFrame, users: DataFrame, year:
 
 
 def codeveloped_pairs(commits_yearly: DataFrame, users: DataFrame, year: int,
-                      missing: str = MISSING_COUNTRY, min_users: int = 2, hot_rows: int | None = None) -> DataFrame:
+                      missing: str = MISSING_COUNTRY, min_users: int = 2, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """C11: distinct branches per unordered country pair (country_1 < country_2).
 
     Branches need >= `min_users` distinct known users (counted including users

@@ -65,7 +65,7 @@ def _marker(dims: Sequence[str]) -> Column:
 
 
 def credit_cells(commits: DataFrame, users_x: DataFrame, dims: Sequence[str], labels: Sequence[str],
-                 year_col: str | None = None, hot_rows: int | None = None) -> DataFrame:
+                 year_col: str | None = None, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """Per kept branch: (branch[, year], *dims, credit, is_total).
 
     `commits` holds (branch, author_id[, year_col]).  With `year_col`, a

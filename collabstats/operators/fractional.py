@@ -28,7 +28,7 @@ from collabstats.schemas import (
 
 
 def fractional_repos_by_country(commits_yearly: DataFrame, users: DataFrame, year: int,
-                                missing: str = MISSING_COUNTRY, hot_rows: int | None = None) -> DataFrame:
+                                missing: str = MISSING_COUNTRY, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """(country, total_repositories) for one year, sorted descending.
 
     Left join, so authors unknown to the user table count as the missing
@@ -51,7 +51,7 @@ def _first_year_cells(first_commits: DataFrame, users_x: DataFrame, dims, labels
 
 def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years: Sequence[int] = REPORT_YEARS,
                              home: str = US, missing: str = MISSING, unclassified: str = UNCLASSIFIED,
-                             hot_rows: int | None = None) -> DataFrame:
+                             hot_rows: int | DataFrame | None = None) -> DataFrame:
     """First-year fractional credit by sector and year.
 
     Rows: Total Repos; Total (Global) = neither home nor missing; Total (US);
@@ -77,7 +77,7 @@ def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years:
 
 
 def new_repos_by_country_year(first_commits: DataFrame, users: DataFrame, years: Sequence[int] = REPORT_YEARS,
-                              top_n: int = 10, missing: str = MISSING, hot_rows: int | None = None) -> DataFrame:
+                              top_n: int = 10, missing: str = MISSING, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """C17: first-year fractional credit by country and year.
 
     Rows: Total Repos; Total (Any Country); the top-n countries by total over

@@ -30,7 +30,7 @@ from collabstats.schemas import (
 
 def branch_org_first_year(first_commits: DataFrame, users: DataFrame, country: str | None = US,
                           sectors: Sequence[str] = ("government",), keep_sector: bool = False,
-                          hot_rows: int | None = None) -> DataFrame:
+                          hot_rows: int | DataFrame | None = None) -> DataFrame:
     """(branch, org[, sector], first_year) for users whose aligned entry has
     the given country and one of the sectors at the same list position.
 
@@ -60,7 +60,7 @@ def _agency_rows(agencies: Sequence[str]):
 
 def new_repos_by_agency_year(first_commits: DataFrame, users: DataFrame,
                              agencies: Sequence[str] = AGENCY_LIST,
-                             years: Sequence[int] = REPORT_YEARS, hot_rows: int | None = None) -> DataFrame:
+                             years: Sequence[int] = REPORT_YEARS, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """New repositories per listed agency and first year, years as columns.
 
     Federal Total counts (branch, org) pairs - a branch touched by two agencies
@@ -75,7 +75,7 @@ def new_repos_by_agency_year(first_commits: DataFrame, users: DataFrame,
 
 
 def repos_by_agency(first_commits: DataFrame, users: DataFrame,
-                    agencies: Sequence[str] = AGENCY_LIST, hot_rows: int | None = None) -> DataFrame:
+                    agencies: Sequence[str] = AGENCY_LIST, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """C14: repositories per listed agency over all years, plus Federal Total
     and All Other Federal (both always present, 0 on empty input)."""
     spark: SparkSession = first_commits.sparkSession
@@ -88,7 +88,7 @@ def repos_by_agency(first_commits: DataFrame, users: DataFrame,
 
 def top_institutions(first_commits: DataFrame, users: DataFrame, top_n: int = 10,
                      blocks: Sequence[tuple] = INSTITUTION_BLOCKS, buckets: int = 1024,
-                     hot_rows: int | None = None) -> DataFrame:
+                     hot_rows: int | DataFrame | None = None) -> DataFrame:
     """Per sector block - header, total, top-n organisations, all other.
 
     Counts are distinct branches per (org, sector).  Excluded orgs ('' and the

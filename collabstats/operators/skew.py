@@ -32,17 +32,27 @@ HOT_ROWS = 1_000_000   # rows per key beyond which a key is split
 SALTS = 64
 
 
-def skewed_join(large: DataFrame, small: DataFrame, key: str, how: str, salt_cols: Sequence[str],
-                hot_rows: int | None = None, salts: int | None = None) -> DataFrame:
+def hot_keys(large: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """Keys with at least `hot_rows` rows: at most rows(large) / hot_rows of them."""
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    salts = SALTS if salts is None else salts
-    if hot_rows == 0:   # caller guarantees no hot keys (e.g. inputs bucketed by the key)
-        return large.join(small, on=key, how=how)
-    hot = (
+    return (
         large.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= hot_rows).select(key, F.lit(True).alias("_hot"))
+        .where(F.col("_rows") >= hot_rows).select(key)
     )
-    hot = F.broadcast(hot)   # <= rows(large) / hot_rows keys
+
+
+def skewed_join(large: DataFrame, small: DataFrame, key: str, how: str, salt_cols: Sequence[str],
+                hot_rows: int | DataFrame | None = None, salts: int | None = None) -> DataFrame:
+    """`hot_rows`: threshold (default HOT_ROWS), 0 for a plain join, or a
+    DataFrame of hot keys computed beforehand (e.g. during preparation)."""
+    salts = SALTS if salts is None else salts
+    if isinstance(hot_rows, DataFrame):
+        hot = hot_rows.select(key)
+    elif hot_rows == 0:   # caller guarantees no hot keys (e.g. inputs bucketed by the key)
+        return large.join(small, on=key, how=how)
+    else:
+        hot = hot_keys(large, key, hot_rows)
+    hot = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))   # bounded: see hot_keys
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     large_s = large.join(hot, on=key, how="left").select(
         *large.columns, F.when(is_hot, F.pmod(F.xxhash64(*salt_cols), F.lit(salts))).otherwise(F.lit(0)).alias("_salt")

@@ -17,6 +17,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from collabstats.operators.clean import attach_agency, classify_agency, clean_users
 from collabstats.operators.collab import codeveloped_pairs, collaborations_by_country
@@ -28,6 +29,7 @@ from collabstats.operators.fractional import (
 )
 from collabstats.operators.institutions import new_repos_by_agency_year, repos_by_agency, top_institutions
 from collabstats.operators.merge import merge_commits, merge_users
+from collabstats.operators.skew import hot_keys
 from collabstats.schemas import (
     COMMITS_FIRST_SCHEMA,
     COMMITS_YEARLY_SCHEMA,
@@ -112,6 +114,7 @@ PREPARED_SCHEMAS = {
     "commits_first": COMMITS_FIRST_SCHEMA,
     "commits_first_secondary": COMMITS_FIRST_SCHEMA,
     "commits_merged": COMMITS_FIRST_SCHEMA,
+    "hot_authors": T.StructType([T.StructField("author_id", T.LongType())]),
 }
 
 
@@ -124,6 +127,8 @@ def prepare_primary(spark: SparkSession, raw: RawInputs, root: str | Prepared,
     out.write(clean_users(raw.users, org_cols), "users_clean", key="id")
     write_parquet(commit_years(raw.commits, years), out.path("commit_years"))
     bits = out.read(spark, "commit_years")
+    # Authors with many (author, branch) pairs, salted in every report's join.
+    write_parquet(hot_keys(bits, "author_id"), out.path("hot_authors"))
     out.write(years_to_rows(bits, years), "commits_yearly", key="author_id", by_year=True)
     out.write(first_year(bits, years), "commits_first", key="author_id")
     return out
@@ -158,7 +163,13 @@ def report_builders(spark: SparkSession, prepared: Prepared, year: int,
         return first(), users()  # no second source prepared: agency tables over the first source
 
     # A bucketed layout declares that no author is hot: plain (co-located) joins.
-    h = {"hot_rows": 0} if prepared.buckets else {}
+    # Otherwise the hot authors found during preparation are salted.
+    if prepared.buckets:
+        h = {"hot_rows": 0}
+    elif prepared.exists(spark, "hot_authors"):
+        h = {"hot_rows": prepared.read(spark, "hot_authors")}
+    else:
+        h = {}
     return {
         "collab_by_country": lambda: collaborations_by_country(yearly(), users(), year, top_n=11, **h),
         "collab_by_country_supp": lambda: collaborations_by_country(yearly(), users(), year, top_n=51, **h),

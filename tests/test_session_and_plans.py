@@ -75,3 +75,23 @@ def test_bucketed_preparation_same_results_and_no_join_shuffle(spark):
             assert not any("Exchange hashpartitioning" in line for line in lines[j + 1:]), name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_prepared_hot_authors_are_salted(spark, monkeypatch):
+    """With a low threshold, preparation records hot authors and the reports
+    salt them; results equal the plain-join results."""
+    from collabstats.operators import skew
+    from collabstats.plans.jobs import Prepared
+
+    raw = RawInputs(adapter.raw_users(spark, SF001), adapter.raw_commits(spark, SF001))
+    plain = Prepared(tempfile.mkdtemp(prefix="collabstats-test-"), buckets=2)   # plain joins
+    prepare_primary(spark, raw, plain)
+    monkeypatch.setattr(skew, "HOT_ROWS", 4)
+    monkeypatch.setattr(skew, "SALTS", 3)
+    salted = prepare_primary(spark, raw, tempfile.mkdtemp(prefix="collabstats-test-"))
+    assert salted.read(spark, "hot_authors").count() > 10
+    a, b = report_builders(spark, plain, 2014), report_builders(spark, salted, 2014)
+    for name in ("fractional_by_country", "sectors_by_year", "collab_by_country", "top_institutions"):
+        x, y = a[name](), b[name]()
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
+        assert "_salt" in y._jdf.queryExecution().executedPlan().toString(), name
