@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from collabstats.operators.expand import expand_countries
 from collabstats.operators.skew import skewed_join
+from collabstats.sources.parquet import require_columns
 from collabstats.schemas import MISSING_COUNTRY, US
 
 
@@ -31,6 +32,7 @@ def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
     Precondition: the commits are distinct on (branch, author_id, commit_year),
     as the yearly table is.
     """
+    require_columns(commits_yearly, ["branch", "author_id", "commit_year"], "yearly commits")
     commits = commits_yearly.where(F.col("commit_year") == year).select("branch", "author_id")
     per_id = expand_countries(users, missing).groupBy(F.col("id").alias("author_id")) \
         .agg(F.collect_set("country").alias("_cs"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from collabstats.schemas import FIRST_YEAR, REPORT_YEARS
+from collabstats.sources.parquet import require_columns
 
 
 def year_range_predicate(col: str, first: int, last: int, dtype: T.DataType | None = None):
@@ -33,6 +34,7 @@ def commit_rows(raw: DataFrame, years: Sequence[int] = REPORT_YEARS) -> DataFram
     author ids are dropped (trap T8: they would be rows without a user and
     make credits exceed 1).
     """
+    require_columns(raw, ["branch", "authors_id", "committedat"], "raw commits")
     lo, hi = min(years), max(years)
     rows = (
         raw.where(year_range_predicate("committedat", lo, hi, raw.schema["committedat"].dataType))

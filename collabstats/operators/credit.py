@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collabstats.operators.skew import skewed_join
+from collabstats.sources.parquet import require_columns
 
 
 def user_splits(users_x: DataFrame, dims: Sequence[str]) -> DataFrame:
@@ -75,6 +76,7 @@ def credit_cells(commits: DataFrame, users_x: DataFrame, dims: Sequence[str], la
     `is_total` rows (dims NULL) carry the branch's total, n_users x 1/n_users.
     """
     keys = ["branch"] + ([year_col] if year_col else [])
+    require_columns(commits, ["author_id", *keys], "commits")
     splits = user_splits(users_x, dims).withColumnRenamed("id", "author_id")
     joined = skewed_join(commits.select("author_id", *keys), splits, "author_id", "left", salt_cols=["branch"],
                          hot_rows=hot_rows)

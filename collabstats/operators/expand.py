@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from collabstats.functions.lists import label_missing, split_list
+from collabstats.sources.parquet import require_columns
 from collabstats.schemas import MISSING, MISSING_COUNTRY, UNCLASSIFIED
 
 
@@ -18,6 +19,7 @@ def expand_countries(users: DataFrame, missing: str = MISSING_COUNTRY, out: str
     A user with no country has `country_cleaned = ''` and so yields one row
     with the label (trap T4).
     """
+    require_columns(users, ["id", "country_cleaned"], "users")
     return (
         users.select("id", F.explode(split_list("country_cleaned")).alias("_c"))
         .select("id", label_missing(F.trim("_c"), missing).alias(out))
@@ -31,6 +33,7 @@ def expand_aligned(users: DataFrame) -> DataFrame:
     `arrays_zip` does).  Each list is coalesced to an empty array so one NULL
     list does not drop the user (trap T3).  Values are trimmed, not labelled.
     """
+    require_columns(users, ["id", "organization_cleaned", "country_cleaned", "sector"], "users")
     zipped = F.arrays_zip(
         split_list("organization_cleaned").alias("org"),
         split_list("country_cleaned").alias("country"),
@@ -45,6 +48,7 @@ def expand_aligned(users: DataFrame) -> DataFrame:
 def expand_country_sector(users: DataFrame, missing: str = MISSING, unclassified: str = UNCLASSIFIED) -> DataFrame:
     """(id, country_val, sector_val) - country and sector unnested in
     separate steps, i.e. their cross product per user."""
+    require_columns(users, ["id", "country_cleaned", "sector"], "users")
     return (
         users.select(
             "id",

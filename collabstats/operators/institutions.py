@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from collabstats.functions.lists import not_in_keep_null
 from collabstats.operators.expand import expand_aligned
 from collabstats.operators.skew import skewed_join
+from collabstats.sources.parquet import require_columns
 from collabstats.plans.report import contributions, order_rows, pivot_years, stack_blocks
 from collabstats.schemas import (
     AGENCY_LIST,
@@ -37,6 +38,7 @@ def branch_org_first_year(first_commits: DataFrame, users: DataFrame, country: s
     NULL org (a shorter organisation list) is a group of its own.  The user
     filter runs before the join, so only qualifying users are shuffled.
     """
+    require_columns(first_commits, ["author_id", "branch", "min_commit_year"], "first commits")
     ux = expand_aligned(users).where(F.col("sector").isin(list(sectors)))
     if country is not None:
         ux = ux.where(F.col("country") == country)

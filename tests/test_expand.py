@@ -22,3 +22,12 @@ def test_expand_country_sector_is_cross_product(spark):
     u = users_df(spark, [(1, "A, B", "", "x, y"), (2, "", "", "")])
     got = sorted(tuple(r) for r in expand_country_sector(u).collect())
     assert got == [(1, "A", "x"), (1, "A", "y"), (1, "B", "x"), (1, "B", "y"), (2, "Missing", "Unclassified")]
+
+
+def test_missing_columns_are_reported(spark):
+    import pytest
+
+    from collabstats.sources.parquet import MissingColumnsError
+
+    with pytest.raises(MissingColumnsError, match="country_cleaned"):
+        expand_countries(spark.createDataFrame([(1, "x")], "id bigint, country string"))
