@@ -7,12 +7,16 @@ hot keys are salted explicitly:
 
 * hot keys = keys with at least `hot_rows` rows on the large side, found by a
   partially aggregated count; there are at most N / hot_rows of them, so the
-  set has a proven size bound and is broadcast;
+  set has a proven size bound and is broadcast.  Each hot key gets
+  min(MAX_SALTS, ceil(rows / hot_rows)) salts, so a key holding a third of
+  all rows is cut into pieces of about `hot_rows` rows, not into a fixed
+  number of (still huge) pieces;
 * large side: rows of a hot key get salt pmod(xxhash64(salt_cols), salts) -
   deterministic, so a retried task produces the same rows - others salt 0;
-* small side: rows of a hot key are replicated once per salt value;
-* join on (key, salt): a hot key is spread over `salts` tasks, and both join
-  inputs are ordinary shuffles, so AQE's own skew splitting applies too.
+* small side: rows of a hot key are replicated once per salt value (a few
+  user rows times its salt count);
+* join on (key, salt): both join inputs are ordinary shuffles, so AQE's own
+  skew splitting applies too.
 
 Rows are neither dropped nor duplicated: each large-side row meets exactly the
 small-side rows of its key (through the one replica with its salt).
@@ -28,37 +32,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000   # rows per key beyond which a key is split
-SALTS = 64
+HOT_ROWS = 1_000_000   # rows per key beyond which a key is split, and rows per piece
+MAX_SALTS = 16_384     # pieces per key at most
 
 
-def hot_keys(large: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
-    """Keys with at least `hot_rows` rows: at most rows(large) / hot_rows of them."""
+def hot_keys(large: DataFrame, key: str, hot_rows: int | None = None, max_salts: int | None = None) -> DataFrame:
+    """(key, salts) for keys with at least `hot_rows` rows - at most
+    rows(large) / hot_rows of them - with salts = min(max_salts, ceil(rows / hot_rows))."""
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    max_salts = MAX_SALTS if max_salts is None else max_salts
+    salts = F.least(F.lit(max_salts), F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int"))
     return (
         large.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= hot_rows).select(key)
+        .where(F.col("_rows") >= hot_rows).select(key, F.greatest(salts, F.lit(2)).alias("salts"))
     )
 
 
 def skewed_join(large: DataFrame, small: DataFrame, key: str, how: str, salt_cols: Sequence[str],
-                hot_rows: int | DataFrame | None = None, salts: int | None = None) -> DataFrame:
+                hot_rows: int | DataFrame | None = None) -> DataFrame:
     """`hot_rows`: threshold (default HOT_ROWS), 0 for a plain join, or a
-    DataFrame of hot keys computed beforehand (e.g. during preparation)."""
-    salts = SALTS if salts is None else salts
+    DataFrame of `hot_keys` computed beforehand (e.g. during preparation)."""
     if isinstance(hot_rows, DataFrame):
-        hot = hot_rows.select(key)
+        hot = hot_rows.select(key, "salts")
     elif hot_rows == 0:   # caller guarantees no hot keys (e.g. inputs bucketed by the key)
         return large.join(small, on=key, how=how)
     else:
         hot = hot_keys(large, key, hot_rows)
-    hot = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))   # bounded: see hot_keys
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    hot = F.broadcast(hot.select(key, F.col("salts").alias("_salts")))   # bounded: see hot_keys
+    is_hot = F.col("_salts").isNotNull()
     large_s = large.join(hot, on=key, how="left").select(
-        *large.columns, F.when(is_hot, F.pmod(F.xxhash64(*salt_cols), F.lit(salts))).otherwise(F.lit(0)).alias("_salt")
+        *large.columns,
+        F.when(is_hot, F.pmod(F.xxhash64(*salt_cols), F.col("_salts").cast("long"))).otherwise(F.lit(0)).alias("_salt"),
     )
     small_s = small.join(hot, on=key, how="left").select(
         *small.columns,
-        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"),
+        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.col("_salts") - 1)).otherwise(F.array(F.lit(0)))).alias("_salt"),
     )
     return large_s.join(small_s, on=[key, "_salt"], how=how).drop("_salt")

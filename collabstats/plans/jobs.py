@@ -114,7 +114,7 @@ PREPARED_SCHEMAS = {
     "commits_first": COMMITS_FIRST_SCHEMA,
     "commits_first_secondary": COMMITS_FIRST_SCHEMA,
     "commits_merged": COMMITS_FIRST_SCHEMA,
-    "hot_authors": T.StructType([T.StructField("author_id", T.LongType())]),
+    "hot_authors": T.StructType([T.StructField("author_id", T.LongType()), T.StructField("salts", T.IntegerType())]),
 }
 
 

@@ -112,7 +112,7 @@ def salting(request, monkeypatch):
 
     if request.param == "salted":
         monkeypatch.setattr(skew, "HOT_ROWS", 3)
-        monkeypatch.setattr(skew, "SALTS", 4)
+        monkeypatch.setattr(skew, "MAX_SALTS", 4)
     return request.param
 
 
@@ -220,14 +220,15 @@ def test_collab_and_pairs_bruteforce(spark, seed):
 
 
 def test_salted_join_spreads_a_hot_key(spark):
-    from collabstats.operators.skew import skewed_join
+    from collabstats.operators.skew import hot_keys, skewed_join
 
     large = spark.createDataFrame([(1, f"b{i}") for i in range(400)] + [(2, "x"), (3, "y")], "author_id long, branch string")
     small = spark.createDataFrame([(1, "A"), (1, "B"), (2, "C")], "author_id long, country string")
-    out = skewed_join(large, small, "author_id", "left", ["branch"], hot_rows=100, salts=8)
+    out = skewed_join(large, small, "author_id", "left", ["branch"], hot_rows=50)   # 400 rows -> 8 salts
     rows = out.collect()
     assert len(rows) == 400 * 2 + 1 + 1            # every large row meets each of its key's small rows once
     assert sorted({r.country for r in rows if r.author_id == 1}) == ["A", "B"]
     assert [r.country for r in rows if r.author_id == 3] == [None]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in plan
+    assert [tuple(r) for r in hot_keys(large, "author_id", 50).collect()] == [(1, 8)]   # ceil(400 / 50) pieces
