@@ -1,0 +1,19 @@
+"""bench.py prints one JSON line with the fields the driver reads."""
+
+import json
+import os
+import subprocess
+import sys
+
+from tests.conftest import ROOT, SF001
+
+
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR=SF001, BENCH_RUNS="1", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=900, check=True).stdout
+    lines = [line for line in out.splitlines() if line.strip()]
+    assert len(lines) == 1
+    rec = json.loads(lines[0])
+    assert rec["unit"] == "sec" and rec["sf"] == 0.001 and rec["value"] > 0
+    assert {"prepare_primary", "fractional_by_country", "sectors_by_year"} <= set(rec["queries"])
