@@ -76,3 +76,17 @@ def test_merged_tables_have_unique_keys(spark):
     assert users.count() == users.select("id").distinct().count()
     commits = T.commits_merged(spark, SF01)
     assert commits.count() == commits.select("author_id", "branch").distinct().count()
+
+
+def test_fixture_figures_for_the_second_source(spark):
+    """FIXTURES.md §2: 19,956 second-source pairs of which 5,906 start before 2009;
+    10 of them also in the first source; 25 of 100 second-source ids in the first source."""
+    first2 = T.commits_first_secondary(spark, SF01)
+    assert first2.count() == 19956 - 5906
+    first = T.commits_first(spark, SF01)
+    overlap = first2.join(first.select("author_id", "branch"), ["author_id", "branch"], "left_semi").count()
+    assert overlap == 10
+    assert T.commits_merged(spark, SF01).count() == first.count() + first2.count() - overlap
+    from collabstats.sources import adapter
+    raw2 = adapter.raw_users_secondary(spark, SF01)
+    assert raw2.join(T.users(spark, SF01).select("id"), "id", "left_semi").count() == 25
