@@ -7,15 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collabstats.llm import bpe, simhash
+from collabstats.llm import bpe, mixing, pii, simhash
 from collabstats.llm.common import read
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
+    counts = [pii.count(F.col("pii"), kind).alias(f"n_{kind}") for kind in pii.BASE]
+    base = pii.digest(F.filter("pii", lambda s: s["base"]))
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def vocabulary() -> tuple[dict[bytes, int], str]:
     import public_tokenizers
 
@@ -30,7 +41,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pii": op1_pii,
         "op4_simhash": op4_simhash,
+        "op7_mixing": op7_mixing,
         "op8_byte_bpe": op8_byte_bpe,
     }
 
