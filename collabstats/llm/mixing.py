@@ -119,3 +119,23 @@ def mix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
              .groupBy(*row).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken")))
     out = ["doc_id", "source", "size", "source_size", "target", "taken"]
     return taken.select(*out).unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("bigint")).select(*out))
+
+
+def remix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as its taken words fill it.
+
+    A document's taken words over its size, between 0 and ``LIMIT``, is rounded up or down by a hash of the row, so
+    a source's words stay at its target on average.  Rows that are equal in id, source and size share what they
+    take; rows without words go.
+    """
+    keys = ["__id", "__skey", "__size"]
+    shares = (mix(docs, seed, block).where("size > 0").select(
+        F.col("doc_id").alias("__id"), F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("__skey"), F.col("size").alias("__size"), "taken")
+        .groupBy(*keys).agg((F.avg("taken") / F.col("__size")).alias("__share")))
+    sized = docs.select(F.struct(*docs.columns).alias("__row")).select(
+        "__row", F.col("__row.doc_id").alias("own_id"), F.coalesce(F.concat(F.lit("="), F.col("__row.source").cast("string")), F.lit("")).alias("own_skey"),
+        F.coalesce(F.regexp_count("__row.text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("own_size"))
+    joined = sized.join(shares, F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_skey") == F.col("__skey")) & (F.col("own_size") == F.col("__size")))
+    chance = F.pmod(F.xxhash64(F.lit(seed), "own_id", "own_skey", "own_size"), F.lit(1 << 30)) / float(1 << 30)
+    copies = F.floor(F.col("__share") + chance)
+    return joined.withColumn("__copies", copies).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__copies"))).select("__row.*")

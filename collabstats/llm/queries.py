@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collabstats.llm import bpe, mixing, pii, simhash
-from collabstats.llm.common import read
+from collabstats.llm import bpe, langid, mixing, pii, simhash
+from collabstats.llm.common import crc_is_one, read
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,12 +39,26 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", bpe.sha256("ids").alias("ids_sha256"), bpe.sha256("decoded").alias("decoded_sha256"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", crc_is_one(F.col("doc_id"), 3).alias("held_out"))
+    model = langid.train(docs.where("not held_out"))
+    return langid.predict(docs, model, keep=("doc_id", "held_out")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
         "op4_simhash": op4_simhash,
         "op7_mixing": op7_mixing,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_language": op9_language,
+        "pipeline": pipeline,
     }
 
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,16 +58,16 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, text: str = "text", seed: int = SEED) -> DataFrame:
-    """``doc_id`` and ``simhash`` (signed 64-bit) of every row."""
+def fingerprints(docs: DataFrame, words: int = WORDS, text: str = "text", seed: int = SEED, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns and ``simhash`` (signed 64-bit) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t, words, seed) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "simhash"])
+            found = [fingerprint(t, words, seed) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], names=[*batch.schema.names[:-1], "simhash"])
 
-    chosen = docs.select("doc_id", F.col(text).alias("__text"))
-    return chosen.mapInArrow(run, T.StructType([chosen.schema["doc_id"], T.StructField("simhash", T.LongType())]))
+    chosen = docs.select(*keep, F.col(text).alias("__text"))
+    return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields[:-1], T.StructField("simhash", T.LongType())]))
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -183,16 +183,34 @@ def links(prints: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) ->
             .mapInArrow(compare, "a long, b long").distinct())
 
 
+def _classes(prints: DataFrame, distance: int) -> DataFrame:
+    """``simhash``, ``root`` and ``smallest`` (id) of every distinct fingerprint."""
+    found = connected_components(links(prints, distance), "simhash-links")
+    own = prints.groupBy("simhash").agg(F.min("doc_id").alias("smallest"))
+    return own.join(found.withColumnRenamed("node", "simhash"), "simhash", "left").withColumn("root", F.coalesce("root", "simhash"))
+
+
 def components(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """``doc_id``, ``simhash`` and ``component_id`` (smallest id reachable) of every row."""
     prints = materialize(fingerprints(docs, words), "simhash")
-    found = connected_components(links(prints, distance), "simhash-links")
-    own = prints.groupBy("simhash").agg(F.min("doc_id").alias("smallest"))
-    joined = own.join(found.withColumnRenamed("node", "simhash"), "simhash", "left").withColumn("root", F.coalesce("root", "simhash"))
+    joined = _classes(prints, distance)
     best = joined.groupBy("root").agg(F.min("smallest").alias("component_id"))
     labels = joined.select("simhash", "root").join(best, "root").select("simhash", "component_id")
     return prints.join(labels, "simhash").select("doc_id", "simhash", "component_id")
 
 
-def hex_print(column: str = "simhash"):
+def deduplicate(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id, then fingerprint, then values.
+
+    A component of null ids keeps a row with a null id.
+    """
+    joined = _classes(materialize(fingerprints(docs, words), "simhash"), distance)
+    kept = joined.groupBy("root").agg(F.min(F.struct(F.col("smallest").isNull().alias("none"), F.col("smallest").alias("id"), F.col("simhash").alias("print"))).alias("k")).select("k.id", "k.print")
+    own = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    marked = fingerprints(own, words, keep=("row", "doc_id"))
+    first = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("simhash") == F.col("print"))).groupBy("id", "print").agg(F.min("row").alias("row"))
+    return first.select("row.*")
+
+
+def hex_print(column: str = "simhash") -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
