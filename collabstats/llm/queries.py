@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collabstats.llm import bpe, langid, mixing, pii, simhash
+from collabstats.llm import bpe, langid, lattice_lm, mixing, pii, simhash
 from collabstats.llm.common import crc_is_one, read
 
 
@@ -18,6 +18,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"))
 
 
+def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return lattice_lm.score(read(spark, sf_dir, "documents"), lattice_lm.load_pieces(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")
@@ -54,6 +60,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
+        "op2_lattice_lm": op2_lattice_lm,
         "op4_simhash": op4_simhash,
         "op7_mixing": op7_mixing,
         "op8_byte_bpe": op8_byte_bpe,
