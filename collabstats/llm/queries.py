@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collabstats.llm import bpe, langid, lattice_lm, mixing, pii, simhash
+from collabstats.llm import bpe, langid, lattice_lm, mixing, pii, simhash, spotsigs
 from collabstats.llm.common import crc_is_one, read
 
 
@@ -24,6 +24,10 @@ def op2_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(read(spark, sf_dir, "documents"), lattice_lm.load_pieces(public_tokenizers.path("piece_bpe_32k.model")))
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_neighbours(read(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.components(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
         "op2_lattice_lm": op2_lattice_lm,
+        "op3_spotsigs": op3_spotsigs,
         "op4_simhash": op4_simhash,
         "op7_mixing": op7_mixing,
         "op8_byte_bpe": op8_byte_bpe,
