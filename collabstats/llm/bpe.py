@@ -15,16 +15,18 @@ encoded whole; an empty table gives an empty table.  Input columns other than th
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Pieces kept per task; beyond it the table starts anew, so a task's memory stays bounded.
-PIECES = 400_000
+PIECES = 300_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -33,74 +35,134 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-def replay(pieces: list[bytes], ranks: dict[bytes, int], tokens: dict[int, bytes], pairs: dict[tuple[int, int], int]) -> list[list[int]]:
-    """Token ids of each piece: all merges in rank order, equal ranks from left to right.
+class Merges:
+    """The vocabulary's merges: the token that two adjacent tokens become, whose id is also the merge's rank."""
 
-    ``pairs`` remembers the rank that two adjacent tokens merge into (-1: none).
-    """
-    sym: list[int] = []
-    following: list[int] = []
-    before: list[int] = []
-    starts = []
-    byte_ids = [ranks[bytes([b])] for b in range(256)]
-    for piece in pieces:
-        start, end = len(sym), len(sym) + len(piece)
-        starts.append(start)
-        sym += [byte_ids[b] for b in piece]
-        following += range(start + 1, end)
-        following.append(-1)
-        before.append(-1)
-        before += range(start, end - 1)
-    index: dict[int, list[int]] = {}
-
-    def rank(a: int, b: int) -> int:
-        r = pairs.get((a, b))
-        if r is None:
-            r = pairs[a, b] = ranks.get(tokens[a] + tokens[b], -1)
-        return r
-
-    current = [-1] * len(sym)  # rank of the pair that starts at a position
-    for i, j in enumerate(following):
-        if j >= 0 and (r := rank(sym[i], sym[j])) >= 0:
+    def __init__(self, ranks: dict[bytes, int]):
+        found = [(ranks[t[:i]] << 20 | ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+        table = np.array(sorted(found), np.int64).reshape(-1, 2)
+        self.keys, self.becomes = np.append(table[:, 0], np.iinfo(np.int64).max), np.append(table[:, 1], -1)
+        self.pair = dict(found)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)])
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = a << 20 | b
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.becomes[at], -1)
+
+
+def replay_one(piece: bytes, merges: Merges) -> list[int]:
+    """Token ids of one piece: always the lowest rank, from left to right among equals."""
+    sym = merges.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
+    following = [*range(1, len(sym)), -1]
+    before = list(range(-1, len(sym) - 1))
+    pair = merges.pair
+    current = [-1] * len(sym)
+    queue = []
+    for i in range(len(sym) - 1):
+        if (r := pair.get(sym[i] << 20 | sym[i + 1], -1)) >= 0:
             current[i] = r
-            index.setdefault(r, []).append(i)  # ascending, so already a heap
-    queue = list(index)
+            queue.append((r, i))
     heapify(queue)
     while queue:
-        r = queue[0]
-        places = index[r]
-        if not places:
-            heappop(queue)
-            del index[r]
-            continue
-        i = heappop(places)
+        r, i = heappop(queue)
         if current[i] != r:
             continue
         j = following[i]
         k = following[j]
         sym[i], following[i], current[j], current[i] = r, k, -1, -1
-        touched = []
         if k >= 0:
             before[k] = i
-            touched.append((i, r, sym[k]))
+            if (q := pair.get(r << 20 | sym[k], -1)) >= 0:
+                current[i] = q
+                heappush(queue, (q, i))
         h = before[i]
         if h >= 0:
-            touched.append((h, sym[h], r))
-        for at, a, b in touched:
-            q = current[at] = rank(a, b)
+            current[h] = q = pair.get(sym[h] << 20 | r, -1)
             if q >= 0:
-                if q in index:
-                    heappush(index[q], at)
-                else:
-                    index[q] = [at]
-                    heappush(queue, q)
-    out = []
-    for i in starts:
-        ids = []
-        while i >= 0:
-            ids.append(sym[i])
-            i = following[i]
-        out.append(ids)
+                heappush(queue, (q, h))
+    ids = []
+    i = 0
+    while i >= 0:
+        ids.append(sym[i])
+        i = following[i]
+    return ids
+
+
+def replay(pieces: list[bytes], merges: Merges) -> list[bytes]:
+    """Packed token ids of each piece, by replaying the merges over all pieces at once in rank order.
+
+    The index holds, for every rank, the positions where a pair of that rank stands.  A piece in which a merge
+    overlaps itself, or makes a pair of an earlier rank, does not follow the common order: it is replayed by itself.
+    """
+    if not pieces:
+        return []
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    n = int(sizes.sum())
+    sym = np.append(merges.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)], 0)
+    piece = np.repeat(np.arange(len(pieces)), sizes)
+    starts = np.cumsum(sizes) - sizes
+    following, before = np.arange(1, n + 2), np.arange(-1, n)
+    following[starts + sizes - 1] = n  # the last slot stands for "none"
+    before[starts] = n
+    alive = np.ones(n, bool)
+    alone = np.zeros(len(pieces), bool)
+    current = np.full(n + 1, -1)
+    inside = np.flatnonzero(following[:n] < n)
+    current[inside] = merges.of(sym[inside], sym[inside + 1])
+    index: dict[int, list[np.ndarray]] = {}
+    queue: list[int] = []
+
+    def post(places: np.ndarray) -> None:
+        ranks = current[places]
+        places, ranks = places[ranks >= 0], ranks[ranks >= 0]
+        order = np.argsort(ranks, kind="stable")
+        places, ranks = places[order], ranks[order]
+        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        bounds = [0, *cuts.tolist(), len(ranks)] if len(ranks) else []
+        for r, a, b in zip(ranks[bounds[:-1]].tolist(), bounds, bounds[1:]):
+            if r in index:
+                index[r].append(places[a:b])
+            else:
+                index[r] = [places[a:b]]
+                heappush(queue, r)
+
+    post(np.arange(n))
+    while queue:
+        r = heappop(queue)
+        stacked = index.pop(r)
+        i = stacked[0] if len(stacked) == 1 else np.unique(np.concatenate(stacked))
+        i = i[current[i] == r]
+        j = following[i]
+        overlap = current[j] == r
+        if overlap.any():
+            alone[piece[i[overlap]]] = True
+            keep = ~alone[piece[i]]
+            i, j = i[keep], j[keep]
+        if not len(i):
+            continue
+        k = following[j]
+        sym[i] = r
+        following[i] = k
+        before[k] = i
+        alive[j] = False
+        current[j] = -1
+        h = before[i]
+        current[i] = np.where(k < n, merges.of(sym[i], sym[k]), -1)
+        some = h < n
+        h, own = h[some], i[some]
+        current[h] = merges.of(sym[h], sym[own])
+        touched = np.concatenate([i, h])
+        early = (current[touched] >= 0) & (current[touched] <= r)
+        if early.any():
+            alone[piece[touched[early]]] = True
+            touched = touched[~alone[piece[touched]]]
+        post(touched)
+    packed = sym[:n][alive].astype("<u4").tobytes()
+    ends = (np.cumsum(np.bincount(piece[alive], minlength=len(pieces))) * 4).tolist()
+    out = [packed[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+    for at in np.flatnonzero(alone).tolist():
+        out[at] = np.array(replay_one(pieces[at], merges), "<u4").tobytes()
     return out
 
 
@@ -109,24 +171,22 @@ class PieceTable:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {i: t for t, i in ranks.items()}
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.merges = Merges(ranks)
         self.known: dict[str, bytes] = {}
 
     def learn(self, pieces: set[str]) -> None:
         if len(self.known) + len(pieces) > PIECES:
             self.known.clear()
-            self.pairs.clear()
-        fresh = []
+        fresh, raws = [], []
         for piece in pieces:
             if piece not in self.known:
                 raw = piece.encode()
                 if (i := self.ranks.get(raw)) is not None:
                     self.known[piece] = i.to_bytes(4, "little")
                 else:
-                    fresh.append((piece, raw))
-        for (piece, _), ids in zip(fresh, replay([raw for _, raw in fresh], self.ranks, self.tokens, self.pairs), strict=True):
-            self.known[piece] = b"".join(i.to_bytes(4, "little") for i in ids)
+                    fresh.append(piece)
+                    raws.append(raw)
+        self.known.update(zip(fresh, replay(raws, self.merges), strict=True))
 
 
 #: Characters whose pieces are looked up together.
@@ -145,6 +205,31 @@ def _blocks(texts: list[str | None]) -> Iterator[list[str]]:
     yield block
 
 
+#: Letters, numbers and white space below code point 256 (fixed values), for the pattern's classes there.
+_LETTERS, _NUMBERS, _SPACES = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """The pattern's pieces of a text; Latin-1 texts go through an equal pattern with the classes written out."""
+    import regex
+
+    whole = regex.compile(pattern).findall
+    spelled = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{_SPACES}{_LETTERS}{_NUMBERS}]").replace(r"\p{L}", f"[{_LETTERS}]").replace(r"\p{N}", f"[{_NUMBERS}]")
+    spelled = spelled.replace(r"\S", f"[^{_SPACES}]").replace(r"\s", f"[{_SPACES}]")
+    if "\\" in re.sub(r"\\\\", "", spelled):  # a class that has no spelling here
+        return whole
+    low = re.compile(spelled).findall
+
+    def find(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return whole(text)
+        return low(text)
+
+    return find
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``ids`` (packed) and ``n_tokens`` of every row.
 
@@ -154,9 +239,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     shared = spark.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find = regex.compile(pattern).findall
+        find = splitter(pattern)
         table = PieceTable(shared.value)
         for batch in batches:
             ids: list[bytes] = []
@@ -178,8 +261,6 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         tokens = [b""] * (max(shared.value.values(), default=-1) + 1)
         for token, i in shared.value.items():
             tokens[i] = token

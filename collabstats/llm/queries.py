@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collabstats.llm import bpe, langid, lattice_lm, mixing, pii, simhash, spotsigs
+from collabstats.llm import bpe, langid, lattice_lm, mixing, pii, simhash, spotsigs, suffix_dedup
 from collabstats.llm.common import crc_is_one, read
 
 
@@ -55,6 +55,11 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=("doc_id", "held_out")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_mixing": op7_mixing,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_language": op9_language,
+        "op10_suffix_dedup": op10_suffix_dedup,
         "pipeline": pipeline,
     }
 
