@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collabstats.llm import bpe, langid, lattice_lm, mixing, pii, simhash, spotsigs, suffix_dedup
+from collabstats.llm import bpe, langid, lattice_lm, mixing, permutation_index, pii, simhash, spotsigs, suffix_dedup
 from collabstats.llm.common import crc_is_one, read
 
 
@@ -37,6 +37,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(read(spark, sf_dir, "embeddings"))
+
+
 def vocabulary() -> tuple[dict[bytes, int], str]:
     import public_tokenizers
 
@@ -72,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_lattice_lm": op2_lattice_lm,
         "op3_spotsigs": op3_spotsigs,
         "op4_simhash": op4_simhash,
+        "op5_permutation_index": op5_permutation_index,
         "op7_mixing": op7_mixing,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_language": op9_language,
