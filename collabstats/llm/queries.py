@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collabstats.llm import bpe, langid, lattice_lm, mixing, permutation_index, pii, simhash, spotsigs, suffix_dedup
+from collabstats.llm import bpe, byte_cnn, langid, lattice_lm, mixing, permutation_index, pii, simhash, spotsigs, suffix_dedup
 from collabstats.llm.common import crc_is_one, read
 
 
@@ -33,6 +33,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")
 
 
+def op6_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", crc_is_one(F.col("doc_id"), 3).alias("held_out"))
+    weights = byte_cnn.train(docs.where("not held_out"), read(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return byte_cnn.predict(docs, weights, keep=("doc_id", "held_out"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -77,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_spotsigs": op3_spotsigs,
         "op4_simhash": op4_simhash,
         "op5_permutation_index": op5_permutation_index,
+        "op6_byte_cnn": op6_byte_cnn,
         "op7_mixing": op7_mixing,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_language": op9_language,
