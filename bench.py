@@ -1,7 +1,9 @@
 """Benchmark: preparation steps and the eight report tables at one scale factor.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default
-8), BENCH_RUNS (timed runs per query, default 3; one warm-up run first).
+8), BENCH_RUNS (timed runs per query, default 3; one warm-up run first),
+BENCH_FACTOR (copies of the input, default 1), BENCH_WORK (folder of the
+prepared tables, default the system's temporary folder).
 
 The adapter tables are materialised first (not timed), then every step is
 timed as wall-clock seconds, median of the timed runs.  Prints one JSON line.
@@ -19,7 +21,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from collabstats.plans.jobs import Prepared, RawInputs, prepare_primary, prepare_secondary, report_builders  # noqa: E402
+from pyspark.sql import DataFrame  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from collabstats.plans.jobs import Prepared, RawInputs, prepare_primary, prepare_reports, prepare_secondary, report_builders  # noqa: E402
 from collabstats.session import local_session  # noqa: E402
 from collabstats.sources import adapter  # noqa: E402
 from collabstats.tables import PRODUCTION_YEAR  # noqa: E402
@@ -35,6 +40,21 @@ def _time(fn, runs: int) -> float:
     return round(statistics.median(samples), 3)
 
 
+def _larger(df: DataFrame, name: str, factor: int) -> DataFrame:
+    """`factor` copies of a table, each with users and repositories of its own: the same shape at a larger size."""
+    if factor == 1:
+        return df
+    copies = df.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(factor - 1))).cast("bigint"))
+    shift, mark = F.col("_copy") * 10_000_000, F.concat(F.lit("c"), F.col("_copy").cast("string"), F.lit("_"))
+    new = {
+        "users": {"id": F.col("id") + shift, "login": F.concat(mark, "login")},
+        "commits": {"branch": F.concat(mark, "branch"), "authors_id": F.transform("authors_id", lambda a: a + shift)},
+        "users_secondary": {"id": F.col("id") + shift, "login": F.concat(mark, "login")},
+        "commits_secondary": {"userid": F.col("userid") + shift, "repoid": F.concat(mark, "repoid")},
+    }[name]
+    return copies.withColumns(new).drop("_copy")
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -43,14 +63,15 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
 
     spark = local_session(cpus, shuffle_partitions=cpus)
-    work = tempfile.mkdtemp(prefix="collabstats-bench-", dir="/tmp")
+    work = tempfile.mkdtemp(prefix="collabstats-bench-", dir=os.environ.get("BENCH_WORK", tempfile.gettempdir()))
 
+    factor = int(os.environ.get("BENCH_FACTOR", "1"))
     # Adapter tables, materialised once (not timed).
     raw_root = f"{work}/raw"
     for name, fn in [("users", adapter.raw_users), ("commits", adapter.raw_commits),
                      ("users_secondary", adapter.raw_users_secondary),
                      ("commits_secondary", adapter.raw_commits_secondary)]:
-        fn(spark, sf_dir).write.mode("overwrite").parquet(f"{raw_root}/{name}")
+        _larger(fn(spark, sf_dir), name, factor).write.mode("overwrite").parquet(f"{raw_root}/{name}")
     raw = RawInputs(*(spark.read.parquet(f"{raw_root}/{n}")
                       for n in ("users", "commits", "users_secondary", "commits_secondary")))
 
@@ -59,8 +80,11 @@ def main() -> None:
     # times the bucketed layout instead.
     buckets = int(os.environ.get("BENCH_BUCKETS", "0")) or None
     prepared = Prepared(f"{work}/prepared", buckets=buckets)
-    timings["prepare_primary"] = _time(lambda: prepare_primary(spark, raw, prepared), runs)
-    timings["prepare_secondary"] = _time(lambda: prepare_secondary(spark, raw, prepared), runs)
+    steps: dict[str, Prepared] = {}
+    timings["prepare_primary"] = _time(lambda: steps.update(a=prepare_primary(spark, raw, prepared)), runs)
+    timings["prepare_secondary"] = _time(lambda: steps.update(b=prepare_secondary(spark, raw, steps["a"])), runs)
+    timings["prepare_reports"] = _time(lambda: steps.update(c=prepare_reports(spark, steps["b"], PRODUCTION_YEAR)), runs)
+    prepared = steps["c"]
 
     for name, build in report_builders(spark, prepared, PRODUCTION_YEAR).items():
         # Build (plan) and run the report each time, so nothing is cached between runs.
@@ -75,6 +99,7 @@ def main() -> None:
         "cpus": cpus,
         "runs": runs,
         "buckets": buckets,
+        "factor": factor,
     }))
     spark.stop()
 

@@ -16,7 +16,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from collabstats.plans.jobs import Prepared, RawInputs, prepare_primary, prepare_secondary, reports, write_reports
+from collabstats.plans.jobs import Prepared, RawInputs, prepare_primary, prepare_reports, prepare_secondary, reports, write_reports
 from collabstats.schemas import REPORT_YEARS
 from collabstats.session import configure
 from collabstats.sources.parquet import scan_year_folders
@@ -35,6 +35,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     ap.add_argument("--buckets", type=int, default=0,
                     help="bucket the id-keyed prepared tables into this many buckets (default 0 = off; see README)")
     args = ap.parse_args(argv)
+    if bool(args.users2) != bool(args.commits2):
+        ap.error("a second source needs both --users2 and --commits2")
 
     spark = SparkSession.builder.appName("collabstats").getOrCreate()
     configure(spark)
@@ -45,8 +47,9 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
         commits_secondary=spark.read.parquet(args.commits2) if args.commits2 else None,
     )
     prepared = prepare_primary(spark, raw, Prepared(args.prepared, buckets=args.buckets or None))
-    if raw.users_secondary is not None and raw.commits_secondary is not None:
-        prepare_secondary(spark, raw, prepared)
+    if raw.users_secondary is not None:
+        prepared = prepare_secondary(spark, raw, prepared)
+    prepared = prepare_reports(spark, prepared, args.year)
     return write_reports(reports(spark, prepared, args.year), args.out, args.format)
 
 

@@ -50,6 +50,7 @@ def classify_agency(users: DataFrame, rules=AGENCY_RULES, org_col: str = "organi
     spelling `United States of America` with or without one (`&` binds first).
     Then the ordered rule table on the government organisation (P13/F9).
     """
+    require_columns(users, ["login", org_col, country_col], "users")
     org, country = F.col(org_col), F.col(country_col)
     keep = (org.isNotNull() & (country == US)) | (country == US_LONG)
     agency = agency_case(org_col, rules)
@@ -64,8 +65,15 @@ def attach_agency(users: DataFrame, classes: DataFrame) -> DataFrame:
     """Government users (`government == 1`) left-joined to C2 on `login`.
 
     A login that occurs twice in `classes` multiplies the user's rows, as a
-    left join does.  Spark chooses the join strategy; AQE turns it into a
-    broadcast join at run time when the classified side is measured small.
+    left join does.  A NULL login matches nothing: such users stay out of the
+    join, where they would all meet in one task.
     """
-    return users.where(F.col("government") == 1).join(classes, on="login", how="left") \
+    require_columns(users, ["login", "government"], "users")
+    require_columns(classes, ["login", "new_agencies", "org_in_agency"], "agency classes")
+    gov = users.where(F.col("government") == 1)
+    named = F.col("login").isNotNull()
+    joined = gov.where(named).join(classes.where(named), on="login", how="left") \
         .select(*users.columns, "new_agencies", "org_in_agency")
+    nameless = gov.where(~named).select(
+        *users.columns, F.lit(None).cast("string").alias("new_agencies"), F.lit(None).cast("boolean").alias("org_in_agency"))
+    return joined.unionByName(nameless)

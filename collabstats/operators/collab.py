@@ -12,7 +12,8 @@ from collabstats.schemas import MISSING_COUNTRY, US
 
 
 def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
-                     missing: str = MISSING_COUNTRY, hot_rows: int | DataFrame | None = None) -> DataFrame:
+                     missing: str = MISSING_COUNTRY, hot_rows: int | DataFrame | None = None,
+                     commits_distinct: bool = False) -> DataFrame:
     """(branch, country, n_users) for the year's commits by known users.
 
     One row per distinct (branch, country) plus one marker row per branch
@@ -29,11 +30,15 @@ def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
     * n_users from the marker row through a window by branch, over at most
       (number of countries + 1) rows per branch.
 
-    Precondition: the commits are distinct on (branch, author_id, commit_year),
-    as the yearly table is.
+    Authors are counted once per branch whatever the input: commit rows are
+    first reduced to distinct (branch, author_id).  `commits_distinct=True`
+    says that they are distinct already, as the yearly table is, and saves
+    that shuffle.
     """
     require_columns(commits_yearly, ["branch", "author_id", "commit_year"], "yearly commits")
     commits = commits_yearly.where(F.col("commit_year") == year).select("branch", "author_id")
+    if not commits_distinct:
+        commits = commits.distinct()
     per_id = expand_countries(users, missing).groupBy(F.col("id").alias("author_id")) \
         .agg(F.collect_set("country").alias("_cs"))
     elems = skewed_join(commits, per_id, "author_id", "inner", salt_cols=["branch"], hot_rows=hot_rows).select(
@@ -47,7 +52,8 @@ def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
 
 def collaborations_by_country(commits_yearly: DataFrame, users: DataFrame, year: int,
                               home: str = US, top_n: int | None = 11,
-                              missing: str = MISSING_COUNTRY, hot_rows: int | DataFrame | None = None) -> DataFrame:
+                              missing: str = MISSING_COUNTRY, hot_rows: int | DataFrame | None = None,
+                              commits_distinct: bool = False) -> DataFrame:
     """Per foreign country, distinct branches of three kinds of collaboration.
 
     Per branch (only known users count): n_users, has_home, n_foreign =
@@ -58,7 +64,13 @@ def collaborations_by_country(commits_yearly: DataFrame, users: DataFrame, year:
     Only foreign countries are rows; a country with all three counts 0 is
     absent.  Top n by `collaborations_with_us`, ties broken by name (T10).
     """
-    bc = branch_countries(commits_yearly, users, year, missing, hot_rows)
+    bc = branch_countries(commits_yearly, users, year, missing, hot_rows, commits_distinct)
+    return collaborations_of_branches(bc, home, top_n, missing)
+
+
+def collaborations_of_branches(bc: DataFrame, home: str = US, top_n: int | None = 11,
+                               missing: str = MISSING_COUNTRY) -> DataFrame:
+    """C10 from the year's `branch_countries`, which C11 shares."""
     country = F.col("country")
     foreign = (country != home) & (country != missing)
     by_branch = Window.partitionBy("branch")
@@ -81,7 +93,8 @@ def collaborations_by_country(commits_yearly: DataFrame, users: DataFrame, year:
 
 
 def codeveloped_pairs(commits_yearly: DataFrame, users: DataFrame, year: int,
-                      missing: str = MISSING_COUNTRY, min_users: int = 2, hot_rows: int | DataFrame | None = None) -> DataFrame:
+                      missing: str = MISSING_COUNTRY, min_users: int = 2, hot_rows: int | DataFrame | None = None,
+                      commits_distinct: bool = False) -> DataFrame:
     """C11: distinct branches per unordered country pair (country_1 < country_2).
 
     Branches need >= `min_users` distinct known users (counted including users
@@ -94,7 +107,12 @@ def codeveloped_pairs(commits_yearly: DataFrame, users: DataFrame, year: int,
     its pairs weighted by that count.  Byte order decides which country is
     listed first (T13).
     """
-    bc = branch_countries(commits_yearly, users, year, missing, hot_rows)
+    bc = branch_countries(commits_yearly, users, year, missing, hot_rows, commits_distinct)
+    return pairs_of_branches(bc, missing, min_users)
+
+
+def pairs_of_branches(bc: DataFrame, missing: str = MISSING_COUNTRY, min_users: int = 2) -> DataFrame:
+    """C11 from the year's `branch_countries`, which C10 shares."""
     sets = (
         bc.where(F.col("country").isNotNull() & (F.col("country") != missing) & (F.col("n_users") >= min_users))
         .groupBy("branch").agg(F.array_sort(F.collect_set("country")).alias("countries"))

@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from collabstats.operators.skew import skewed_join
 from collabstats.schemas import FIRST_YEAR, REPORT_YEARS
 from collabstats.sources.parquet import require_columns
 
 
+MASK_YEARS = 62   # years that `commit_years` can hold; `plans.jobs` takes the C4 -> C5 path beyond
+
+
 def year_range_predicate(col: str, first: int, last: int, dtype: T.DataType | None = None):
     """`EXTRACT(YEAR FROM ts) BETWEEN first AND last` as a range on the raw
     timestamp, so Parquet row-group min/max statistics can skip data.
@@ -77,8 +81,8 @@ def commit_years(raw: DataFrame, years: Sequence[int] = REPORT_YEARS) -> DataFra
     (`years_to_rows`, `first_year`), which is how `plans.jobs` prepares them.
     """
     base, span = min(years), max(years) - min(years) + 1
-    if span > 62:
-        raise ValueError("year range too wide for a 64-bit mask")
+    if span > MASK_YEARS:
+        raise ValueError(f"{span} years do not fit a 64-bit mask: use yearly_commits and first_commits")
     bit = F.expr(f"shiftleft(1L, cast(commit_year - {base} AS INT))")
     return commit_rows(raw, years).groupBy("author_id", "branch").agg(F.bit_or(bit).alias("year_bits"))
 
@@ -98,12 +102,26 @@ def first_year(bits: DataFrame, years: Sequence[int] = REPORT_YEARS) -> DataFram
     return bits.select("author_id", "branch", (k + F.lit(min(years))).cast("bigint").alias("min_commit_year"))
 
 
+def with_branch_year(first: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """First participation with `branch_year`, the earliest year of the branch.
+
+    The minimum per branch is combined map-side and joined back; a branch with
+    many participants is salted, so no task holds a hot branch.
+    """
+    key = F.when(F.col("branch").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col("branch")))
+    keyed = first.withColumn("_branch", key)   # a NULL branch is a branch of its own
+    earliest = keyed.groupBy("_branch").agg(F.min("min_commit_year").alias("branch_year"))
+    joined = skewed_join(keyed, earliest, "_branch", "inner", salt_cols=["author_id"], hot_rows=hot_rows)
+    return joined.select("author_id", "branch", "min_commit_year", "branch_year")
+
+
 def first_commits_secondary(raw: DataFrame, min_year: int = FIRST_YEAR) -> DataFrame:
     """MIN(year) per (userid, repoid), HAVING the minimum >= min_year.
 
     Pairs that started before `min_year` are removed entirely; there is no
     upper bound (trap T5).
     """
+    require_columns(raw, ["userid", "repoid", "commityear"], "second-source commits")
     return (
         raw.groupBy(F.col("userid").alias("author_id"), F.col("repoid").alias("branch"))
         .agg(F.min(F.year("commityear")).cast("bigint").alias("min_commit_year"))

@@ -25,8 +25,10 @@ runs once per report and nothing is consumed twice:
 5. credit = w / n_users; the marker row carries n_users x 1/n_users, the
    branch's contribution to "Total Repos".
 
-Precondition: `commits` is distinct on (branch, author_id[, year]) - true for
-the yearly, first-participation and merged tables this package writes.
+Authors are counted once per branch[, year] whatever the input: commit rows are
+first reduced to distinct (branch, author_id[, year]).  `commits_distinct=True`
+says that they are distinct already - as the yearly, first-participation and
+merged tables of this package are - and saves that shuffle.
 """
 
 from __future__ import annotations
@@ -66,7 +68,8 @@ def _marker(dims: Sequence[str]) -> Column:
 
 
 def credit_cells(commits: DataFrame, users_x: DataFrame, dims: Sequence[str], labels: Sequence[str],
-                 year_col: str | None = None, hot_rows: int | DataFrame | None = None) -> DataFrame:
+                 year_col: str | None = None, hot_rows: int | DataFrame | None = None,
+                 commits_distinct: bool = False, branch_year_col: str | None = None) -> DataFrame:
     """Per kept branch: (branch[, year], *dims, credit, is_total).
 
     `commits` holds (branch, author_id[, year_col]).  With `year_col`, a
@@ -74,20 +77,31 @@ def credit_cells(commits: DataFrame, users_x: DataFrame, dims: Sequence[str], la
     its credit (first-year rule); without it all authors share.  A branch is
     kept if any of its authors - in any year - matched a user (T15).
     `is_total` rows (dims NULL) carry the branch's total, n_users x 1/n_users.
+
+    With `branch_year_col` - the branch's earliest year, prepared beforehand -
+    rows of later years are not split at all: each adds one element of weight
+    0 to the marker, which carries whether it matched a user.
     """
     keys = ["branch"] + ([year_col] if year_col else [])
-    require_columns(commits, ["author_id", *keys], "commits")
+    extra = [branch_year_col] if branch_year_col else []
+    require_columns(commits, ["author_id", *keys, *extra], "commits")
     splits = user_splits(users_x, dims).withColumnRenamed("id", "author_id")
-    joined = skewed_join(commits.select("author_id", *keys), splits, "author_id", "left", salt_cols=["branch"],
-                         hot_rows=hot_rows)
+    rows = commits.select("author_id", *keys, *extra)
+    if not commits_distinct:
+        rows = rows.distinct()
+    joined = skewed_join(rows, splits, "author_id", "left", salt_cols=["branch"], hot_rows=hot_rows)
 
     unmatched = F.concat(
         F.array(F.struct(*[F.lit(lbl).alias(d) for d, lbl in zip(dims, labels)], F.lit(1.0).alias("w"))),
         _marker(dims),
     )
+    split = F.coalesce(F.col("elements"), unmatched)
+    if branch_year_col:
+        flag = F.array(F.struct(*[F.lit(None).cast("string").alias(d) for d in dims], F.lit(0.0).alias("w")))
+        split = F.when(F.col(year_col) == F.col(branch_year_col), split).otherwise(flag)
+    own_keys = [F.col(branch_year_col).alias(k) if branch_year_col and k == year_col else F.col(k) for k in keys]
     elements = joined.select(
-        *keys, F.col("elements").isNotNull().alias("matched"),
-        F.explode(F.coalesce(F.col("elements"), unmatched)).alias("_e"),
+        *own_keys, F.col("elements").isNotNull().alias("matched"), F.explode(split).alias("_e"),
     ).select(*keys, "matched", *[F.col(f"_e.{d}").alias(d) for d in dims], F.col("_e.w").alias("w"))
 
     cells = elements.groupBy(*keys, *dims).agg(F.sum("w").alias("w"), F.max("matched").alias("matched"))

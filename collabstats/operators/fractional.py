@@ -28,7 +28,8 @@ from collabstats.schemas import (
 
 
 def fractional_repos_by_country(commits_yearly: DataFrame, users: DataFrame, year: int,
-                                missing: str = MISSING_COUNTRY, hot_rows: int | DataFrame | None = None) -> DataFrame:
+                                missing: str = MISSING_COUNTRY, hot_rows: int | DataFrame | None = None,
+                                commits_distinct: bool = False) -> DataFrame:
     """(country, total_repositories) for one year, sorted descending.
 
     Left join, so authors unknown to the user table count as the missing
@@ -36,7 +37,8 @@ def fractional_repos_by_country(commits_yearly: DataFrame, users: DataFrame, yea
     equals the number of kept branches.
     """
     commits = commits_yearly.where(F.col("commit_year") == year).select("branch", "author_id")
-    cells = credit_cells(commits, expand_countries(users, missing), ["country"], [missing], hot_rows=hot_rows)
+    cells = credit_cells(commits, expand_countries(users, missing), ["country"], [missing], hot_rows=hot_rows,
+                         commits_distinct=commits_distinct)
     return (
         cells.where(~F.col("is_total"))
         .groupBy("country").agg(F.sum("credit").alias("total_repositories"))
@@ -44,14 +46,17 @@ def fractional_repos_by_country(commits_yearly: DataFrame, users: DataFrame, yea
     )
 
 
-def _first_year_cells(first_commits: DataFrame, users_x: DataFrame, dims, labels, hot_rows) -> DataFrame:
-    commits = first_commits.select("branch", "author_id", F.col("min_commit_year").alias("year"))
-    return credit_cells(commits, users_x, dims, labels, year_col="year", hot_rows=hot_rows)
+def _first_year_cells(first_commits: DataFrame, users_x: DataFrame, dims, labels, hot_rows, commits_distinct) -> DataFrame:
+    """Cells of the branches' first years; a prepared `branch_year` column, where there is one, saves splitting later rows."""
+    prepared = [c for c in ("branch_year",) if c in first_commits.columns]
+    commits = first_commits.select("branch", "author_id", F.col("min_commit_year").alias("year"), *prepared)
+    return credit_cells(commits, users_x, dims, labels, year_col="year", hot_rows=hot_rows,
+                        commits_distinct=commits_distinct, branch_year_col=prepared[0] if prepared else None)
 
 
 def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years: Sequence[int] = REPORT_YEARS,
                              home: str = US, missing: str = MISSING, unclassified: str = UNCLASSIFIED,
-                             hot_rows: int | DataFrame | None = None) -> DataFrame:
+                             hot_rows: int | DataFrame | None = None, commits_distinct: bool = False) -> DataFrame:
     """First-year fractional credit by sector and year.
 
     Rows: Total Repos; Total (Global) = neither home nor missing; Total (US);
@@ -60,7 +65,7 @@ def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years:
     A home cell counts toward Total (US) and toward its sector row.
     """
     ux = expand_country_sector(users, missing, unclassified)
-    cells = _first_year_cells(first_commits, ux, ["country_val", "sector_val"], [missing, unclassified], hot_rows)
+    cells = _first_year_cells(first_commits, ux, ["country_val", "sector_val"], [missing, unclassified], hot_rows, commits_distinct)
     # Small cube first (year x class x sector), then each cube row adds to its report rows.
     cube = cells.groupBy("year", "is_total", "country_val", "sector_val").agg(F.sum("credit").alias("credit"))
     country = F.col("country_val")
@@ -77,20 +82,22 @@ def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years:
 
 
 def new_repos_by_country_year(first_commits: DataFrame, users: DataFrame, years: Sequence[int] = REPORT_YEARS,
-                              top_n: int = 10, missing: str = MISSING, hot_rows: int | DataFrame | None = None) -> DataFrame:
+                              top_n: int = 10, missing: str = MISSING, hot_rows: int | DataFrame | None = None,
+                              commits_distinct: bool = False, buckets: int = 256) -> DataFrame:
     """C17: first-year fractional credit by country and year.
 
     Rows: Total Repos; Total (Any Country); the top-n countries by total over
     all years (rank with ties, missing excluded; T16); All Other Countries;
     Total (Missing Country).  Top rows are sorted by total, then name.
 
-    The per-country table (one row per country, years as columns, plus the
-    overall total) is bounded by the country domain, so ranking it with an
-    unpartitioned window is cheap; each country row then contributes to its
-    report rows and one aggregation stacks them.
+    The ranking is a distributed top-k in two stages, as in C15: countries are
+    hashed into `buckets` groups; a country with `top_n` better ones in its
+    group cannot be in the top n, so the rest of a group collapses into one
+    row, and the final ranking sees at most about buckets x (n + 1) rows
+    however many country strings the users wrote.
     """
     ux = expand_countries(users, missing, out="country_val")
-    cells = _first_year_cells(first_commits, ux, ["country_val"], [missing], hot_rows)
+    cells = _first_year_cells(first_commits, ux, ["country_val"], [missing], hot_rows, commits_distinct)
     cube = cells.groupBy("is_total", "country_val", "year").agg(F.sum("credit").alias("credit"))
     per_country = cube.groupBy("is_total", "country_val").agg(
         F.sum("credit").alias("overall"), *year_sums("credit", "year", years)
@@ -98,19 +105,26 @@ def new_repos_by_country_year(first_commits: DataFrame, users: DataFrame, years:
     country = F.col("country_val")
     rankable = ~F.col("is_total") & (country != missing)
     score = F.when(rankable, F.round("overall", 6))
-    ranked = per_country.select(
+    names = [str(y) for y in years]
+    bucket = F.pmod(F.xxhash64("country_val"), F.lit(buckets))
+    local = per_country.withColumn("_score", score).withColumn("_b", bucket).withColumn(
+        "_r", F.rank().over(Window.partitionBy("_b").orderBy(F.desc_nulls_last("_score"))))
+    rest = rankable & (F.col("_r") > top_n)
+    survivors = local.withColumn("_rest", rest).groupBy(
+        "_b", "_rest", "is_total", F.when(~rest, country).alias("country_val"), F.when(~rest, F.col("_score")).alias("_score")
+    ).agg(*[F.sum(n).alias(n) for n in names])
+    ranked = survivors.select(
         "*",
-        F.rank().over(Window.orderBy(F.desc_nulls_last(score))).alias("_rank"),
-        F.row_number().over(Window.orderBy(F.desc_nulls_last(score), country)).alias("_pos"),
+        F.rank().over(Window.orderBy(F.desc_nulls_last("_score"))).alias("_rank"),
+        F.row_number().over(Window.orderBy(F.desc_nulls_last("_score"), country)).alias("_pos"),
     )
-    top = rankable & (F.col("_rank") <= top_n)
+    top = F.col("_score").isNotNull() & (F.col("_rank") <= top_n)
     labels = (
         F.when(F.col("is_total"), contributions(("Total Repos", 0)))
         .when(country == missing, contributions(("Total (Missing Country)", 1_000_001)))
         .when(top, contributions((country, F.col("_pos") + 1), ("Total (Any Country)", 1)))
         .otherwise(contributions(("All Other Countries", 1_000_000), ("Total (Any Country)", 1)))
     )
-    names = [str(y) for y in years]
     rows = ranked.select(*names, F.explode(labels).alias("_l"))
     out = rows.groupBy(F.col("_l.label").alias("country"), F.col("_l.row_order").alias("row_order")) \
         .agg(*[F.sum(n).alias(n) for n in names])

@@ -18,7 +18,7 @@ from collabstats.functions.lists import not_in_keep_null
 from collabstats.operators.expand import expand_aligned
 from collabstats.operators.skew import skewed_join
 from collabstats.sources.parquet import require_columns
-from collabstats.plans.report import contributions, order_rows, pivot_years, stack_blocks
+from collabstats.plans.report import contributions, order_rows, stack_blocks
 from collabstats.schemas import (
     AGENCY_LIST,
     ALL_OTHER_FEDERAL,
@@ -60,19 +60,41 @@ def _agency_rows(agencies: Sequence[str]):
     )
 
 
+def agency_counts(branch_orgs: DataFrame, agencies: Sequence[str] = AGENCY_LIST) -> DataFrame:
+    """(institution, first_year, n): the lossless long form of C13, from `branch_org_first_year` rows."""
+    rows = branch_orgs.select("first_year", F.explode(_agency_rows(agencies)).alias("institution"))
+    return rows.groupBy("institution", "first_year").agg(F.count(F.lit(1)).alias("n"))
+
+
 def new_repos_by_agency_year(first_commits: DataFrame, users: DataFrame,
                              agencies: Sequence[str] = AGENCY_LIST,
-                             years: Sequence[int] = REPORT_YEARS, hot_rows: int | DataFrame | None = None) -> DataFrame:
+                             years: Sequence[int] | None = None, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """New repositories per listed agency and first year, years as columns.
 
     Federal Total counts (branch, org) pairs - a branch touched by two agencies
     counts twice, NULL-org pairs included; All Other Federal counts pairs whose
     org is not listed (NULL excluded, '' included).  Agencies without data
-    have no row.  Columns are the given years, 0 where absent.
+    have no row.
+
+    The year columns are the report years and every other year that occurs, so
+    no pair is lost.  With an explicit list, a pair outside it fails the query.
     """
-    bo = branch_org_first_year(first_commits, users, hot_rows=hot_rows)
-    rows = bo.select("first_year", F.explode(_agency_rows(agencies)).alias("institution"))
-    wide = pivot_years(rows, "institution", "first_year", None, years)
+    return agency_years_of(branch_org_first_year(first_commits, users, hot_rows=hot_rows), agencies, years)
+
+
+def agency_years_of(branch_orgs: DataFrame, agencies: Sequence[str] = AGENCY_LIST,
+                    years: Sequence[int] | None = None) -> DataFrame:
+    """C13 from `branch_org_first_year` rows, which C14 shares."""
+    long = agency_counts(branch_orgs, agencies)
+    if years is None:
+        occurring = [r[0] for r in branch_orgs.select("first_year").distinct().collect() if r[0] is not None]   # one row per year
+        years = sorted({*REPORT_YEARS, *occurring})
+    else:
+        outside = F.concat(F.lit("first year outside the report's years: "), F.coalesce(F.col("first_year").cast("string"), F.lit("none")))
+        inside = F.coalesce(F.col("first_year").isin(list(years)), F.lit(False))
+        long = long.withColumn("n", F.when(inside, F.col("n")).otherwise(F.raise_error(outside).cast("bigint")))
+    sums = [F.coalesce(F.sum(F.when(F.col("first_year") == y, F.col("n"))), F.lit(0)).cast("bigint").alias(str(y)) for y in years]
+    wide = long.groupBy("institution").agg(*sums)
     return order_rows(wide, "institution", [FEDERAL_TOTAL, *agencies, ALL_OTHER_FEDERAL])
 
 
@@ -80,9 +102,13 @@ def repos_by_agency(first_commits: DataFrame, users: DataFrame,
                     agencies: Sequence[str] = AGENCY_LIST, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """C14: repositories per listed agency over all years, plus Federal Total
     and All Other Federal (both always present, 0 on empty input)."""
-    spark: SparkSession = first_commits.sparkSession
-    bo = branch_org_first_year(first_commits, users, hot_rows=hot_rows)
-    rows = bo.select(F.explode(_agency_rows(agencies)).alias("institution"), F.lit(1).alias("n"))
+    return agency_totals_of(branch_org_first_year(first_commits, users, hot_rows=hot_rows), agencies)
+
+
+def agency_totals_of(branch_orgs: DataFrame, agencies: Sequence[str] = AGENCY_LIST) -> DataFrame:
+    """C14 from `branch_org_first_year` rows, which C13 shares."""
+    spark: SparkSession = branch_orgs.sparkSession
+    rows = branch_orgs.select(F.explode(_agency_rows(agencies)).alias("institution"), F.lit(1).alias("n"))
     always = spark.createDataFrame([(FEDERAL_TOTAL, 0), (ALL_OTHER_FEDERAL, 0)], "institution string, n int")
     out = stack_blocks(rows, always).groupBy("institution").agg(F.sum("n").cast("bigint").alias("n_repositories"))
     return order_rows(out, "institution", [FEDERAL_TOTAL, *agencies, ALL_OTHER_FEDERAL])
@@ -133,6 +159,7 @@ def top_institutions(first_commits: DataFrame, users: DataFrame, top_n: int = 10
     literal_rows = []
     offset = 0
     for sector, header, total_label, other_label, _excluded in blocks:
+        header = header.format(n=top_n)
         in_block = F.col("sector") == sector
         block_labels = F.when(is_top, contributions((F.col("org"), F.col("_r") + offset + 1), (total_label, offset + 1))) \
             .otherwise(contributions((other_label, offset + top_n + 2), (total_label, offset + 1)))

@@ -1,37 +1,28 @@
 """Merging the two sources; the first source wins.
 
-The first source is the large one.  An anti-join of the (small) second source
-against it would shuffle all of it, so it is first reduced to the keys that
-can match: a semi-join on the second source's distinct ids.  When that id set
-is small, AQE measures it and plans the semi-join as a broadcast, so the first
-source is filtered while it is scanned and never shuffled; when it is large,
-the plan is an ordinary hash-partitioned join.  The answer is the same either
-way: a first-source row whose id does not occur in the second source cannot
-match any second-source row.
+Each merge is one anti-join of the second source against the first one's keys.
+Rows with a NULL key can never match: they stay out of the join (where they
+would meet in one task) and are handled apart.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _matching_keys(primary: DataFrame, secondary: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """Rows of `primary[keys]` whose `by` value occurs in `secondary`."""
-    wanted = secondary.select(by).where(F.col(by).isNotNull()).distinct()
-    return primary.select(*keys).join(wanted, on=by, how="left_semi")
-
-
 def merge_users(primary: DataFrame, secondary: DataFrame, key: str = "id") -> DataFrame:
     """Primary ∪ secondary users whose id is not in primary (J6 + U1).
 
     `NOT IN (subquery)` plans as a null-aware broadcast anti-join of the whole
-    primary id set, which cannot scale; a `left_anti` on the reduced key set
-    can.  NULL ids are dropped on both sides (trap T7; the SQL rule would
-    instead empty the secondary part when the primary holds a NULL id).
+    primary id set, which cannot scale; a `left_anti` is hash-partitioned.
+    NULL ids are dropped on both sides (trap T7; the SQL rule would instead
+    empty the secondary part when the primary holds a NULL id).
     """
-    primary_ids = _matching_keys(primary.where(F.col(key).isNotNull()), secondary, [key], key)
-    new = secondary.where(F.col(key).isNotNull()).join(primary_ids, on=key, how="left_anti")
+    known = primary.select(key).where(F.col(key).isNotNull())
+    new = secondary.where(F.col(key).isNotNull()).join(known, on=key, how="left_anti")
     return primary.unionByName(new.select(*primary.columns))
 
 
@@ -39,9 +30,12 @@ def merge_commits(primary: DataFrame, secondary: DataFrame,
                   keys: tuple[str, ...] = ("author_id", "branch")) -> DataFrame:
     """Primary ∪ secondary pairs that are not in primary (J7 + U1).
 
-    Correlated `NOT EXISTS` on two keys is a `left_anti` join; a NULL key never
-    matches, so such secondary rows are kept, exactly as NOT EXISTS keeps them.
+    Correlated `NOT EXISTS` on two keys is one `left_anti` join on both: a
+    single shuffle per side, in which a hot author is spread over its branches.
+    A NULL key never matches, so such secondary rows are kept, exactly as NOT
+    EXISTS keeps them.
     """
-    primary_keys = _matching_keys(primary, secondary, list(keys), keys[0])
-    new = secondary.join(primary_keys, on=list(keys), how="left_anti")
-    return primary.unionByName(new.select(*primary.columns))
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    known = primary.select(*keys).where(complete)
+    new = secondary.where(complete).join(known, on=list(keys), how="left_anti").select(*primary.columns)
+    return primary.unionByName(new).unionByName(secondary.where(~complete).select(*primary.columns))

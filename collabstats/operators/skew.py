@@ -5,12 +5,12 @@ third of them) to a user-derived table (a few rows per id).  A plain
 hash-partitioned join would send all rows of a hot author to one task.  Here
 hot keys are salted explicitly:
 
-* hot keys = keys with at least `hot_rows` rows on the large side, found by a
-  partially aggregated count; there are at most N / hot_rows of them, so the
-  set has a proven size bound and is broadcast.  Each hot key gets
-  min(MAX_SALTS, ceil(rows / hot_rows)) salts, so a key holding a third of
-  all rows is cut into pieces of about `hot_rows` rows, not into a fixed
-  number of (still huge) pieces;
+* hot keys = the heaviest keys with at least `hot_rows` rows on the large
+  side, found by a partially aggregated count and a distributed top-k.  The
+  set holds at most HOT_KEYS rows whatever the data, so it may be broadcast; a
+  key beyond it holds less than 1 / HOT_KEYS of all rows and needs no split.
+  Each hot key gets ceil(rows / hot_rows) salts, without a ceiling, so its
+  pieces stay at about `hot_rows` rows however large it is;
 * large side: rows of a hot key get salt pmod(xxhash64(salt_cols), salts) -
   deterministic, so a retried task produces the same rows - others salt 0;
 * small side: rows of a hot key are replicated once per salt value (a few
@@ -33,18 +33,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000   # rows per key beyond which a key is split, and rows per piece
-MAX_SALTS = 16_384     # pieces per key at most
+HOT_KEYS = 10_000      # size bound of the hot set: a key outside it has at most 1 / HOT_KEYS of the rows
 
 
-def hot_keys(large: DataFrame, key: str, hot_rows: int | None = None, max_salts: int | None = None) -> DataFrame:
-    """(key, salts) for keys with at least `hot_rows` rows - at most
-    rows(large) / hot_rows of them - with salts = min(max_salts, ceil(rows / hot_rows))."""
+def hot_keys(large: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """(key, salts) of the at most HOT_KEYS heaviest keys with at least
+    `hot_rows` rows, with salts = ceil(rows / hot_rows), at least 2."""
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    max_salts = MAX_SALTS if max_salts is None else max_salts
-    salts = F.least(F.lit(max_salts), F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int"))
+    salts = F.greatest(F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int"), F.lit(2))
     return (
         large.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= hot_rows).select(key, F.greatest(salts, F.lit(2)).alias("salts"))
+        .where(F.col("_rows") >= hot_rows)
+        .orderBy(F.desc("_rows"), key).limit(HOT_KEYS)
+        .select(key, salts.alias("salts"))
     )
 
 
@@ -58,7 +59,7 @@ def skewed_join(large: DataFrame, small: DataFrame, key: str, how: str, salt_col
         return large.join(small, on=key, how=how)
     else:
         hot = hot_keys(large, key, hot_rows)
-    hot = F.broadcast(hot.select(key, F.col("salts").alias("_salts")))   # bounded: see hot_keys
+    hot = F.broadcast(hot.select(key, F.col("salts").alias("_salts")))   # at most HOT_KEYS rows
     is_hot = F.col("_salts").isNotNull()
     large_s = large.join(hot, on=key, how="left").select(
         *large.columns,

@@ -14,20 +14,30 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from collabstats.operators.clean import attach_agency, classify_agency, clean_users
-from collabstats.operators.collab import codeveloped_pairs, collaborations_by_country
-from collabstats.operators.commits import commit_years, first_commits_secondary, first_year, years_to_rows
+from collabstats.operators.collab import branch_countries, collaborations_of_branches, pairs_of_branches
+from collabstats.operators.commits import (
+    MASK_YEARS,
+    commit_years,
+    first_commits,
+    first_commits_secondary,
+    first_year,
+    with_branch_year,
+    yearly_commits,
+    years_to_rows,
+)
 from collabstats.operators.fractional import (
     fractional_repos_by_country,
     new_repos_by_country_year,
     new_repos_by_sector_year,
 )
-from collabstats.operators.institutions import new_repos_by_agency_year, repos_by_agency, top_institutions
+from collabstats.operators.institutions import agency_totals_of, agency_years_of, branch_org_first_year, top_institutions
 from collabstats.operators.merge import merge_commits, merge_users
 from collabstats.operators.skew import hot_keys
 from collabstats.schemas import (
@@ -36,10 +46,15 @@ from collabstats.schemas import (
     DISPLAY_HEADERS,
     ORG_COLUMNS_PRIMARY,
     ORG_COLUMNS_SECONDARY,
+    RAW_COMMITS_SCHEMA,
+    RAW_COMMITS_SECONDARY_SCHEMA,
+    RAW_USERS_SCHEMA,
+    RAW_USERS_SECONDARY_SCHEMA,
+    REPORT_ORDER,
     REPORT_YEARS,
     USERS_CLEAN_SCHEMA,
 )
-from collabstats.sources.parquet import scan
+from collabstats.sources.parquet import require_schema, scan
 from collabstats.sources.sinks import write_by_year, write_parquet, write_report
 
 
@@ -70,11 +85,19 @@ class Prepared:
     buckets declares that no author holds a large share of the commits, and
     the reports then skip the hot-key salting (`operators.skew`), which
     would undo the co-location.  The default (None) keeps salted, shuffled
-    joins.
+    joins, and so does a table that is read as plain Parquet.
     """
 
     root: str
     buckets: int | None = None
+    #: Tables that this run wrote (or that the caller vouches for); other folders under the root are never read.
+    tables: frozenset[str] = frozenset()
+
+    def having(self, *names: str) -> Prepared:
+        return replace(self, tables=self.tables | set(names))
+
+    def without(self, *names: str) -> Prepared:
+        return replace(self, tables=self.tables - set(names))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -82,10 +105,9 @@ class Prepared:
     def table(self, name: str) -> str:
         return f"collabstats_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}_{name}"
 
-    def exists(self, spark: SparkSession, name: str) -> bool:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    def bucketed(self, spark: SparkSession, name: str) -> bool:
+        """Whether `read` finds the bucketed layout (a session may lack the catalog entry)."""
+        return bool(self.buckets) and spark.catalog.tableExists(self.table(name))
 
     def write(self, df: DataFrame, name: str, key: str | None = None, by_year: bool = False) -> str:
         if self.buckets and key:
@@ -97,7 +119,7 @@ class Prepared:
         return write_by_year(df, self.path(name)) if by_year else write_parquet(df, self.path(name))
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        if self.buckets and spark.catalog.tableExists(self.table(name)):
+        if self.bucketed(spark, name):
             return spark.table(self.table(name))
         schema = PREPARED_SCHEMAS.get(name)
         if schema is None:
@@ -106,15 +128,18 @@ class Prepared:
         return spark.read.schema(schema).parquet(self.path(name))
 
 
+_HOT_SCHEMA = T.StructType([T.StructField("author_id", T.LongType()), T.StructField("salts", T.IntegerType())])
+_FIRST_WITH_BRANCH_YEAR = T.StructType([*COMMITS_FIRST_SCHEMA.fields, T.StructField("branch_year", T.LongType())])
 PREPARED_SCHEMAS = {
     "users_clean": USERS_CLEAN_SCHEMA,
     "users_clean_secondary": USERS_CLEAN_SCHEMA,
     "users_merged": USERS_CLEAN_SCHEMA,
     "commits_yearly": COMMITS_YEARLY_SCHEMA,
-    "commits_first": COMMITS_FIRST_SCHEMA,
+    "commits_first": _FIRST_WITH_BRANCH_YEAR,
     "commits_first_secondary": COMMITS_FIRST_SCHEMA,
     "commits_merged": COMMITS_FIRST_SCHEMA,
-    "hot_authors": T.StructType([T.StructField("author_id", T.LongType()), T.StructField("salts", T.IntegerType())]),
+    "hot_authors": _HOT_SCHEMA,
+    "hot_authors_merged": _HOT_SCHEMA,
 }
 
 
@@ -122,64 +147,111 @@ def prepare_primary(spark: SparkSession, raw: RawInputs, root: str | Prepared,
                     years=REPORT_YEARS, org_cols=ORG_COLUMNS_PRIMARY) -> Prepared:
     """First source: cleaned users; per (author, branch) the active years (one
     shuffle of the raw commits); from that table, without another shuffle, the
-    yearly distinct commits (partitioned by year) and first participation."""
+    yearly distinct commits (partitioned by year) and first participation, which
+    also learns its branch's first year.  Year ranges beyond the mask of
+    `commit_years` take the yearly table first and its minimum second."""
     out = root if isinstance(root, Prepared) else Prepared(root)
+    require_schema(raw.users, RAW_USERS_SCHEMA, "raw users")
+    require_schema(raw.commits, RAW_COMMITS_SCHEMA, "raw commits")
     out.write(clean_users(raw.users, org_cols), "users_clean", key="id")
-    write_parquet(commit_years(raw.commits, years), out.path("commit_years"))
-    bits = out.read(spark, "commit_years")
+    if max(years) - min(years) + 1 <= MASK_YEARS:
+        write_parquet(commit_years(raw.commits, years), out.path("commit_years"))
+        bits = out.read(spark, "commit_years")
+        yearly, first = years_to_rows(bits, years), first_year(bits, years)
+        out.write(yearly, "commits_yearly", key="author_id", by_year=True)
+    else:
+        out.write(yearly_commits(raw.commits, years), "commits_yearly", key="author_id", by_year=True)
+        first = first_commits(out.read(spark, "commits_yearly"))
+    out.write(with_branch_year(first), "commits_first", key="author_id")
     # Authors with many (author, branch) pairs, salted in every report's join.
-    write_parquet(hot_keys(bits, "author_id"), out.path("hot_authors"))
-    out.write(years_to_rows(bits, years), "commits_yearly", key="author_id", by_year=True)
-    out.write(first_year(bits, years), "commits_first", key="author_id")
-    return out
+    write_parquet(hot_keys(out.read(spark, "commits_first"), "author_id"), out.path("hot_authors"))
+    # A new first source ends what was prepared from an earlier one.
+    return Prepared(out.root, out.buckets).having("users_clean", "commits_yearly", "commits_first", "hot_authors")
 
 
 def prepare_secondary(spark: SparkSession, raw: RawInputs, prepared: Prepared) -> Prepared:
     """Second source: agency classification and cleaning of the second source, its first
     participation (>= first report year), and the merged tables (first source wins)."""
     users2 = raw.users_secondary
+    require_schema(users2, RAW_USERS_SECONDARY_SCHEMA, "second-source users")
+    require_schema(raw.commits_secondary, RAW_COMMITS_SECONDARY_SCHEMA, "second-source commits")
     write_parquet(attach_agency(users2, classify_agency(users2)), prepared.path("users_gov_secondary"))
     write_parquet(clean_users(prepared.read(spark, "users_gov_secondary"), ORG_COLUMNS_SECONDARY),
                   prepared.path("users_clean_secondary"))
     write_parquet(first_commits_secondary(raw.commits_secondary), prepared.path("commits_first_secondary"))
     prepared.write(merge_users(prepared.read(spark, "users_clean"), prepared.read(spark, "users_clean_secondary")),
                    "users_merged", key="id")
-    prepared.write(merge_commits(prepared.read(spark, "commits_first"),
+    prepared.write(merge_commits(prepared.read(spark, "commits_first").drop("branch_year"),
                                  prepared.read(spark, "commits_first_secondary")),
                    "commits_merged", key="author_id")
-    return prepared
+    # The second source has hot authors of its own.
+    write_parquet(hot_keys(prepared.read(spark, "commits_merged"), "author_id"), prepared.path("hot_authors_merged"))
+    return prepared.having("users_clean_secondary", "commits_first_secondary", "users_merged", "commits_merged", "hot_authors_merged")
+
+
+def _salting(spark: SparkSession, prepared: Prepared, commits: str) -> dict:
+    """How reports join the given commits table: a table that is read bucketed declares that no author is hot
+    (plain, co-located joins); otherwise the hot authors found during preparation are salted."""
+    if prepared.bucketed(spark, commits):
+        return {"hot_rows": 0}
+    hot = "hot_authors_merged" if commits == "commits_merged" else "hot_authors"
+    return {"hot_rows": prepared.read(spark, hot)} if hot in prepared.tables else {}
+
+
+def _agency_tables(prepared: Prepared) -> tuple[str, str]:
+    """The agency reports use the merged tables of this run; without a second source, the first source's."""
+    merged = {"commits_merged", "users_merged"} <= prepared.tables
+    return ("commits_merged", "users_merged") if merged else ("commits_first", "users_clean")
+
+
+def _branch_countries(spark: SparkSession, prepared: Prepared, year: int) -> DataFrame:
+    return branch_countries(prepared.read(spark, "commits_yearly"), prepared.read(spark, "users_clean"), year,
+                            commits_distinct=True, **_salting(spark, prepared, "commits_yearly"))
+
+
+def _branch_orgs(spark: SparkSession, prepared: Prepared) -> DataFrame:
+    commits, users = _agency_tables(prepared)
+    return branch_org_first_year(prepared.read(spark, commits), prepared.read(spark, users), **_salting(spark, prepared, commits))
+
+
+def prepare_reports(spark: SparkSession, prepared: Prepared, year: int) -> Prepared:
+    """The joins that several reports share, written once: the year's countries per branch (C10 twice, C11) and
+    the agencies' first years per branch (C13, C14)."""
+    write_parquet(_branch_countries(spark, prepared, year), prepared.path(f"branch_countries_{year}"))
+    write_parquet(_branch_orgs(spark, prepared), prepared.path("agency_branches"))
+    return prepared.having(f"branch_countries_{year}", "agency_branches")
 
 
 def report_builders(spark: SparkSession, prepared: Prepared, year: int,
                     years=REPORT_YEARS) -> dict[str, Callable[[], DataFrame]]:
-    """The eight report tables as zero-argument builders over the prepared tables."""
+    """The eight report tables as zero-argument builders over the prepared tables.
+
+    What `prepare_reports` wrote is read; otherwise the report computes it.
+    """
     users = lambda: prepared.read(spark, "users_clean")
-    yearly = lambda: prepared.read(spark, "commits_yearly")
     first = lambda: prepared.read(spark, "commits_first")
+    yearly = lambda: prepared.read(spark, "commits_yearly")
 
-    def merged():
-        if prepared.exists(spark, "commits_merged") and prepared.exists(spark, "users_merged"):
-            return prepared.read(spark, "commits_merged"), prepared.read(spark, "users_merged")
-        return first(), users()  # no second source prepared: agency tables over the first source
-
-    # A bucketed layout declares that no author is hot: plain (co-located) joins.
-    # Otherwise the hot authors found during preparation are salted.
-    if prepared.buckets:
-        h = {"hot_rows": 0}
-    elif prepared.exists(spark, "hot_authors"):
-        h = {"hot_rows": prepared.read(spark, "hot_authors")}
-    else:
-        h = {}
+    def countries() -> DataFrame:
+        name = f"branch_countries_{year}"
+        return prepared.read(spark, name) if name in prepared.tables else _branch_countries(spark, prepared, year)
+
+    def orgs() -> DataFrame:
+        return prepared.read(spark, "agency_branches") if "agency_branches" in prepared.tables else _branch_orgs(spark, prepared)
+
+    y = {"commits_distinct": True, **_salting(spark, prepared, "commits_yearly")}
+    h = _salting(spark, prepared, "commits_first")
+    f = {"commits_distinct": True, **h}
     return {
-        "collab_by_country": lambda: collaborations_by_country(yearly(), users(), year, top_n=11, **h),
-        "collab_by_country_supp": lambda: collaborations_by_country(yearly(), users(), year, top_n=51, **h),
-        "codeveloped_pairs": lambda: codeveloped_pairs(yearly(), users(), year, **h),
-        "fractional_by_country": lambda: fractional_repos_by_country(yearly(), users(), year, **h),
+        "collab_by_country": lambda: collaborations_of_branches(countries(), top_n=11),
+        "collab_by_country_supp": lambda: collaborations_of_branches(countries(), top_n=51),
+        "codeveloped_pairs": lambda: pairs_of_branches(countries()),
+        "fractional_by_country": lambda: fractional_repos_by_country(yearly(), users(), year, **y),
         "top_institutions": lambda: top_institutions(first(), users(), **h),
-        "sectors_by_year": lambda: new_repos_by_sector_year(first(), users(), years, **h),
-        "countries_by_year": lambda: new_repos_by_country_year(first(), users(), years, **h),
-        "agency_new_by_year": lambda: new_repos_by_agency_year(*merged(), years=years, **h),
-        "agency_totals": lambda: repos_by_agency(*merged(), **h),
+        "sectors_by_year": lambda: new_repos_by_sector_year(first(), users(), years, **f),
+        "countries_by_year": lambda: new_repos_by_country_year(first(), users(), years, **f),
+        "agency_new_by_year": lambda: agency_years_of(orgs()),
+        "agency_totals": lambda: agency_totals_of(orgs()),
     }
 
 
@@ -192,6 +264,7 @@ def write_reports(tables: dict[str, DataFrame], root: str, fmt: str = "csv") ->
     """S6 for every report: display headers, one folder per report name."""
     written = {}
     for name, df in tables.items():
-        headers = DISPLAY_HEADERS.get(name.replace("_supp", ""), {})
-        written[name] = write_report(df, root, name, headers, fmt)
+        kind = name.replace("_supp", "")
+        order = [F.desc(c[1:]) if c.startswith("-") else c for c in REPORT_ORDER.get(kind, ["row_order"])]
+        written[name] = write_report(df, root, name, DISPLAY_HEADERS.get(kind, {}), fmt, order)
     return written

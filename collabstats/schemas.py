@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Column lists of the raw user tables
+# Column lists of the raw user tables (fixed values: the input format)
 # ---------------------------------------------------------------------------
 
 COUNTRY_COLUMNS = [
@@ -183,11 +183,11 @@ SECTOR_ROW_ORDER = [
 
 # Institution report blocks (sector, header, total, other, excluded orgs).
 INSTITUTION_BLOCKS = [
-    ("business", "Top 10 Businesses (Global)", "Business Total", "All Other Business", ["", "Misc. Business"]),
-    ("academic", "Top 10 Universities (Global)", "Academic Total", "All Other Academic", ["", "Misc. Academic"]),
+    ("business", "Top {n} Businesses (Global)", "Business Total", "All Other Business", ["", "Misc. Business"]),
+    ("academic", "Top {n} Universities (Global)", "Academic Total", "All Other Academic", ["", "Misc. Academic"]),
 ]
 
-# Display headers used by the report sink.
+# Display headers used by the report sink.
 DISPLAY_HEADERS = {
     "collab_by_country": {
         "country": "Country",
@@ -207,3 +207,10 @@ DISPLAY_HEADERS = {
     "sectors_by_year": {"sector": "Sector"},
     "countries_by_year": {"country": "Country"},
 }
+
+# Row order of the reports without a fixed list ("-": descending); the others carry `row_order`.
+REPORT_ORDER = {
+    "collab_by_country": ["-collaborations_with_us", "country"],
+    "codeveloped_pairs": ["-co_developed_repositories", "country_1", "country_2"],
+    "fractional_by_country": ["-total_repositories", "country"],
+}

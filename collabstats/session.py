@@ -1,15 +1,12 @@
 """Spark session helpers.
 
 The library never creates a cluster session on its own; `local_session` is for
-tests and the benchmark.  `checkpoint_dir` reads the shared checkpoint folder
-the cluster configures and only falls back to a scratch folder when the
-setting is absent (local runs).
+tests and the benchmark.  Nothing in the library checkpoints: lineage ends in
+the prepared tables, which lie where the caller puts them.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job in this package relies on: UTC for timestamp -> year,
@@ -51,7 +48,6 @@ def configure(spark: SparkSession, scale: bool = True, override: bool = False) -
         if (override or spark.conf.get(key, None) is None) and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
             applied[key] = value
-    checkpoint_dir(spark)
     return applied
 
 
@@ -68,23 +64,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by `spark.checkpoint.dir`.
-
-    Only when the session names none (local tests) is a scratch folder
-    created; on a cluster the configured shared folder is always used.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="collabstats-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", configured)
-        except Exception:  # core setting not modifiable at run time: the context setting below suffices
-            pass
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured

@@ -1,9 +1,9 @@
 """Derive user and commit tables from the TPC-H-like test tables.
 
 `customer ⋈ nation` plays the first-source users, `lineitem ⋈ orders` the raw
-commits, `supplier` the second-source users and returned `lineitem` rows the
+commits, `supplier` the second-source users and all of `lineitem` the
 second-source commits.  Dates are shifted so commits fall in 2009-2015 and the
-second source spans 2007-2013.  The derivation is narrow per row except for the
+second source spans 2007-2013, for every fourth supplier 2019-2025.  The derivation is narrow per row except for the
 two joins, which Spark plans as it likes (the nation side is a 25-row dimension).
 """
 
@@ -16,6 +16,20 @@ from collabstats.schemas import US, US_LONG
 from collabstats.sources.parquet import scan
 
 
+# Fixture values: government organisations of the second source, in turn over the
+# suppliers.  Each agency rule occurs, in upper and lower case where that decides,
+# besides a missing and an unlisted organisation.
+SECONDARY_ORGS = [
+    "USDA Forest Service", "office of agriculture", "US National Weather Service", "us patent and trademark office",
+    "USGS", "national park service", "Department of Defense", "department of defense", "Oak Ridge", "office of energy",
+    "National Institutes of Health", "national institutes of health", "FEMA", "fema", "Bureau of Investigation", "unicor",
+    "Bureau of Labor", "labor statistics", "NHTSA", "aviation office", "Department of Veterans Affairs",
+    "environmental protection agency", "Federal Election Commission", "GSA", "gsa",
+    "National Aeronautics and Space Administration", "US National Science Foundation", "us national science foundation",
+    "OPM", "Social Security Administration", "US Department of State", "Dept of State", None, "City of Springfield",
+]
+
+
 def _tbl(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
     return scan(spark, f"{sf_dir}/{name}.parquet", cols)
 
@@ -99,8 +113,8 @@ def raw_users_secondary(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id": F.when(_mod(k, 4) == 0, F.col(k)).otherwise(F.lit(1000000) + F.col(k)),
         "login": F.col("s_name"),
         "country_government": F.when(_mod(k, 5) == 0, F.lit(US_LONG)).otherwise(F.lit(US)),
-        "organization_company_government": F.when(_mod(k, 3) == 0, F.lit("GSA"))
-        .when(_mod(k, 3) == 1, F.lit("US Department of State")),
+        "organization_company_government": F.element_at(
+            F.array(*map(F.lit, SECONDARY_ORGS)), (_mod(k, len(SECONDARY_ORGS)) + 1).cast("int")),
         "government": F.when(_mod(k, 7) == 6, F.lit(0)).otherwise(F.lit(1)),
     }
     cols = ["id", "login"] + COUNTRY_COLUMNS + ORG_COLUMNS_BASE + ["nonprofit", "government", "business", "academic"]
@@ -116,10 +130,11 @@ def raw_users_secondary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_commits_secondary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _tbl(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"])
+    li = _tbl(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"])
     k = "l_suppkey"
-    return li.where(F.col("l_returnflag") == "R").select(
+    return li.select(
         F.when(_mod(k, 4) == 0, F.col(k)).otherwise(F.lit(1000000) + F.col(k)).alias("userid"),
         _branch().alias("repoid"),
-        (F.col("l_shipdate") + F.expr("INTERVAL 12 YEARS")).alias("commityear"),
+        F.when(_mod(k, 4) == 3, F.col("l_shipdate") + F.expr("INTERVAL 24 YEARS"))
+        .otherwise(F.col("l_shipdate") + F.expr("INTERVAL 12 YEARS")).alias("commityear"),
     )

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from collabstats.schemas import REPORT_YEARS
 
@@ -33,6 +35,27 @@ def scan(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -
     return df
 
 
+def require_schema(df: DataFrame, schema: T.StructType, what: str = "table") -> DataFrame:
+    """`df` after a check at the edge: every field of `schema` is there, with its kind of type
+    (integers of any width, timestamps with or without time zone)."""
+    require_columns(df, schema.fieldNames(), what)
+
+    def kind(dtype: T.DataType) -> object:
+        if isinstance(dtype, T.ArrayType):
+            return ("array", kind(dtype.elementType))
+        if isinstance(dtype, T.IntegralType):
+            return "integer"
+        if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return "time"
+        return dtype.typeName()
+
+    wrong = {f.name: df.schema[f.name].dataType.simpleString() for f in schema.fields
+             if kind(df.schema[f.name].dataType) != kind(f.dataType)}
+    if wrong:
+        raise TypeError(f"{what} has columns of another type: {wrong}")
+    return df
+
+
 def scan_glob(spark: SparkSession, root: str) -> DataFrame:
     """Every `<root>/*/*.parquet`, whatever the folder name."""
     return spark.read.parquet(f"{root}/*/*.parquet")
@@ -40,21 +63,18 @@ def scan_glob(spark: SparkSession, root: str) -> DataFrame:
 
 def scan_year_folders(spark: SparkSession, root: str, years: Sequence[int] = REPORT_YEARS,
                       suffix: str = ".0") -> DataFrame:
-    """S3: only the files under year folders `<root>/<year><suffix>/`.
+    """S3: the `.parquet` files under year folders `<root>/<year><suffix>/`.
 
-    Folders that do not exist are skipped (the archive may lack a year).
+    One glob over the years: folders that do not exist match nothing (the
+    archive may lack a year), and files of another kind are left alone.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    paths = []
-    for y in years:
-        p = f"{root}/{y}{suffix}"
-        jpath = jvm.org.apache.hadoop.fs.Path(p)
-        if jpath.getFileSystem(conf).exists(jpath):
-            paths.append(p)
-    if not paths:
-        raise FileNotFoundError(f"no year folders {years[0]}..{years[-1]} under {root}")
-    return spark.read.option("recursiveFileLookup", "false").parquet(*paths)
+    folders = f"{root}/{{{','.join(map(str, years))}}}{suffix}"
+    try:
+        return spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "false").parquet(folders)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        raise FileNotFoundError(f"no year folders {years[0]}..{years[-1]} under {root}") from e
 
 
 def preview(df: DataFrame, n: int = 10, first: Sequence[str] = ("id", "author_id")) -> DataFrame:

@@ -3,9 +3,9 @@ report tables with display headers (S6)."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -18,31 +18,36 @@ def write_by_year(df: DataFrame, path: str, year_col: str = "commit_year", mode:
                   max_records_per_file: int = 50_000_000) -> str:
     """One output per year in a single job (instead of one query per year).
 
-    No extra shuffle: each task sorts its rows by the year (Spark's planned
-    write) and writes at most one file per year folder, capped at
+    The rows are rebalanced by the year first, so a year's rows meet in few
+    tasks - as many as its size asks for, AQE splits large years - instead of
+    every task writing a small file for every year.  Files are capped at
     `max_records_per_file`.  Readers prune folders by `year_col = y`.
     """
-    df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file) \
+    df.hint("rebalance", year_col).write.mode(mode).option("maxRecordsPerFile", max_records_per_file) \
         .partitionBy(year_col).parquet(path)
     return path
 
 
 def write_report(df: DataFrame | None, root: str | None, name: str,
-                 headers: Mapping[str, str] | None = None, fmt: str = "csv") -> str | None:
+                 headers: Mapping[str, str] | None = None, fmt: str = "csv",
+                 order: Sequence[Column | str] = ("row_order",)) -> str | None:
     """Write a result table under a sheet-like name with display headers.
 
     Other reports under `root` are left alone.  `root=None` skips writing (the
     reference's `output_file = NULL`).  Report tables are bounded by their label
-    domains (countries, agencies, sectors), so they are written as one file.
+    domains (countries, agencies, sectors), so they are written as one file,
+    sorted by those of `order` that the table has; the helper column
+    `row_order` orders the rows and is not part of the report.
     """
     if root is None or df is None:
         return None
     headers = dict(headers or {})
-    out = df.toDF(*[headers.get(c, c) for c in df.columns])
-    if "row_order" in df.columns:
-        out = out.orderBy("row_order")
+    one = df.coalesce(1)
+    by = [c for c in order if not isinstance(c, str) or c in df.columns]
+    out = (one.sortWithinPartitions(*by) if by else one).drop("row_order")
+    out = out.toDF(*[headers.get(c, c) for c in out.columns])
     path = f"{root}/{name}"
-    writer = out.coalesce(1).write.mode("overwrite")
+    writer = out.write.mode("overwrite")
     if fmt == "csv":
         writer.option("header", True).csv(path)
     else:

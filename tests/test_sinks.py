@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from collabstats.plans.jobs import RawInputs, prepare_primary, prepare_secondary, reports, write_reports
+from collabstats.plans.jobs import RawInputs, prepare_primary, prepare_reports, prepare_secondary, reports, write_reports
 from collabstats.sources import adapter
 from collabstats.sources.parquet import preview, scan, scan_glob, scan_year_folders, MissingColumnsError
 from collabstats.sources.sinks import write_by_year, write_parquet, write_report
@@ -23,10 +23,15 @@ def test_write_by_year_and_year_folder_scan(spark):
     pruned = scan(spark, f"{root}/yearly").where(F.col("commit_year") == 2011)
     assert "PartitionFilters: [isnotnull(commit_year" in pruned._jdf.queryExecution().executedPlan().toString()
     assert [r.branch for r in pruned.collect()] == ["b2"]
+    # other files in the folders are left alone
     # year folders named "<year>.0" as in the raw commit archive
     for y in (2009, 2010, 2024):
         write_parquet(yearly_df(spark, [(f"y{y}", y, y)]), f"{root}/archive/{y}.0")
+    with open(f"{root}/archive/2010.0/notes.txt", "w") as fh:
+        fh.write("not a table")
     assert sorted(r.branch for r in scan_year_folders(spark, f"{root}/archive").collect()) == ["y2009", "y2010"]
+    with pytest.raises(FileNotFoundError):
+        scan_year_folders(spark, f"{root}/archive", [1999])
     assert sorted(r.branch for r in scan_glob(spark, f"{root}/archive").collect()) == ["y2009", "y2010", "y2024"]
 
 
@@ -55,8 +60,11 @@ def test_end_to_end_jobs_and_report_sink(spark):
     assert len(files) == 1
     with open(files[0]) as fh:
         rows = list(csv.reader(fh))
-    assert rows[0] == ["Institution", "Number of repositories", "row_order"]
-    assert rows[1][0] == "Federal Total"
+    assert rows[0] == ["Institution", "Number of repositories"]
+    assert rows[1][0] == "Federal Total" and rows[-1][0] == "All Other Federal"
+    with open(glob.glob(f"{written['codeveloped_pairs']}/*.csv")[0]) as fh:
+        counts = [int(r[2]) for r in list(csv.reader(fh))[1:]]
+    assert len(counts) > 5 and counts == sorted(counts, reverse=True)
     assert write_report(tables["agency_totals"], None, "skip") is None
 
 
@@ -83,3 +91,54 @@ def test_production_entry_point(spark):
     assert len(written) == 9 and all(glob.glob(f"{p}/*.csv") for p in written.values())
     years = {r.commit_year for r in scan(spark, f"{root}/prepared/commits_yearly").select("commit_year").distinct().collect()}
     assert years == {2009, 2012, 2014}
+
+
+def _inputs(spark, second: bool = True) -> RawInputs:
+    more = (adapter.raw_users_secondary(spark, SF001), adapter.raw_commits_secondary(spark, SF001)) if second else ()
+    return RawInputs(adapter.raw_users(spark, SF001), adapter.raw_commits(spark, SF001), *more)
+
+
+def test_a_run_without_second_source_ignores_an_older_merge(spark):
+    root = tempfile.mkdtemp(prefix="collabstats-test-")
+    both = prepare_secondary(spark, _inputs(spark), prepare_primary(spark, _inputs(spark), root))
+    with_second = {r.institution: r.n_repositories for r in reports(spark, both, 2014)["agency_totals"].collect()}
+    alone = prepare_primary(spark, _inputs(spark, second=False), root)   # the merged folders are still there
+    fresh = prepare_primary(spark, _inputs(spark, second=False), tempfile.mkdtemp(prefix="collabstats-test-"))
+    got, want = (reports(spark, p, 2014)["agency_totals"].collect() for p in (alone, fresh))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert {r.institution: r.n_repositories for r in got} != with_second
+
+
+def test_a_lone_second_source_table_is_an_error():
+    from collabstats.__main__ import main
+
+    need = ["--users", "u", "--commits", "c", "--prepared", "p", "--out", "o"]
+    for option in ("--users2", "--commits2"):
+        with pytest.raises(SystemExit):
+            main([*need, option, "x"])
+
+
+def test_shared_tables_give_the_same_reports(spark):
+    prepared = prepare_secondary(spark, _inputs(spark), prepare_primary(spark, _inputs(spark), tempfile.mkdtemp(prefix="collabstats-test-")))
+    shared = prepare_reports(spark, prepared, 2014)
+    a, b = reports(spark, prepared, 2014), reports(spark, shared, 2014)
+    for name in ("collab_by_country", "collab_by_country_supp", "codeveloped_pairs", "agency_new_by_year", "agency_totals"):
+        assert sorted(map(str, a[name].collect())) == sorted(map(str, b[name].collect())), name
+        assert "Join" not in b[name]._jdf.queryExecution().executedPlan().toString(), name
+
+
+def test_raw_tables_are_checked_at_the_edge(spark):
+    raw = _inputs(spark, second=False)
+    with pytest.raises(MissingColumnsError):
+        prepare_primary(spark, RawInputs(raw.users.drop("login"), raw.commits), "unused")
+    with pytest.raises(TypeError):
+        prepare_primary(spark, RawInputs(raw.users, raw.commits.withColumn("committedat", F.lit("2014"))), "unused")
+
+
+def test_wide_year_ranges_take_the_yearly_table(spark):
+    raw = _inputs(spark, second=False)
+    wide = prepare_primary(spark, raw, tempfile.mkdtemp(prefix="collabstats-test-"), years=list(range(1950, 2024)))
+    usual = prepare_primary(spark, raw, tempfile.mkdtemp(prefix="collabstats-test-"))
+    for table in ("commits_yearly", "commits_first"):
+        x, y = wide.read(spark, table), usual.read(spark, table).select(*wide.read(spark, table).columns)
+        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, table

@@ -27,7 +27,7 @@ def main(argv):
     names = [a for a in argv if not a.startswith("--")]
     sf = "/root/testdata/sf0.01"
     spark = local_session(8)
-    work = tempfile.mkdtemp(prefix="collabstats-plans-", dir="/tmp")
+    work = tempfile.mkdtemp(prefix="collabstats-plans-", dir=os.environ.get("PLANS_WORK", tempfile.gettempdir()))
     raw = RawInputs(adapter.raw_users(spark, sf), adapter.raw_commits(spark, sf),
                     adapter.raw_users_secondary(spark, sf), adapter.raw_commits_secondary(spark, sf))
     target = Prepared(work, buckets=8) if "--bucketed" in argv else Prepared(work)
