@@ -32,6 +32,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def partitions(spark: SparkSession) -> int:
+    """Number of partitions for work that grows far beyond its input rows, which Spark would otherwise coalesce."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def crc_is_one(doc_id: Column, mod: int) -> Column:
     """The held-out split: crc32 of the id as text leaves remainder 1 (a null id never does)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % mod == 1, F.lit(False))

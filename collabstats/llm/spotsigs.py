@@ -21,9 +21,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from collabstats.llm.common import materialize, partitions
+from collabstats.llm.components import connected_components
+
 CHAIN = 2
 #: Words remembered per task; characters fingerprinted together.
 WORDS, BLOCK_CHARS = 400_000, 4_000_000
@@ -201,3 +205,87 @@ def edited_neighbours(docs: DataFrame, text: str = "text") -> DataFrame:
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return with_next(docs, run, f"doc_id {id_type}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double", text)
+
+
+#: Members of a candidate group that are compared in one piece.
+GROUP = 256
+
+
+def _sets(prints: DataFrame) -> DataFrame:
+    """``fid`` and ``sig``: the signatures of every distinct fingerprint, one row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for fid, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = np.frombuffer(base64.b64decode(packed), "<u4").astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), fid)), pa.array(found)], names=["fid", "sig"])
+
+    return prints.mapInArrow(run, "fid long, sig long")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text") -> DataFrame:
+    """``doc_id`` and ``class_id`` (smallest id reachable over texts at least ``threshold`` alike) of every row.
+
+    Equal fingerprints are one set.  A set's partition is the level of its length on a scale of steps 1 / threshold;
+    it meets sets of its own level and of the next.  Two alike sets share one of the rarest signatures of each (as
+    many as they may differ in), so these are the join key; candidates are verified by their whole sets.  A key's
+    candidates yield a spanning forest of their links, not their pairs, and a key with more than ``GROUP`` of them is
+    compared in pairs of blocks.
+    """
+    spark = docs.sparkSession
+    prints = materialize(fingerprints(docs, text), "spotsigs")
+    distinct = materialize(prints.select("fingerprint").distinct().withColumn("fid", F.monotonically_increasing_id()), "spotsigs-distinct")
+    sets = _sets(distinct.select("fid", "fingerprint"))
+    often = sets.groupBy("sig").agg(F.count("*").alias("often"))
+    ordered = sets.join(often.hint("merge"), "sig").withColumn("place", F.row_number().over(W.partitionBy("fid").orderBy("often", "sig")))
+    ordered = ordered.withColumn("size", F.count("*").over(W.partitionBy("fid")))
+    leading = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
+    level = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9)
+    posts = (ordered.where((F.col("place") <= leading) & (F.col("often") > 1))
+             .withColumn("level", F.explode(F.array(level, level + 1))).select("fid", "sig", "level"))
+    groups = posts.groupBy("sig", "level").agg(F.count("*").alias("n")).where("n > 1")
+    pieces = F.ceil(F.col("n") / GROUP).cast("int")
+    own = F.pmod(F.xxhash64("fid"), pieces).cast("int")
+    dealt = (posts.join(groups.hint("merge"), ["sig", "level"]).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), pieces - 1)))
+             .select("sig", "level", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fid"))
+    names = ["sig", "level", "i", "j"]
+    whole = dealt.join(distinct.hint("merge"), "fid").repartition(partitions(spark), *names).sortWithinPartitions(*names, "fid")
+    edges = whole.mapInArrow(_forests(threshold), "a long, b long").distinct()
+    roots = connected_components(edges, "spotsigs-links").withColumnRenamed("node", "fid")
+    classes = distinct.join(roots.hint("merge"), "fid", "left").select("fingerprint", F.coalesce("root", "fid").alias("root"))
+    joined = prints.join(classes.hint("merge"), "fingerprint")
+    smallest = joined.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    return joined.join(smallest.hint("merge"), "root").select("doc_id", "class_id")
+
+
+def _forests(threshold: float):
+    """Links of groups (rows sorted by key), as spanning forests."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, members = None, {}
+
+        def done() -> pa.RecordBatch:
+            a, b = [], []
+            left = dict(members)
+            while left:
+                queue = [left.popitem()]
+                while queue and left:
+                    fid, own = queue.pop()
+                    near = [f for f, x in left.items() if likeness(own, x, threshold) >= threshold - 1e-12]
+                    for f in near:
+                        a.append(min(fid, f))
+                        b.append(max(fid, f))
+                        queue.append((f, left.pop(f)))
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for sig, level, i, j, fid, packed in zip(*(batch.column(c).to_pylist() for c in ("sig", "level", "i", "j", "fid", "fingerprint")), strict=True):
+                if (sig, level, i, j) != key:
+                    if len(members) > 1:
+                        yield done()
+                    key, members = (sig, level, i, j), {}
+                members[fid] = np.frombuffer(base64.b64decode(packed), "<u4")
+        if len(members) > 1:
+            yield done()
+
+    return run

@@ -335,7 +335,7 @@ def _by_string(strings: DataFrame) -> DataFrame:
 
     every = strings.mapInArrow(run, "string binary, rid long, start int")
     earliest = every.groupBy("string").agg(F.min(F.struct("rid", "start")).alias("first"))
-    return every.join(earliest, "string").where(F.struct("rid", "start") != F.col("first")).select("rid", "start", (F.col("start") + LENGTH).alias("end"))
+    return every.join(earliest.hint("merge"), "string").where(F.struct("rid", "start") != F.col("first")).select("rid", "start", (F.col("start") + LENGTH).alias("end"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -352,7 +352,7 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     packed = _packed(rows)
     strings = materialize(_fetch(several.where("not again").select("rid", "start", "size", "at"), packed), "suffix-strings")
     members = strings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = strings.join(members, "key")
+    shared = strings.join(members.hint("merge"), "key")
     compared = _compare(shared.where(F.col("n") <= HOT)).unionByName(_by_string(shared.where(F.col("n") > HOT)))
     return _apply(packed, copies.unionByName(compared))
 
