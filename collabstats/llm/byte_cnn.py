@@ -121,7 +121,11 @@ def _gradients(w: dict, batch: list[np.ndarray], labels: np.ndarray) -> dict:
     back = np.outer(error, w["out"]) * (1 - hidden ** 2)
     into = back @ w["hidden"].T
     of_mean, of_high, of_low = np.split(into, 3, axis=1)
-    d_chunk = (of_mean / counts)[owner] + of_high[owner] * (chunk == high[owner]) + of_low[owner] * (chunk == low[owner])
+    # neighbouring chunks often share a largest response: its gradient is shared out among them
+    d_chunk = (of_mean / counts)[owner]
+    for into_one, value in ((of_high, high), (of_low, low)):
+        tied = chunk == value[owner]
+        d_chunk = d_chunk + (into_one / np.add.reduceat(tied, begins, dtype=np.int64))[owner] * tied
     d_chunk *= 1 - chunk ** 2
     # the gradient goes to the place of each chunk's largest response
     half = np.where(second, after[:, None], np.arange(len(owner))[:, None])
