@@ -155,12 +155,13 @@ def label(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, n-gram log probabilities and script table, from rows of ``docs`` whose language is not null."""
-    labelled = docs.select(F.col(lang).alias("__lang"), F.col(text).alias("__text")).where("__lang is not null and __text is not null")
+    labelled = docs.select("doc_id", F.col(lang).alias("__lang"), F.col(text).alias("__text")).where("__lang is not null and __text is not null")
     totals = {r["__lang"]: r["n"] for r in labelled.groupBy("__lang").agg(F.count("*").alias("n")).collect()}  # one row per language
     if not totals:
         return [], np.zeros((BUCKETS, 0)), np.zeros((16, 0), bool)
     share = F.element_at(F.create_map(*(F.lit(x) for k, n in totals.items() for x in (k, min(1.0, per_language / n)))), F.col("__lang"))
-    chosen = labelled.where(F.pmod(F.xxhash64("__text", F.lit(9)), F.lit(1 << 20)) < share * (1 << 20))
+    # by id and text, so that copies of one text do not come in or stay out together
+    chosen = labelled.where(F.pmod(F.xxhash64("doc_id", "__text", F.lit(9)), F.lit(1 << 20)) < share * (1 << 20)).drop("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
