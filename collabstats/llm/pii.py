@@ -48,8 +48,8 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+", 0.6, r"ip|host|server|address|adresse|client", 0.3, against=r"version|release|v", needs="."),
     Kind("card", r"[0-9](?:[\x20-]?[0-9]){13,}+", 0.8, r"card|visa|credit|debit|carte|tarjeta|karte", 0.2),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.6, r"call|tel|phone|mobile|fax|telefon|appel", 0.3, needs="+"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", 0.8, r"iban|bank|account|konto|compte|cuenta", 0.2, base=False),
-    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.3, r"ssn|social|security", 0.4, base=False, needs="-"),
+    Kind("iban", r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9_])", 0.8, r"iban|bank|account|konto|compte|cuenta", 0.2, base=False),
+    Kind("ssn", r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])", 0.3, r"ssn|social|security", 0.4, base=False, needs="-"),
 )
 BASE = tuple(k.name for k in KINDS if k.base)
 

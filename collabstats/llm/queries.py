@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collabstats.llm import bpe, byte_cnn, langid, lattice_lm, mixing, permutation_index, pii, simhash, spotsigs, suffix_dedup
+from collabstats.llm import bpe, byte_cnn, langid, lattice_lm, mixing, oracle, permutation_index, pii, simhash, spotsigs, suffix_dedup
 from collabstats.llm.common import crc_is_one, read
 
 
@@ -93,4 +93,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
