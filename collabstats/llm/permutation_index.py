@@ -103,14 +103,14 @@ def search(vectors: DataFrame, every: int = 50, wanted: int = 5, vec_id: str = "
     place = F.row_number().over(W.partitionBy("vec").orderBy("vec_id"))
     entries = materialize(ordered.withColumn("place", place).where(F.col("place") <= depth).select("vec_id", "vec", "near"), "ann-entries")
     asked = ordered.where(F.pmod("vec_id", F.lit(every)) == 0)
-    queries = materialize(asked.select("vec", "near").distinct(), "ann-queries")
+    queries = materialize(asked.select("vec", "near").distinct().withColumn("query", F.monotonically_increasing_id()), "ann-queries")
 
     posts = entries.select("vec_id", "vec", F.explode(F.slice("near", 1, POSTED)).alias("pivot"))
     sizes = {r["pivot"]: -(-r["n"] // BLOCK) for r in posts.groupBy("pivot").agg(F.count("*").alias("n")).collect()}  # a row per pivot
     blocks = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (int(k), n))), F.col("pivot").cast("int")), F.lit(0))
     members = posts.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
-    reads = (queries.select("vec", F.explode(F.slice("near", 1, READ)).alias("pivot")).withColumn("blocks", blocks).where("blocks > 0")
-             .select("vec", "pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
+    reads = (queries.select("query", "vec", F.explode(F.slice("near", 1, READ)).alias("pivot")).withColumn("blocks", blocks).where("blocks > 0")
+             .select("query", "vec", "pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
 
     def rank(key: tuple, own: pa.Table, asking: pa.Table) -> pa.Table:
         found: list[tuple] = []
@@ -121,7 +121,7 @@ def search(vectors: DataFrame, every: int = 50, wanted: int = 5, vec_id: str = "
             wants = _matrix(asking.column("vec"), width)
             orders, places = _ranks(wants, shared.value)
             pivot = key[0].as_py()
-            for query, near, own_place in zip(wants, orders, places, strict=True):
+            for number, query, near, own_place in zip(asking.column("query").to_pylist(), wants, orders, places, strict=True):
                 # a vector that stands in a file that the query reads earlier is ranked there
                 earlier = near[:int(own_place[pivot])]
                 left = np.flatnonzero(~(place[:, earlier] < POSTED).any(axis=1))
@@ -131,7 +131,7 @@ def search(vectors: DataFrame, every: int = 50, wanted: int = 5, vec_id: str = "
                 keep = min(len(left), max(LEAST, int(SHARE * len(left))))
                 left = left[footrule <= np.partition(footrule, keep - 1)[keep - 1]]
                 at, scores = _best(query, data[left], unit[left], ids[left], depth)
-                found += [(query.astype("<f8").tobytes(), int(i), float(s)) for i, s in zip(ids[left[at]], scores)]
+                found += [(number, int(i), float(s)) for i, s in zip(ids[left[at]], scores)]
         return _found(found)
 
     def exact(_: tuple, own: pa.Table, asking: pa.Table) -> pa.Table:
@@ -139,29 +139,30 @@ def search(vectors: DataFrame, every: int = 50, wanted: int = 5, vec_id: str = "
         if own.num_rows and asking.num_rows:
             data, ids = _matrix(own.column("vec"), width), own.column("vec_id").to_numpy()
             unit = _unit(data)
-            for query in _matrix(asking.column("vec"), width):
+            for number, query in zip(asking.column("query").to_pylist(), _matrix(asking.column("vec"), width), strict=True):
                 at, scores = _best(query, data, unit, ids, depth)
-                found += [(query.astype("<f8").tobytes(), int(i), float(s)) for i, s in zip(ids[at], scores)]
+                found += [(number, int(i), float(s)) for i, s in zip(ids[at], scores)]
         return _found(found)
 
-    schema = "vec binary, vec_id long, score double"
+    schema = "query long, vec_id long, score double"
     ranked = materialize(members.select("pivot", "block", "vec_id", "vec").groupBy("pivot", "block").cogroup(reads.groupBy("pivot", "block")).applyInArrow(rank, schema), "ann-found")
     total = entries.count()
-    enough = ranked.groupBy("vec").agg(F.count("*").alias("n")).where(F.col("n") >= min(depth, total))
-    short = materialize(queries.join(enough, "vec", "left_anti").select("vec"), "ann-short")
+    enough = ranked.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= min(depth, total))
+    short = materialize(queries.join(enough, "query", "left_anti").select("query", "vec"), "ann-short")
     if short.limit(1).count():
         parts = -(-total // BLOCK)
         everything = entries.select("vec_id", "vec", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).alias("block"))
-        again = short.select("vec", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("bigint").alias("block"))
-        ranked = ranked.join(short, "vec", "left_anti").unionByName(everything.groupBy("block").cogroup(again.groupBy("block")).applyInArrow(exact, schema))
+        again = short.select("query", "vec", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("bigint").alias("block"))
+        ranked = ranked.join(short, "query", "left_anti").unionByName(everything.groupBy("block").cogroup(again.groupBy("block")).applyInArrow(exact, schema))
 
-    best = W.partitionBy("vec").orderBy(F.col("score").desc(), "vec_id")
+    best = W.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     top = ranked.withColumn("place", F.row_number().over(best)).where(F.col("place") <= depth)
-    answers = asked.select(F.col("vec_id").alias("query_id"), "vec").distinct().join(top.drop("place"), "vec").where("vec_id <> query_id")
+    named = asked.select(F.col("vec_id").alias("query_id"), "vec").distinct().join(queries.select("query", "vec"), "vec").select("query", "query_id")
+    answers = named.join(top.drop("place"), "query").where("vec_id <> query_id")
     by_query = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return answers.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= wanted).select("query_id", "rank", "vec_id", "score")
 
 
 def _found(rows: list[tuple]) -> pa.Table:
     columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
-    return pa.table({"vec": pa.array(columns[0], pa.binary()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
+    return pa.table({"query": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
