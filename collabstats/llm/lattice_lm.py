@@ -32,8 +32,8 @@ from pyspark.sql import types as T
 
 from collabstats.llm.common import crc_is_one, materialize
 
-#: Distinct words at which a block of documents is closed; word numbers of such a block fit 16 bits.
-BLOCK_WORDS = 40_000
+#: Distinct words at which a block of documents is closed.
+BLOCK_WORDS = 250_000
 START = "▁"  # stands before each word in the vocabulary
 
 
@@ -81,6 +81,19 @@ def forward(word: str, pieces: dict[str, float], single: list[float], longest: i
     return top + log(sum(exp(t - top) for t in reach[n]))
 
 
+def _pack(numbers: np.ndarray, size: int) -> bytes:
+    """Numbers below ``size`` in as few bytes as all of them need: 2, 3 or 4 each."""
+    width = 2 if size <= 1 << 16 else 3 if size <= 1 << 24 else 4
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def _unpack(packed: bytes, size: int) -> np.ndarray:
+    width = 2 if size <= 1 << 16 else 3 if size <= 1 << 24 else 4
+    out = np.zeros((len(packed) // width, 4), np.uint8)
+    out[:, :width] = np.frombuffer(packed, np.uint8).reshape(-1, width)
+    return out.view("<u4")[:, 0]
+
+
 _COUNTED = "kind string, block long, doc_id {id}, held_out boolean, n long, word binary, number int, trained long, numbers binary, times binary"
 
 
@@ -95,7 +108,6 @@ def _count(docs: DataFrame, text: str) -> DataFrame:
 
         def close(schema: pa.DataType) -> Iterator[pa.RecordBatch]:
             block = uuid.uuid4().int >> 65
-            small = len(number) <= 1 << 16
             trained = np.zeros(len(number), np.int64)
             for out, own, n in zip(outs, numbers, times, strict=True):
                 if not out:
@@ -106,7 +118,7 @@ def _count(docs: DataFrame, text: str) -> DataFrame:
                 "doc_id": pa.array([None] * w + ids, schema), "held_out": pa.array([None] * w + outs, pa.bool_()),
                 "n": pa.array([None] * w + totals, pa.int64()), "word": pa.array([*number, *[None] * d], pa.binary()),
                 "number": pa.array([*range(w), *[None] * d], pa.int32()), "trained": pa.array([*trained.tolist(), *[None] * d], pa.int64()),
-                "numbers": pa.array([None] * w + [x.astype("<u2" if small else "<u4").tobytes() for x in numbers], pa.binary()),
+                "numbers": pa.array([None] * w + [_pack(x, w) for x in numbers], pa.binary()),
                 "times": pa.array([None] * w + [x.astype("<u4").tobytes() if len(x) and x.max() > 255 else x.astype("u1").tobytes() for x in times], pa.binary())}
             yield pa.RecordBatch.from_arrays(list(both.values()), names=list(both))
             number.clear()
@@ -173,10 +185,9 @@ def score(docs: DataFrame, vocabulary: tuple[dict[str, float], list[float], floa
         full = np.logaddexp(np.log(np.maximum(c, 1e-300) / max(total, 1)) + math.log1p(-unseen) if unseen < 1 else np.full(size, -np.inf), lattice + math.log(unseen)) / math.log(10)
         end_base = math.log10((ends + 0.5) / scale)
         end_full = np.logaddexp(math.log(ends / total) + math.log1p(-unseen) if ends and unseen < 1 else -np.inf, shared.value[2] + math.log(unseen)) / math.log(10)
-        wide = "<u2" if size <= 1 << 16 else "<u4"
         known, bases, fulls = [], [], []
         for packed, counts in zip(own.column("numbers").to_pylist(), own.column("times").to_pylist(), strict=True):
-            at = np.frombuffer(packed, wide)
+            at = _unpack(packed, size)
             n = np.frombuffer(counts, "u1" if len(counts) == len(at) else "<u4").astype(np.float64)
             known.append(int(n[c[at] > 0].sum()) + (1 if ends else 0))
             bases.append(float(n @ base[at]) + end_base)
