@@ -25,8 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from collabstats.llm.common import small_batches
+
 #: Pieces kept per task; beyond it the table starts anew, so a task's memory stays bounded.
-PIECES = 300_000
+PIECES = 120_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -99,15 +101,18 @@ def replay(pieces: list[bytes], merges: Merges) -> list[bytes]:
         return []
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     n = int(sizes.sum())
+    if n >= 1 << 28:  # positions fit 32 bits with room to spare; a longer block goes in two
+        half = max(1, len(pieces) // 2)
+        return replay(pieces[:half], merges) + replay(pieces[half:], merges) if len(pieces) > 1 else [np.array(replay_one(pieces[0], merges), "<u4").tobytes()]
     sym = np.append(merges.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)], 0)
-    piece = np.repeat(np.arange(len(pieces)), sizes)
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
     starts = np.cumsum(sizes) - sizes
-    following, before = np.arange(1, n + 2), np.arange(-1, n)
+    following, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
     following[starts + sizes - 1] = n  # the last slot stands for "none"
     before[starts] = n
     alive = np.ones(n, bool)
     alone = np.zeros(len(pieces), bool)
-    current = np.full(n + 1, -1)
+    current = np.full(n + 1, -1, np.int32)
     inside = np.flatnonzero(following[:n] < n)
     current[inside] = merges.of(sym[inside], sym[inside + 1])
     index: dict[int, list[np.ndarray]] = {}
@@ -190,7 +195,7 @@ class PieceTable:
 
 
 #: Characters whose pieces are looked up together.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 3_000_000
 
 
 def _blocks(texts: list[str | None]) -> Iterator[list[str]]:
@@ -230,17 +235,20 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return find
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``ids`` (packed) and ``n_tokens`` of every row.
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), decoded: bool = False) -> DataFrame:
+    """``keep`` columns, ``ids`` (packed) and ``n_tokens`` of every row; with ``decoded`` also the bytes that the ids
+    stand for, as ``decode`` gives them, from the same pass.
 
     ``ranks`` is the vocabulary file's content: its size is fixed by that file, not by the data.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = splitter(pattern)
         table = PieceTable(shared.value)
+        tokens = _tokens(shared.value) if decoded else []
         for batch in batches:
             ids: list[bytes] = []
             for block in _blocks(batch.column(batch.num_columns - 1).to_pylist()):
@@ -248,25 +256,41 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
                 table.learn(set().union(*cut))
                 known = table.known
                 ids += [b"".join([known[p] for p in pieces]) for pieces in cut]
-            columns = batch.columns[:-1]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], names=[*batch.schema.names[:-1], "ids"])
+            columns = [*batch.columns[:-1], pa.array(ids, pa.binary())]
+            names = [*batch.schema.names[:-1], "ids"]
+            if decoded:
+                columns.append(pa.array([_decoded(p, tokens) for p in ids], pa.binary()))
+                names.append("decoded")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     chosen = docs.select(*keep, F.col(text).alias("__text"))
     schema = T.StructType([*(f for f in chosen.schema.fields[:-1]), T.StructField("ids", T.BinaryType())])
+    if decoded:
+        schema = schema.add("decoded", T.BinaryType())
     return chosen.mapInArrow(run, schema).withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
 
 
+def _tokens(ranks: dict[bytes, int]) -> list[bytes]:
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, i in ranks.items():
+        tokens[i] = token
+    return tokens
+
+
+def _decoded(ids: bytes, tokens: list[bytes]) -> bytes:
+    return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``encoded`` with ``decoded``: the bytes that its ``ids`` stand for."""
+    small_batches(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = [b""] * (max(shared.value.values(), default=-1) + 1)
-        for token, i in shared.value.items():
-            tokens[i] = token
+        tokens = _tokens(shared.value)
         for batch in batches:
             packed = batch.column(batch.schema.get_field_index("ids")).to_pylist()
-            decoded = [None if p is None else b"".join([tokens[i] for i in np.frombuffer(p, "<u4").tolist()]) for p in packed]
+            decoded = [None if p is None else _decoded(p, tokens) for p in packed]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))

@@ -37,6 +37,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows of texts per Arrow batch: Spark's default of 10,000 rows holds tens of megabytes of text, on both sides of
+    every worker.  A value that the session sets itself stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+
+
 def crc_is_one(doc_id: Column, mod: int) -> Column:
     """The held-out split: crc32 of the id as text leaves remainder 1 (a null id never does)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % mod == 1, F.lit(False))

@@ -27,12 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from collabstats.llm.common import small_batches
+
 PER_LANGUAGE, BUCKETS = 2000, 1 << 15
 #: Natural logarithm that a change of language costs; share of a language's words that a script needs to count.
 SWITCH, SHARE = 6.0, 0.001
 UNKNOWN = "und"
 #: Words remembered per task; characters labelled together.
-WORDS, BLOCK_CHARS = 300_000, 8_000_000
+WORDS, BLOCK_CHARS = 150_000, 6_000_000
 
 #: First code point of each range and its script (fixed values of the Unicode charts; 0: any other).
 SCRIPTS = ((0x0, 1), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6), (0x700, 0), (0x900, 7), (0x980, 8), (0xA00, 0), (0xB80, 9),
@@ -68,6 +70,12 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return bucket[order], np.searchsorted(place[order], np.arange(len(ends)))
 
 
+def _ngrams_of(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``ngrams`` of a few thousand words at a time: its arrays take about a kilobyte per word."""
+    for i in range(0, len(words), 8192):
+        yield ngrams(words[i:i + 8192])
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -86,8 +94,7 @@ class Model:
         fresh = [w for w in fresh if any(map(str.isalpha, w))]
         if not fresh:
             return
-        buckets, begins = ngrams(fresh)
-        found = np.add.reduceat(self.grams[buckets], begins)
+        found = np.concatenate([np.add.reduceat(self.grams[buckets], begins) for buckets, begins in _ngrams_of(fresh)])
         may = self.allowed[[script(w) for w in fresh]]
         found = np.where(may | ~may.any(axis=1, keepdims=True), found, -1e4)
         at = len(self.letters)
@@ -155,6 +162,7 @@ def label(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, n-gram log probabilities and script table, from rows of ``docs`` whose language is not null."""
+    small_batches(docs.sparkSession)
     labelled = docs.select("doc_id", F.col(lang).alias("__lang"), F.col(text).alias("__text")).where("__lang is not null and __text is not null")
     totals = {r["__lang"]: r["n"] for r in labelled.groupBy("__lang").agg(F.count("*").alias("n")).collect()}  # one row per language
     if not totals:
@@ -172,7 +180,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
                 if words:
                     scripts.update((name, script(w)) for w in words)
                     own = counts.setdefault(name, np.zeros(BUCKETS, np.int64))
-                    own += np.bincount(ngrams(words)[0], minlength=BUCKETS)
+                    for buckets, _ in _ngrams_of(words):
+                        own += np.bincount(buckets, minlength=BUCKETS)
         for name, own in counts.items():
             some = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(some)), pa.array(some), pa.array(own[some])], names=["lang", "bucket", "n"])
@@ -194,6 +203,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``lang_pred``, ``score`` and ``spans`` (label, first word, words) of every row."""
     languages = model[0]
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

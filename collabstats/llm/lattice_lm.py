@@ -30,10 +30,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from collabstats.llm.common import crc_is_one, materialize
+from collabstats.llm.common import crc_is_one, materialize, small_batches
 
 #: Distinct words at which a block of documents is closed.
-BLOCK_WORDS = 250_000
+BLOCK_WORDS = 200_000
 START = "▁"  # stands before each word in the vocabulary
 
 
@@ -134,8 +134,8 @@ def _count(docs: DataFrame, text: str) -> DataFrame:
                 ids.append(doc_id)
                 outs.append(out)
                 totals.append(len(words) + 1)
-                numbers.append(np.fromiter((number.setdefault(w, len(number)) for w in count), np.int64, len(count)))
-                times.append(np.fromiter(count.values(), np.int64, len(count)))
+                numbers.append(np.fromiter((number.setdefault(w, len(number)) for w in count), np.int32, len(count)))
+                times.append(np.fromiter(count.values(), np.int32, len(count)))
                 if len(number) >= BLOCK_WORDS:
                     yield from close(schema)
         if ids:
@@ -150,6 +150,7 @@ def score(docs: DataFrame, vocabulary: tuple[dict[str, float], list[float], floa
     ``vocabulary`` is what ``load_pieces`` returns: its size is fixed by the vocabulary file.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     counted = materialize(_count(docs, text), "lm-blocks")
     shared = spark.sparkContext.broadcast(vocabulary)
 

@@ -24,13 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from collabstats.llm.common import WORD, materialize
+from collabstats.llm.common import WORD, materialize, partitions
 
 WEIGHTS, LIMIT, SEED = (1, 2, 3), 3, 20
 #: Words in a block; a source below BLOCK * BLOCK words gets shorter blocks, at least about BLOCK of them.
 BLOCK = 64
 #: Rounds of the swap-or-not shuffle; slots made at once; slots of an output shard, on average.
-ROUNDS, CHUNK, SHARD = 16, 8192, 4096
+ROUNDS, CHUNK, SHARD = 16, 1024, 4096
 
 
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -78,7 +78,7 @@ def slots(sources: DataFrame, seed: int = SEED) -> DataFrame:
     shards = F.greatest(F.ceil(F.sum("slots").over(W.partitionBy(F.lit(0))) / SHARD), F.lit(1))
     chunks = (sources.withColumn("shards", shards).where("slots > 0")
               .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("slots") - 1) / CHUNK))))
-              .repartition("skey", "chunk"))
+              .repartition(partitions(sources.sparkSession), "skey", "chunk"))
     k = F.col("slot")
     made = chunks.withColumn("slot", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least("slots", (F.col("chunk") + 1) * CHUNK) - 1)))
     epoch = F.floor(k / F.col("blocks"))
@@ -115,7 +115,8 @@ def mix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
               .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("length")), F.floor((end - 1) / F.col("length")))))
               .withColumn("words", F.least((F.col("block") + 1) * F.col("length"), end) - F.greatest(F.col("block") * F.col("length"), F.col("start"))))
     row = ["skey", "start", "doc_id", "source", "size", "source_size", "target"]
-    taken = (pieces.join(picks, ["skey", "block"], "left")
+    # sizes after explode are not estimated: without the hint a small-looking side would be broadcast
+    taken = (pieces.join(picks.hint("merge"), ["skey", "block"], "left")
              .groupBy(*row).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken")))
     out = ["doc_id", "source", "size", "source_size", "target", "taken"]
     return taken.select(*out).unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("bigint")).select(*out))
@@ -135,7 +136,7 @@ def remix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     sized = docs.select(F.struct(*docs.columns).alias("__row")).select(
         "__row", F.col("__row.doc_id").alias("own_id"), F.coalesce(F.concat(F.lit("="), F.col("__row.source").cast("string")), F.lit("")).alias("own_skey"),
         F.coalesce(F.regexp_count("__row.text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("own_size"))
-    joined = sized.join(shares, F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_skey") == F.col("__skey")) & (F.col("own_size") == F.col("__size")))
+    joined = sized.join(shares.hint("merge"), F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_skey") == F.col("__skey")) & (F.col("own_size") == F.col("__size")))
     chance = F.pmod(F.xxhash64(F.lit(seed), "own_id", "own_skey", "own_size"), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor(F.col("__share") + chance)
     return joined.withColumn("__copies", copies).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__copies"))).select("__row.*")

@@ -55,7 +55,7 @@ def vocabulary() -> tuple[dict[bytes, int], str]:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = vocabulary()
-    coded = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), ranks, pattern), ranks)
+    coded = bpe.encode(read(spark, sf_dir, "documents"), ranks, pattern, decoded=True)
     return coded.select("doc_id", "n_tokens", bpe.sha256("ids").alias("ids_sha256"), bpe.sha256("decoded").alias("decoded_sha256"))
 
 

@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from collabstats.llm.common import materialize
-from collabstats.llm.components import connected_components
+from collabstats.llm.common import materialize, partitions, small_batches
+from collabstats.llm.components import connected_components, smallest_of
 
 WORDS, DISTANCE, SEED = 3, 3, 42
 #: Members of a variant bucket that are compared in one group.
@@ -66,6 +66,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, text: str = "text", seed:
             found = [fingerprint(t, words, seed) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], names=[*batch.schema.names[:-1], "simhash"])
 
+    small_batches(docs.sparkSession)
     chosen = docs.select(*keep, F.col(text).alias("__text"))
     return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields[:-1], T.StructField("simhash", T.LongType())]))
 
@@ -171,12 +172,13 @@ def links(prints: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) ->
             yield done(pa.Table.from_batches(held))
 
     distinct = prints.select("simhash").distinct()
-    keyed = distinct.mapInArrow(expand, "variant short, rest long, simhash long")
+    spread = distinct.repartition(partitions(prints.sparkSession), "simhash")  # each row becomes 64
+    keyed = spread.mapInArrow(expand, "variant short, rest long, simhash long")
     sizes = keyed.groupBy("variant", "rest").agg(F.count("*").alias("n")).where("n > 1")
     pieces = F.ceil(F.col("n") / bucket).cast("int")
     member = F.pmod(F.xxhash64("simhash"), F.col("pieces")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-    blocks = (keyed.join(sizes, ["variant", "rest"]).withColumn("pieces", pieces).withColumn("own", member).withColumn("other", other)
+    blocks = (keyed.join(sizes.hint("merge"), ["variant", "rest"]).withColumn("pieces", pieces).withColumn("own", member).withColumn("other", other)
               .select("variant", "rest", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "simhash"))
     names = ["variant", "rest", "i", "j"]
     return (blocks.repartition(*names).sortWithinPartitions(*names, "simhash")
@@ -194,9 +196,8 @@ def components(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) ->
     """``doc_id``, ``simhash`` and ``component_id`` (smallest id reachable) of every row."""
     prints = materialize(fingerprints(docs, words), "simhash")
     joined = _classes(prints, distance)
-    best = joined.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    labels = joined.select("simhash", "root").join(best, "root").select("simhash", "component_id")
-    return prints.join(labels, "simhash").select("doc_id", "simhash", "component_id")
+    labels = smallest_of(joined.select("simhash", "root", "smallest"), "smallest", "component_id").select("simhash", "component_id")
+    return prints.join(labels.hint("merge"), "simhash").select("doc_id", "simhash", "component_id")
 
 
 def deduplicate(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
@@ -208,7 +209,7 @@ def deduplicate(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -
     kept = joined.groupBy("root").agg(F.min(F.struct(F.col("smallest").isNull().alias("none"), F.col("smallest").alias("id"), F.col("simhash").alias("print"))).alias("k")).select("k.id", "k.print")
     own = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
     marked = fingerprints(own, words, keep=("row", "doc_id"))
-    first = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("simhash") == F.col("print"))).groupBy("id", "print").agg(F.min("row").alias("row"))
+    first = marked.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("simhash") == F.col("print"))).groupBy("id", "print").agg(F.min("row").alias("row"))
     return first.select("row.*")
 
 

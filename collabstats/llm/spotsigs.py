@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from collabstats.llm.common import materialize, partitions
-from collabstats.llm.components import connected_components
+from collabstats.llm.components import connected_components, smallest_of
 
 CHAIN = 2
 #: Words remembered per task; characters fingerprinted together.
@@ -132,16 +132,13 @@ def with_next(docs: DataFrame, run, schema: T.StructType | str, text: str = "tex
     chosen = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
     count = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     cuts = chosen.agg(F.percentile_approx("doc_id", [i / count for i in range(1, count + 1)], 10 * count)).first()[0]
-    tops = sorted(set(cuts or []))  # one id per bucket, never more than ``count``
-    if not tops:  # all ids are null
-        tops = [0]
+    tops = sorted(set(cuts or [0]))  # one id per bucket, never more than ``count``; 0 where all ids are null
     heads = F.array(*(F.lit(t).cast("bigint") for t in tops))
     # bucket 0 has the largest ids; null ids belong to the last bucket
     last = len(tops) - 1
     bucket = F.when(F.col("doc_id").isNull(), F.lit(last)).otherwise(F.lit(last) - _below(heads, F.col("doc_id"), len(tops)))
     placed = chosen.withColumn("bucket", bucket.cast("int"))
-    has_null_head = docs.where("doc_id is not null").limit(1).count() == 0
-    head = F.col("doc_id").isNull() if has_null_head else F.array_contains(heads, F.col("doc_id"))
+    head = F.array_contains(heads, F.col("doc_id")) if cuts else F.col("doc_id").isNull()
     before = F.when(F.col("bucket") == 0, F.lit(last)).otherwise(F.col("bucket") - 1)
     row = lambda b, tail: F.struct(b.cast("int").alias("bucket"), F.lit(tail).alias("tail"))
     dealt = placed.withColumn("to", F.explode(F.when(head, F.array(row(F.col("bucket"), False), row(before, True))).otherwise(F.array(row(F.col("bucket"), False)))))
@@ -253,9 +250,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, text: str = "text")
     edges = whole.mapInArrow(_forests(threshold), "a long, b long").distinct()
     roots = connected_components(edges, "spotsigs-links").withColumnRenamed("node", "fid")
     classes = distinct.join(roots.hint("merge"), "fid", "left").select("fingerprint", F.coalesce("root", "fid").alias("root"))
-    joined = prints.join(classes.hint("merge"), "fingerprint")
-    smallest = joined.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return joined.join(smallest.hint("merge"), "root").select("doc_id", "class_id")
+    joined = prints.join(classes.hint("merge"), "fingerprint").select("doc_id", "root")
+    return smallest_of(joined, "doc_id", "class_id").select("doc_id", "class_id")
 
 
 def _forests(threshold: float):

@@ -43,7 +43,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text (packed little-endian unsigned 32-bit integers) and the digest of their decoded bytes."""
     ranks, pattern = vocabulary()
-    coded = bpe.decode(bpe.encode(docs, ranks, pattern, keep=("doc_id", "lang", "source")), ranks)
+    coded = bpe.encode(docs, ranks, pattern, keep=("doc_id", "lang", "source"), decoded=True)
     return coded.select("doc_id", "lang", "source", "n_tokens", "ids", bpe.sha256("decoded").alias("decoded_sha256"))
 
 
