@@ -31,12 +31,14 @@ WEIGHTS, LIMIT, SEED = (1, 2, 3), 3, 20
 BLOCK = 64
 #: Rounds of the swap-or-not shuffle; slots made at once; slots of an output shard, on average.
 ROUNDS, CHUNK, SHARD = 16, 1024, 4096
+#: ``remix`` rounds a row by itself where it has more than 1 / LONG of its source's words.
+LONG = 1024
 
 
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id``, ``source``, ``skey`` (never null) and ``size`` in words of every row."""
+    """``doc_id``, ``source``, ``skey`` (never null), ``size`` in words and ``print`` (a hash of the text) of every row."""
     return docs.select("doc_id", "source", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("skey"),
-                       F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"))
+                       F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), F.xxhash64(text).alias("print"))
 
 
 def targets(totals: DataFrame) -> DataFrame:
@@ -101,42 +103,82 @@ def plan(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> tuple[DataFra
     earlier = F.sum("words").over(W.partitionBy("skey").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1))
     offsets = (parts.withColumn("offset", F.coalesce(earlier, F.lit(0))).drop("words", "source")
                .join(sources.select("skey", "source_size", "target", "length"), "skey"))
-    within = F.sum("size").over(W.partitionBy("skey", "bucket").orderBy("doc_id", "size").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
+    within = F.sum("size").over(W.partitionBy("skey", "bucket").orderBy("doc_id", "size", "print").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
     placed = rows.withColumn("within", within).join(offsets, ["skey", "bucket"]).withColumn("start", F.col("offset") + F.col("within"))
-    return placed.select("doc_id", "source", "skey", "size", "source_size", "target", "length", "start"), sources, slots(sources, seed)
+    return placed.select("doc_id", "source", "skey", "size", "print", "source_size", "target", "length", "start"), sources, slots(sources, seed)
 
 
-def mix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
-    """``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` (words that the mix takes) of every row."""
+def mix(docs: DataFrame, seed: int = SEED, block: int = BLOCK, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` (words that the mix takes) of every row.
+
+    ``keep`` names further columns of ``plan``'s documents.
+    """
     placed, _, dealt = plan(docs, seed, block)
     picks = dealt.groupBy("skey", "block").agg(F.count("*").alias("times"))
     end = F.col("start") + F.col("size")
     pieces = (placed.where("size > 0")
               .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("length")), F.floor((end - 1) / F.col("length")))))
               .withColumn("words", F.least((F.col("block") + 1) * F.col("length"), end) - F.greatest(F.col("block") * F.col("length"), F.col("start"))))
-    row = ["skey", "start", "doc_id", "source", "size", "source_size", "target"]
+    row = ["skey", "start", "doc_id", "source", "size", "print", "source_size", "target"]
     # sizes after explode are not estimated: without the hint a small-looking side would be broadcast
     taken = (pieces.join(picks.hint("merge"), ["skey", "block"], "left")
              .groupBy(*row).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken")))
-    out = ["doc_id", "source", "size", "source_size", "target", "taken"]
+    out = ["doc_id", "source", "size", "source_size", "target", "taken", *keep]
     return taken.select(*out).unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("bigint")).select(*out))
 
 
 def remix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as its taken words fill it.
+    """``docs`` as the mix takes them: whole rows, each as often as its taken words fill it, so that a source's words
+    meet what the mix takes of it.
 
-    A document's taken words over its size, between 0 and ``LIMIT``, is rounded up or down by a hash of the row, so
-    a source's words stay at its target on average.  Rows that are equal in id, source and size share what they
-    take; rows without words go.
+    A row's taken words over its size, between 0 and ``LIMIT``, is rounded up or down.  A source's long rows (fewer
+    than ``LONG``) are rounded from the longest on, each so that the error so far stays smallest; its other rows are
+    ordered by a hash less their fraction, and as many of them are rounded up as fill what is left, to within half a
+    row.  Rows that are equal in id, source and text share what they take; rows without words go.
     """
-    keys = ["__id", "__skey", "__size"]
-    shares = (mix(docs, seed, block).where("size > 0").select(
-        F.col("doc_id").alias("__id"), F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("__skey"), F.col("size").alias("__size"), "taken")
-        .groupBy(*keys).agg((F.avg("taken") / F.col("__size")).alias("__share")))
+    own = ["id", "skey", "size", "print"]
+    rows = (mix(docs, seed, block, keep=("skey", "print")).where("size > 0").withColumnRenamed("doc_id", "id")
+            .groupBy(*own, "source_size").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")))
+    low = F.floor(F.col("taken") / F.col("size"))
+    rows = materialize(rows.withColumn("low", low).withColumn("part", F.col("taken") - F.col("low") * F.col("size")), "mix-shares")
+    open_ = rows.where("part > 0")
+    long = F.col("size") * LONG > F.col("source_size")
+
+    def step(done: Column, row: Column) -> Column:
+        up = F.abs(done["error"] + row["size"] - row["part"]) <= F.abs(done["error"] - row["part"])
+        return F.struct((done["error"] - row["part"] + F.when(up, row["size"]).otherwise(0)).alias("error"),
+                        F.when(up, F.concat(done["rows"], F.array(F.struct(row["id"].alias("id"), row["size"].alias("size"), row["print"].alias("print")))))
+                        .otherwise(done["rows"]).alias("rows"))
+
+    longest = F.sort_array(F.collect_list(F.struct("size", "print", "id", "part")), asc=False)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    none = F.struct(F.lit(0).cast("bigint").alias("error"), F.array().cast(f"array<struct<id:{id_type},size:bigint,print:bigint>>").alias("rows"))
+    firsts = materialize(open_.where(long).groupBy("skey").agg(longest.alias("all")).select("skey", F.aggregate("all", none, step).alias("done")), "mix-long")
+    # the other rows: running sums inside buckets of the order and over buckets
+    buckets = max(1, isqrt(rows.count()))
+    chance = F.pmod(F.xxhash64(F.lit(seed), *own), F.lit(1 << 30)) / float(1 << 30)
+    rest = (open_.where(~long).withColumn("key", chance - F.col("part") / F.col("size"))
+            .withColumn("bucket", F.floor((F.col("key") + 1) / 2 * buckets)))
+    sums = materialize(rest.groupBy("skey", "bucket").agg(F.sum("size").alias("words"), F.sum("part").alias("part")), "mix-rest")
+    before = F.coalesce(F.sum("words").over(W.partitionBy("skey").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    wanted = sums.groupBy("skey").agg(F.sum("part").alias("wanted")).join(firsts, "skey", "left")
+    wanted = wanted.select("skey", (F.col("wanted") - F.coalesce("done.error", F.lit(0))).alias("wanted"))
+    offsets = sums.withColumn("before", before).select("skey", "bucket", "before").join(wanted, "skey")
+    inside = F.sum("size").over(W.partitionBy("skey", "bucket").orderBy("key", "print", "id").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
+    shorts = (rest.withColumn("inside", inside).join(offsets, ["skey", "bucket"])
+              .where(F.col("before") + F.col("inside") + F.col("size") / 2 <= F.col("wanted")).select(*own))
+    ups = firsts.select("skey", F.explode("done.rows").alias("row")).select("row.id", "skey", "row.size", "row.print").unionByName(shorts)
+    copies = (rows.select(*own, "n", F.col("low").alias("copies")).unionByName(ups.withColumns({"n": F.lit(0).cast("bigint"), "copies": F.lit(1).cast("bigint")}))
+              .groupBy(*own).agg(F.max("n").alias("n"), F.sum("copies").alias("copies")).where("copies > 0")
+              .select(*(F.col(c).alias(f"__{c}") for c in (*own, "n", "copies"))))
+    source = F.coalesce(F.concat(F.lit("="), F.col("__row.source").cast("string")), F.lit(""))
     sized = docs.select(F.struct(*docs.columns).alias("__row")).select(
-        "__row", F.col("__row.doc_id").alias("own_id"), F.coalesce(F.concat(F.lit("="), F.col("__row.source").cast("string")), F.lit("")).alias("own_skey"),
-        F.coalesce(F.regexp_count("__row.text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("own_size"))
-    joined = sized.join(shares.hint("merge"), F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_skey") == F.col("__skey")) & (F.col("own_size") == F.col("__size")))
-    chance = F.pmod(F.xxhash64(F.lit(seed), "own_id", "own_skey", "own_size"), F.lit(1 << 30)) / float(1 << 30)
-    copies = F.floor(F.col("__share") + chance)
-    return joined.withColumn("__copies", copies).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__copies"))).select("__row.*")
+        "__row", F.col("__row.doc_id").alias("own_id"), source.alias("own_skey"),
+        F.coalesce(F.regexp_count("__row.text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("own_size"), F.xxhash64("__row.text").alias("own_print"))
+    joined = sized.join(copies.hint("merge"), F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_skey") == F.col("__skey"))
+                        & (F.col("own_size") == F.col("__size")) & (F.col("own_print") == F.col("__print")))
+    # equal rows are told apart by number only where there are several
+    equal = joined.where("__n > 1").withColumn("__number", F.row_number().over(W.partitionBy("own_id", "own_skey", "own_size", "own_print").orderBy(F.lit(0))))
+    every = joined.where("__n = 1").withColumn("__number", F.lit(1)).unionByName(equal)
+    share = F.floor(F.col("__copies") / F.col("__n")) + (F.col("__number") <= F.col("__copies") % F.col("__n")).cast("bigint")
+    return every.withColumn("__own", share).where("__own > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__own"))).select("__row.*")

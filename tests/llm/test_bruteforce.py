@@ -386,6 +386,25 @@ def test_capped_sources_meet_their_limit(spark):
     assert {r.target for r in small} == {600.0} and [r.taken for r in small] == [150] * 4
 
 
+def test_remixed_sources_meet_their_targets(spark):
+    rng = random.Random(5)
+    rows = []
+    for source, n in (("a", 150), ("b", 400), ("c", 60), ("d", 250)):
+        rows += [(len(rows), " ".join(f"{source}{i}x{j}" for j in range(rng.randint(1, 400))), source) for i in range(n)]
+        rows.append((len(rows), f"{source} " * 4000, source))
+    rows += [(9000, "equal words here", "a")] * 5 + [(None, "no id", None)] * 4 + [(9001, "", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    told = mixing.mix(docs).collect()
+    got = collections.Counter()
+    for r in mixing.remix(docs).collect():
+        got[r.source] += len(r.text.split())
+    for source in "abcd":
+        want = next(r.target for r in told if r.source == source)
+        assert got[source] == pytest.approx(want, rel=0.01)
+        assert abs(got[source] - sum(r.taken for r in told if r.source == source)) <= 200   # half of the longest other text
+    assert got[None] in (sum(r.taken for r in told if r.source is None) + d for d in (-1, 0, 1))
+
+
 # --- BPE ---------------------------------------------------------------------------------------
 
 def test_bpe_equals_tiktoken(spark, docs):
