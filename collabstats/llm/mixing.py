@@ -6,7 +6,8 @@ source's target becomes a number of block slots; dealing the slots independently
 multinomial draw of the source's counts per shard, conditional on its total, so the totals meet the targets.  Slot
 ``k`` of a source reads block ``perm(k mod blocks)`` of epoch ``k div blocks``, where every epoch of every source has
 a pseudorandom permutation of its own (a swap-or-not shuffle, a bijection for any number of blocks).  Picked blocks
-then join the documents' blocks by index.
+then join the texts' packed blocks by index; the joined rows are the mix, written to the shared folder, and what it
+takes of a document is counted in them.
 
 Scale: offsets inside a source come from about sqrt(rows) buckets of its documents (running sums inside buckets and
 over buckets), so no task holds a source; slots are made in chunks; the only rows in one task are one row per source.
@@ -18,6 +19,7 @@ table.  Input columns other than id, source and text are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame
@@ -36,9 +38,9 @@ LONG = 1024
 
 
 def sizes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id``, ``source``, ``skey`` (never null), ``size`` in words and ``print`` (a hash of the text) of every row."""
+    """``doc_id``, ``source``, ``skey`` (never null), ``size`` in words, ``print`` (a hash of the text) and ``text`` of every row."""
     return docs.select("doc_id", "source", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("skey"),
-                       F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), F.xxhash64(text).alias("print"))
+                       F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), F.xxhash64(text).alias("print"), F.col(text).alias("text"))
 
 
 def targets(totals: DataFrame) -> DataFrame:
@@ -90,10 +92,11 @@ def slots(sources: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def plan(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents with their place in their source, the sources with targets, and the slots."""
-    rows = materialize(sizes(docs), "mix-sizes")
+    """Documents with their place in their source, the same with their texts, and the slots."""
+    rows = materialize(sizes(docs).drop("text"), "mix-sizes")
     buckets = max(1, isqrt(rows.count()))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets))
+    rows = rows.withColumn("bucket", bucket)
     parts = materialize(rows.groupBy("skey", "bucket").agg(F.sum("size").alias("words"), F.first("source").alias("source")), "mix-buckets")
     totals = parts.groupBy("skey").agg(F.sum("words").alias("source_size"), F.first("source").alias("source"))
     length = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.col("source_size") / block))).cast("bigint")
@@ -104,27 +107,72 @@ def plan(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> tuple[DataFra
     offsets = (parts.withColumn("offset", F.coalesce(earlier, F.lit(0))).drop("words", "source")
                .join(sources.select("skey", "source_size", "target", "length"), "skey"))
     within = F.sum("size").over(W.partitionBy("skey", "bucket").orderBy("doc_id", "size", "print").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
-    placed = rows.withColumn("within", within).join(offsets, ["skey", "bucket"]).withColumn("start", F.col("offset") + F.col("within"))
-    return placed.select("doc_id", "source", "skey", "size", "print", "source_size", "target", "length", "start"), sources, slots(sources, seed)
 
+    def place(rows: DataFrame, *columns: str) -> DataFrame:
+        placed = rows.withColumn("within", within).join(offsets, ["skey", "bucket"]).withColumn("start", F.col("offset") + F.col("within"))
+        return placed.select("doc_id", "source", "skey", "size", "print", "source_size", "target", "length", "start", *columns)
 
-def mix(docs: DataFrame, seed: int = SEED, block: int = BLOCK, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` (words that the mix takes) of every row.
+    return place(rows), place(sizes(docs).withColumn("bucket", bucket), "text"), slots(sources, seed)
 
-    ``keep`` names further columns of ``plan``'s documents.
-    """
+
+def pieces(placed: DataFrame) -> tuple[DataFrame, Column, Callable[[Column], Column], Callable[[Column], Column]]:
+    """Rows with words, the numbers of a row's blocks, and where a block's words of the row begin and end in the source."""
+    end = F.col("start") + F.col("size")
+    first, last = F.floor(F.col("start") / F.col("length")), F.floor((end - 1) / F.col("length"))
+    return placed.where("size > 0"), F.sequence(first, last), lambda b: F.greatest(b * F.col("length"), "start"), lambda b: F.least((b + 1) * F.col("length"), end)
+
+
+def pack(texts: DataFrame) -> DataFrame:
+    """One row per block: ``skey``, ``block``, ``source``, ``words`` (as a text, by single spaces) and ``parts``, in order:
+    the documents' ``doc_id``, ``start`` (place of the document in its source), ``first`` (place of the part) and ``n`` words."""
+    rows, numbers, begin, end = pieces(texts)
+
+    def part(b: Column, words: Column) -> Column:
+        n = end(b) - begin(b)
+        cut = F.slice(words, (begin(b) - F.col("start") + 1).cast("int"), n.cast("int"))
+        return F.struct(b.alias("block"), begin(b).alias("first"), n.alias("n"), F.array_join(cut, " ").alias("words"))
+
+    # the text is cut into words once, as the only element of an array, not once per block
+    cut = F.flatten(F.transform(F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), lambda words: F.transform(numbers, lambda b: part(b, words))))
+    cuts = rows.select("skey", "source", "doc_id", "start", F.explode(cut).alias("cut"))
+    parts = F.sort_array(F.collect_list(F.struct("cut.first", "doc_id", "start", "cut.n", "cut.words")))
+    packed = cuts.groupBy("skey", "cut.block").agg(F.first("source").alias("source"), parts.alias("parts"))
+    told = F.transform("parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["start"].alias("start"), p["first"].alias("first"), p["n"].alias("n")))
+    return packed.select("skey", "block", "source", F.array_join("parts.words", " ").alias("words"), told.alias("parts"))
+
+
+def blocks(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
+    """The mix itself, one row per slot: ``shard``, ``slot`` (its number in its source), ``skey``, ``source``, ``block``,
+    ``words`` and ``parts`` (as of ``pack``)."""
+    return _blocks(*plan(docs, seed, block)[1:])
+
+
+def _blocks(texts: DataFrame, dealt: DataFrame) -> DataFrame:
+    # sizes after explode are not estimated: without the hint a small-looking side would be broadcast
+    joined = pack(texts).join(dealt.hint("merge"), ["skey", "block"])
+    return materialize(joined.select("shard", "slot", "skey", "source", "block", "words", "parts"), "mix-blocks")
+
+
+def mix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
+    """``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` (words that the mix takes) of every row,
+    counted in the rows of ``blocks``, which are written first."""
+    placed, texts, dealt = plan(docs, seed, block)
+    parts = _blocks(texts, dealt).select("skey", F.explode("parts").alias("part"))
+    taken = parts.groupBy("skey", F.col("part.start").alias("start")).agg(F.sum("part.n").alias("taken"))
+    out = ["doc_id", "source", "size", "source_size", "target"]
+    found = placed.where("size > 0").join(taken.hint("merge"), ["skey", "start"], "left").select(*out, F.coalesce("taken", F.lit(0)).alias("taken"))
+    return found.unionByName(placed.where("size = 0").select(*out, F.lit(0).cast("bigint").alias("taken")))
+
+
+def takings(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
+    """What ``mix`` counts, of every row with words, told by block numbers alone, without the texts; with ``skey`` and ``print``."""
     placed, _, dealt = plan(docs, seed, block)
     picks = dealt.groupBy("skey", "block").agg(F.count("*").alias("times"))
-    end = F.col("start") + F.col("size")
-    pieces = (placed.where("size > 0")
-              .withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("length")), F.floor((end - 1) / F.col("length")))))
-              .withColumn("words", F.least((F.col("block") + 1) * F.col("length"), end) - F.greatest(F.col("block") * F.col("length"), F.col("start"))))
+    rows, numbers, begin, end = pieces(placed)
+    cuts = rows.withColumn("block", F.explode(numbers)).withColumn("words", end(F.col("block")) - begin(F.col("block")))
     row = ["skey", "start", "doc_id", "source", "size", "print", "source_size", "target"]
-    # sizes after explode are not estimated: without the hint a small-looking side would be broadcast
-    taken = (pieces.join(picks.hint("merge"), ["skey", "block"], "left")
-             .groupBy(*row).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken")))
-    out = ["doc_id", "source", "size", "source_size", "target", "taken", *keep]
-    return taken.select(*out).unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("bigint")).select(*out))
+    return (cuts.join(picks.hint("merge"), ["skey", "block"], "left")
+            .groupBy(*row).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken")))
 
 
 def remix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
@@ -137,7 +185,7 @@ def remix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     row.  Rows that are equal in id, source and text share what they take; rows without words go.
     """
     own = ["id", "skey", "size", "print"]
-    rows = (mix(docs, seed, block, keep=("skey", "print")).where("size > 0").withColumnRenamed("doc_id", "id")
+    rows = (takings(docs, seed, block).withColumnRenamed("doc_id", "id")
             .groupBy(*own, "source_size").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")))
     low = F.floor(F.col("taken") / F.col("size"))
     rows = materialize(rows.withColumn("low", low).withColumn("part", F.col("taken") - F.col("low") * F.col("size")), "mix-shares")

@@ -405,6 +405,39 @@ def test_remixed_sources_meet_their_targets(spark):
     assert got[None] in (sum(r.taken for r in told if r.source is None) + d for d in (-1, 0, 1))
 
 
+def test_mixed_blocks_are_dealt_to_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD", 40)
+    rng = random.Random(6)
+    rows = [(i, " \t".join(f"d{i}w{j}" for j in range(rng.randint(0, 300))), rng.choice(["a", "a", "b", None])) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    made = mixing.blocks(docs).collect()
+    stream = {}
+    for i, text, source in rows:
+        stream.setdefault(source, {}).setdefault(i, text.split())
+    sizes = {s: sum(map(len, d.values())) for s, d in stream.items()}
+    taken, shards, seen = collections.Counter(), collections.Counter(), collections.defaultdict(set)
+    for r in made:
+        words, length = r.words.split(" "), max(1, min(mixing.BLOCK, sizes[r.source] // mixing.BLOCK))
+        assert len(words) == min(length, sizes[r.source] - r.block * length) == sum(p.n for p in r.parts)
+        assert [p.first for p in r.parts] == sorted(p.first for p in r.parts) and r.parts[0].first == r.block * length
+        want = [w for p in r.parts for w in stream[r.source][p.doc_id][p.first - p.start:p.first - p.start + p.n]]
+        assert words == want   # the block is cut from its documents, in order
+        for p in r.parts:
+            taken[p.doc_id] += p.n
+        shards[r.source, r.shard] += 1
+        assert r.slot not in seen[r.source]
+        seen[r.source].add(r.slot)
+    assert all(s == set(range(len(s))) for s in seen.values())
+    total = {s: len(n) for s, n in seen.items()}
+    count = math.ceil(sum(total.values()) / 40)
+    assert count > 3 and {k for _, k in shards} <= set(range(count))
+    for s, n in total.items():   # counts per shard are multinomial: within five deviations of their mean
+        assert all(abs(shards[s, k] - n / count) <= 5 * math.sqrt(n / count) for k in range(count))
+        assert abs(sum(taken[i] for i in stream[s]) - next(r.target for r in mixing.mix(docs).collect() if r.source == s)) <= mixing.BLOCK
+    assert {r.doc_id: r.taken for r in mixing.mix(docs).collect()} == {i: taken[i] for i, _, _ in rows}
+    assert {r.doc_id: r.taken for r in mixing.takings(docs).collect()} == {i: taken[i] for i, t, _ in rows if t}
+
+
 # --- BPE ---------------------------------------------------------------------------------------
 
 def test_bpe_equals_tiktoken(spark, docs):
