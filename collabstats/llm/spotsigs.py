@@ -1,7 +1,9 @@
 """SpotSigs document fingerprints.
 
-Every common word of a text (an anchor) and the ``CHAIN`` content words that follow it form a signature; the start of
-the text is an anchor as well, so every text has one.  The set of a text's signatures (32-bit hashes) is its
+Every anchor of a text and the ``CHAIN`` content words that follow it form a signature.  Anchors are the common words
+of four languages and, for texts that have none of these, every word that a hash picks (one of ``EVERY``); the start of
+the text is an anchor as well, so every text has one.  Where no anchor comes for ``GAP`` words (few words, often
+repeated), every ``GAP``-th content word starts a chain too, so no longer stretch of a text is without signatures.  The set of a text's signatures (32-bit hashes) is its
 fingerprint, and two texts are as alike as the Jaccard coefficient of their sets.  Sets whose sizes differ by more
 than the wanted likeness allows are never compared: sets are partitioned by length, and a set meets only its own and
 the next partition.
@@ -32,8 +34,21 @@ CHAIN = 2
 #: Words remembered per task; characters fingerprinted together.
 WORDS, BLOCK_CHARS = 400_000, 4_000_000
 WORD = re.compile(r"\w+")
-#: Common words of English, French, German and Spanish (fixed values).
-ANCHORS = frozenset("""
+#: One of EVERY words is an anchor by its hash; a stretch of GAP words without an anchor has one of its own.
+EVERY, GAP = 4, 512
+
+
+class _Anchors(frozenset):
+    """The words given, and one of ``EVERY`` other words by its hash."""
+
+    def __contains__(self, word: str) -> bool:
+        from xxhash import xxh64_intdigest
+
+        return super().__contains__(word) or xxh64_intdigest(word.encode(), 4) % EVERY == 0
+
+
+#: Common words of English, French, German and Spanish (fixed values), and words by hash.
+ANCHORS = _Anchors("""
 a an the and or but of to in on at by for from with as is are was were be been it its this that these those he she they we you i not no
 le la les un une des du de et ou mais dans sur par pour avec est sont que qui ce cette ces il elle ils nous vous ne pas plus au aux en
 der die das ein eine und oder aber von zu im in auf mit für ist sind war nicht es sie er wir ich den dem des als auch
@@ -67,9 +82,12 @@ def signatures(texts: list[str], words: _Words) -> list[np.ndarray]:
     own = np.repeat(np.arange(len(cut)), sizes)
     anchor = (hashes & np.uint64(1)).astype(bool)
     spots, content = np.flatnonzero(anchor), np.flatnonzero(~anchor)
+    # long stretches without an anchor; every text starts with one, so the last anchor is of the same text
+    since = content - spots[np.searchsorted(spots, content) - 1] if len(content) else content
+    spots = np.union1d(spots, content[since % GAP == 0])
     mixer = np.uint64(0x9E3779B97F4A7C15)
     found = hashes[spots] * mixer
-    follow = np.searchsorted(content, spots)
+    follow = np.searchsorted(content, spots, side="right")
     for step in range(CHAIN):
         at = follow + step
         place = content[np.minimum(at, len(content) - 1)] if len(content) else np.zeros_like(at)

@@ -158,6 +158,25 @@ def test_fingerprints_of_edited_texts(spark, docs):
         assert r.near_edited == pytest.approx(len(a & b) / len(a | b)) and r.near_next == pytest.approx(len(a & c) / len(a | c))
 
 
+def test_texts_without_common_words_are_fingerprinted_whole(spark):
+    rng = random.Random(9)
+    greek = ["".join(rng.choice("αβγδεζηθικλμνξοπρστυφχψω") for _ in range(rng.randint(3, 9))) for _ in range(300)]
+    tables = {1: lambda: rng.choice(greek), 2: lambda: str(rng.randint(0, 9999)), 3: lambda: f"{rng.choice('qxzkvw')}{rng.randint(10, 99)}"}
+    lead = "same first words of these texts "
+    rows = [(10 * kind + k, lead + " ".join(word() for _ in range(160))) for kind, word in tables.items() for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r for r in spotsigs.edited_neighbours(docs).collect()}
+    for r in found.values():
+        assert len(_unpacked(r.fingerprint)) >= 20 and 0.2 < r.near_edited < 0.7 and r.near_next < 0.3
+    assert len({r.class_id for r in spotsigs.near_duplicates(docs).collect()}) == len(rows)
+    # few words, none of them an anchor: a chain starts within every GAP words
+    plain = [w for w in greek if w not in spotsigs.ANCHORS][:8]
+    long = [plain[0], plain[1], *(rng.choice(plain) for _ in range(6000))]
+    other = [plain[0], plain[1], *(rng.choice(plain[2:]) for _ in range(6000))]
+    a, b = spotsigs.signatures([" ".join(long), " ".join(other)], spotsigs._Words())
+    assert len(a) >= 8 and len(b) >= 8 and spotsigs.likeness(a, b) < 0.8
+
+
 def test_near_duplicate_classes_match_all_pairs(spark, docs):
     rng = random.Random(8)
     rows = [(d[0], d[1]) for d in docs][:80]
