@@ -80,5 +80,28 @@ SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed
 FROM docs d LEFT JOIN cuts c ON d.doc_id = c.doc_id"""
 
 
+#: Words of a text as a list: A to Z lower-cased, longest runs of digits, letters and characters beyond ASCII.
+WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+#: Every stretch of as many words as a window has, looked up among the windows.
+CONTAMINATION = f"""
+WITH items AS (SELECT item_id, ws, least(len(ws), 10) AS k FROM (SELECT item_id, {WORDS} AS ws FROM benchmark) b WHERE len(ws) > 0),
+windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS w
+  FROM (SELECT item_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM items) p),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS ws FROM documents),
+stretches AS (
+  SELECT r, i, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS w
+  FROM (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM windows) l WHERE len(ws) >= k) p),
+hits AS (SELECT DISTINCT r, i, k, item_id FROM stretches JOIN windows USING (k, w)),
+words AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + k)) AS place FROM hits) w GROUP BY r),
+named AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM hits) h GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_pii": pii(), "op10_suffix_dedup": REPEATS}
+    return {"op1_pii": pii(), "op10_suffix_dedup": REPEATS, "op11_contamination": CONTAMINATION}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collabstats.llm import bpe, byte_cnn, langid, lattice_lm, mixing, oracle, permutation_index, pii, simhash, spotsigs, suffix_dedup
+from collabstats.llm import bpe, byte_cnn, contamination, langid, lattice_lm, mixing, oracle, permutation_index, pii, simhash, spotsigs, suffix_dedup
 from collabstats.llm.common import crc_is_one, read
 
 
@@ -70,6 +70,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("runs", F.lit(0).cast("bigint"), lambda n, r: n + r["last"] - r["first"] + 1)
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.size("runs") > 0).alias("contaminated"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_language": op9_language,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_contamination": op11_contamination,
         "pipeline": pipeline,
     }
 

@@ -10,7 +10,7 @@ SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns whose names the operators use themselves.
 CLASHES = ("pii", "spans", "score", "lang_pred", "held_out", "simhash", "component_id", "size", "skey", "block", "start", "taken", "target",
-           "ids", "n_tokens", "row", "rid", "name", "kind", "key", "rest", "variant", "fingerprint", "tail", "bucket", "word", "number", "c", "__text", "turn", "body")
+           "ids", "n_tokens", "row", "rid", "name", "kind", "key", "rest", "variant", "fingerprint", "tail", "bucket", "word", "number", "c", "__text", "turn", "body", "n_words", "runs", "items")
 
 
 def edge_rows():
@@ -46,6 +46,10 @@ def _write(spark, folder, rows):
     wide.repartition(3).write.parquet(f"{folder}/documents.parquet")
     labels = [(i, i % 2, 0) for i in range(1, 60)] + [(5, 1, 0), (None, 1, 1), (7, None, None)]
     spark.createDataFrame(labels if rows else [], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    items = [(1, rows[4][1]), (2, "Another TEXT"), (2, "under the same"), (3, None), (4, "..."), (None, "a row without id"), (5, rows[9][1][2000:9000]),
+             (6, "Call +1 (555) 010-2345 or mail bob@mail.example"), (6, "no such words"), (7, "漢字 Привет")] if rows else []
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    bench.withColumns({c: F.lit("own") for c in ("item", "window", "w", "term", "score", "rank", "doc_id")}).write.parquet(f"{folder}/benchmark.parquet")
     rng = random.Random(4)
     vectors = [(i, [rng.gauss(0, 1) for _ in range(8)], 0) for i in range(120)]
     vectors += [(200, None, 0), (250, [0.0] * 8, 0), (300, [1.0, None] + [1.0] * 6, 0), (350, [float("nan")] * 8, 0), (400, [float("inf")] + [0.0] * 7, 0),

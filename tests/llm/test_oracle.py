@@ -10,7 +10,8 @@ from tests.llm.conftest import SMALL
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_query_matches_duckdb(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     told = con.sql(Q.oracle_sql()[name])
     columns = sorted(told.columns)
     found = Q.queries()[name](spark, SMALL)
