@@ -102,6 +102,50 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
   sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)"""
 
+#: Every term of every document by itself.
+RANKING = f"""
+WITH docs AS (SELECT r, doc_id, ws, len(ws) AS n FROM (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS ws FROM documents) d WHERE len(ws) > 0),
+whole AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM docs),
+items AS (SELECT DISTINCT item_id, unnest({WORDS}) AS term FROM benchmark),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM docs) t WHERE term IN (SELECT term FROM items) GROUP BY r, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM held GROUP BY term) f, whole),
+scores AS (
+  SELECT item_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * big_n) // big_l)))) AS BIGINT) AS score
+  FROM items JOIN held USING (term) JOIN weights USING (term) JOIN docs USING (r), whole GROUP BY item_id, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+  FROM scores JOIN docs USING (r) WHERE score > 0) o
+WHERE rank <= 50"""
+
+#: CRC-32 of a text's UTF-8 bytes: the byte table is folded from the polynomial, then the bytes are folded over the table.
+CRC_TABLE = "list_transform(range(256), lambda b: list_reduce(range(8), lambda a, _: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, b::BIGINT))"
+CRC32 = """xor(list_reduce(list_transform(range(strlen(word)), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT),
+  lambda a, b: xor(a // 256, crc[xor(a % 256, b) + 1]), 4294967295::BIGINT), 4294967295)"""
+
+RESAMPLING = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS ws FROM documents),
+given AS (SELECT r, unnest(ws) AS word FROM docs),
+aimed AS (SELECT unnest({WORDS}) AS word FROM benchmark),
+buckets AS (
+  SELECT word, {CRC32} % 10000 AS bucket
+  FROM (SELECT word FROM given UNION SELECT word FROM aimed) w, (SELECT {CRC_TABLE} AS crc) c),
+sources AS (SELECT bucket, count(*) AS s FROM given JOIN buckets USING (word) GROUP BY bucket),
+targets AS (SELECT bucket, count(*) AS t FROM aimed JOIN buckets USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM given) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * ((SELECT count(*) FROM aimed) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM sources LEFT JOIN targets USING (bucket)),
+weighed AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM given JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, CAST(len(ws) AS BIGINT) AS n, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weighed USING (r)),
+ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS big_n FROM scored WHERE n >= 20)
+SELECT doc_id, n AS n_features, weight, score, CAST(CASE WHEN rank <= 10 * big_n // 100 THEN rank END AS BIGINT) AS rank
+FROM scored LEFT JOIN ranked USING (r)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_pii": pii(), "op10_suffix_dedup": REPEATS, "op11_contamination": CONTAMINATION}
+    return {"op1_pii": pii(), "op10_suffix_dedup": REPEATS, "op11_contamination": CONTAMINATION, "op12_ball_tree": RANKING, "op13_resampling": RESAMPLING}

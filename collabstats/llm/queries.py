@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collabstats.llm import bpe, byte_cnn, contamination, langid, lattice_lm, mixing, oracle, permutation_index, pii, simhash, spotsigs, suffix_dedup
+from collabstats.llm import ball_tree, bpe, byte_cnn, contamination, langid, lattice_lm, mixing, oracle, permutation_index, pii, resampling, simhash, spotsigs, suffix_dedup
 from collabstats.llm.common import crc_is_one, read
 
 
@@ -78,6 +78,14 @@ def op11_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.size("runs") > 0).alias("contaminated"))
 
 
+def op12_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,6 +105,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language": op9_language,
         "op10_suffix_dedup": op10_suffix_dedup,
         "op11_contamination": op11_contamination,
+        "op12_ball_tree": op12_ball_tree,
+        "op13_resampling": op13_resampling,
         "pipeline": pipeline,
     }
 
