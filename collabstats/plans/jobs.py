@@ -116,7 +116,7 @@ class Prepared:
                 writer = writer.partitionBy("commit_year")
             writer.bucketBy(self.buckets, key).saveAsTable(self.table(name))
             return self.path(name)
-        return write_by_year(df, self.path(name)) if by_year else write_parquet(df, self.path(name))
+        return write_by_year(df, self.path(name), whole=True) if by_year else write_parquet(df, self.path(name))
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         if self.bucketed(spark, name):

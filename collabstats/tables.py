@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from collabstats.operators.clean import attach_agency, classify_agency, clean_users
 from collabstats.operators.commits import (
@@ -23,7 +24,7 @@ from collabstats.operators.commits import (
     years_to_rows,
 )
 from collabstats.operators.merge import merge_commits, merge_users
-from collabstats.schemas import ORG_COLUMNS_SECONDARY
+from collabstats.schemas import ORG_COLUMNS_SECONDARY, USERS_CLEAN_SCHEMA
 from collabstats.sources import adapter
 from collabstats.sources.parquet import preview, scan, scan_glob, scan_year_folders
 from collabstats.sources.sinks import write_by_year, write_parquet, write_report
@@ -110,6 +111,40 @@ def year_folder_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_year_folders(spark, root, [2008, *range(2010, 2015)])
 
 
+def drifting_years_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 over year folders whose columns differ: narrow ids in even years, no branch in 2010, a further column from 2012
+    that is narrow in 2012 only."""
+    root, table = shared_folder(spark), commits_yearly(spark, sf_dir)
+    for year in range(2009, 2016):
+        rows = table.where(table["commit_year"] == year)
+        if year % 2 == 0:
+            rows = rows.withColumn("author_id", F.col("author_id").cast("int"))
+        if year == 2010:
+            rows = rows.drop("branch")
+        if year >= 2012:
+            rows = rows.withColumn("weight", (F.col("author_id") % 7).cast("smallint" if year == 2012 else "bigint"))
+        write_parquet(rows, f"{root}/{year}.0")
+    return scan_year_folders(spark, root)
+
+
+def drifting_glob_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 over folders of which only the second has some columns, and a folder without files."""
+    root, table = shared_folder(spark), users(spark, sf_dir)
+    odd = table["id"] % 2 == 1
+    write_parquet(table.where(odd).select("id", "login"), f"{root}/a")
+    write_parquet(table.where(~odd), f"{root}/b")
+    return scan_glob(spark, root, expected=USERS_CLEAN_SCHEMA)
+
+
+def rewritten_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 twice: all years, then 2011 with other rows and 2012 with none; the other years stay."""
+    path, table = shared_folder(spark), commits_yearly(spark, sf_dir)
+    write_by_year(table, path)
+    again = table.where(table["commit_year"] == 2011).withColumn("author_id", -F.col("author_id"))
+    write_by_year(again, path, years=[2011, 2012])
+    return spark.read.schema("branch string, author_id bigint, commit_year bigint").parquet(path)
+
+
 def by_year_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 and a scan of its partitioned folders."""
     written = write_by_year(commits_yearly(spark, sf_dir), shared_folder(spark))
