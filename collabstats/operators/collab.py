@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from collabstats.operators.expand import expand_countries
-from collabstats.operators.skew import skewed_join
+from collabstats.operators.skew import keep, skewed_join
 from collabstats.sources.parquet import require_columns
 from collabstats.schemas import MISSING_COUNTRY, US
 
@@ -36,7 +36,7 @@ def branch_countries(commits_yearly: DataFrame, users: DataFrame, year: int,
     that shuffle.
     """
     require_columns(commits_yearly, ["branch", "author_id", "commit_year"], "yearly commits")
-    commits = commits_yearly.where(F.col("commit_year") == year).select("branch", "author_id")
+    commits = keep(commits_yearly.where(F.col("commit_year") == year), "branch", "author_id")
     if not commits_distinct:
         commits = commits.distinct()
     per_id = expand_countries(users, missing).groupBy(F.col("id").alias("author_id")) \

@@ -102,6 +102,11 @@ def first_year(bits: DataFrame, years: Sequence[int] = REPORT_YEARS) -> DataFram
     return bits.select("author_id", "branch", (k + F.lit(min(years))).cast("bigint").alias("min_commit_year"))
 
 
+def branch_years(first: DataFrame) -> DataFrame:
+    """(branch, branch_year): the earliest year of each branch (the minimum of W3), a NULL branch being one of its own."""
+    return first.groupBy("branch").agg(F.min("min_commit_year").cast("bigint").alias("branch_year"))
+
+
 def with_branch_year(first: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """First participation with `branch_year`, the earliest year of the branch.
 

@@ -38,7 +38,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from collabstats.operators.skew import skewed_join
+from collabstats.operators.skew import keep, skewed_join
 from collabstats.sources.parquet import require_columns
 
 
@@ -86,7 +86,7 @@ def credit_cells(commits: DataFrame, users_x: DataFrame, dims: Sequence[str], la
     extra = [branch_year_col] if branch_year_col else []
     require_columns(commits, ["author_id", *keys, *extra], "commits")
     splits = user_splits(users_x, dims).withColumnRenamed("id", "author_id")
-    rows = commits.select("author_id", *keys, *extra)
+    rows = keep(commits, "author_id", *keys, *extra)
     if not commits_distinct:
         rows = rows.distinct()
     joined = skewed_join(rows, splits, "author_id", "left", salt_cols=["branch"], hot_rows=hot_rows)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from collabstats.functions.numeric import round_half_even
 from collabstats.operators.credit import credit_cells
 from collabstats.operators.expand import expand_countries, expand_country_sector
+from collabstats.operators.skew import keep
 from collabstats.plans.report import contributions, order_rows, pivot_years, recode, year_sums
 from collabstats.schemas import (
     MISSING,
@@ -36,7 +37,7 @@ def fractional_repos_by_country(commits_yearly: DataFrame, users: DataFrame, yea
     label; only branches with >= 1 matched user are kept.  The grand total
     equals the number of kept branches.
     """
-    commits = commits_yearly.where(F.col("commit_year") == year).select("branch", "author_id")
+    commits = keep(commits_yearly.where(F.col("commit_year") == year), "branch", "author_id")
     cells = credit_cells(commits, expand_countries(users, missing), ["country"], [missing], hot_rows=hot_rows,
                          commits_distinct=commits_distinct)
     return (
@@ -49,7 +50,7 @@ def fractional_repos_by_country(commits_yearly: DataFrame, users: DataFrame, yea
 def _first_year_cells(first_commits: DataFrame, users_x: DataFrame, dims, labels, hot_rows, commits_distinct) -> DataFrame:
     """Cells of the branches' first years; a prepared `branch_year` column, where there is one, saves splitting later rows."""
     prepared = [c for c in ("branch_year",) if c in first_commits.columns]
-    commits = first_commits.select("branch", "author_id", F.col("min_commit_year").alias("year"), *prepared)
+    commits = keep(first_commits, "branch", "author_id", F.col("min_commit_year").alias("year"), *prepared)
     return credit_cells(commits, users_x, dims, labels, year_col="year", hot_rows=hot_rows,
                         commits_distinct=commits_distinct, branch_year_col=prepared[0] if prepared else None)
 

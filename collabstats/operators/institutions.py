@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from collabstats.functions.lists import not_in_keep_null
 from collabstats.operators.expand import expand_aligned
-from collabstats.operators.skew import skewed_join
+from collabstats.operators.skew import keep, skewed_join
 from collabstats.sources.parquet import require_columns
 from collabstats.plans.report import contributions, order_rows, stack_blocks
 from collabstats.schemas import (
@@ -44,7 +44,7 @@ def branch_org_first_year(first_commits: DataFrame, users: DataFrame, country: s
         ux = ux.where(F.col("country") == country)
     keys = ["org", "sector"] if keep_sector else ["org"]
     ux = ux.select(F.col("id").alias("author_id"), *keys)
-    joined = skewed_join(first_commits.select("author_id", "branch", "min_commit_year"), ux, "author_id", "inner",
+    joined = skewed_join(keep(first_commits, "author_id", "branch", "min_commit_year"), ux, "author_id", "inner",
                          salt_cols=["branch"], hot_rows=hot_rows)
     return joined.groupBy("branch", *keys).agg(F.min("min_commit_year").alias("first_year"))
 

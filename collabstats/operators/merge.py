@@ -35,7 +35,12 @@ def merge_commits(primary: DataFrame, secondary: DataFrame,
     A NULL key never matches, so such secondary rows are kept, exactly as NOT
     EXISTS keeps them.
     """
+    return primary.unionByName(new_commits(primary, secondary, keys))
+
+
+def new_commits(primary: DataFrame, secondary: DataFrame, keys: tuple[str, ...] = ("author_id", "branch")) -> DataFrame:
+    """The part of C8 that the secondary source adds."""
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     known = primary.select(*keys).where(complete)
     new = secondary.where(complete).join(known, on=list(keys), how="left_anti").select(*primary.columns)
-    return primary.unionByName(new).unionByName(secondary.where(~complete).select(*primary.columns))
+    return new.unionByName(secondary.where(~complete).select(*primary.columns))

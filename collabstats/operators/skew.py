@@ -21,18 +21,25 @@ hot keys are salted explicitly:
 Rows are neither dropped nor duplicated: each large-side row meets exactly the
 small-side rows of its key (through the one replica with its salt).
 
-`hot_rows=0` declares that no key is hot and plans a plain join - used for
-inputs bucketed by the key, whose co-location a salt would undo.
+`hot_rows=0` declares that no key is hot and plans a plain join.
+
+Tables bucketed by the key carry the column HOT instead of salts, which would
+undo their co-location: their hot rows were set apart when they were written.
+The cold rows then join without a shuffle, the hot rows by a broadcast of the
+small side's rows of the hot keys, whose number and bytes were bounded when
+the hot set was made (`hot_keys`, `within_bytes`); a union follows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000   # rows per key beyond which a key is split, and rows per piece
+HOT_BYTES = 64 << 20   # bytes of the small side's rows that may be broadcast for hot keys
+HOT = "hot_author"     # column of a large side whose hot rows lie apart: whether the row is one of them
 HOT_KEYS = 10_000      # size bound of the hot set: a key outside it has at most 1 / HOT_KEYS of the rows
 
 
@@ -49,10 +56,46 @@ def hot_keys(large: DataFrame, key: str, hot_rows: int | None = None) -> DataFra
     )
 
 
+def within_bytes(hot: DataFrame, sizes: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """The heaviest of the `hot` keys whose rows of the small side - `sizes` has (key, bytes) - together take at most
+    `limit` bytes (default HOT_BYTES).  The window sees at most HOT_KEYS rows."""
+    limit = HOT_BYTES if limit is None else limit
+    per_key = sizes.join(F.broadcast(hot.select(key)), key, "left_semi").groupBy(key).agg(F.sum("bytes").alias("_bytes"))
+    so_far = Window.orderBy(F.desc("salts"), key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        hot.join(per_key, key, "left").withColumn("_sum", F.sum(F.coalesce("_bytes", F.lit(0))).over(so_far))
+        .where(F.col("_sum") <= limit).select(key, "salts")
+    )
+
+
+def mark_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """`df` with HOT; `hot` has at most HOT_KEYS rows."""
+    flags = F.broadcast(hot.select(key, F.lit(True).alias(HOT)))
+    return df.join(flags, key, "left").select(*df.columns, F.coalesce(HOT, F.lit(False)).alias(HOT))
+
+
+def keep(df: DataFrame, *columns) -> DataFrame:
+    """The columns of `df`, and HOT where the table has it."""
+    return df.select(*columns, *([HOT] if HOT in df.columns else []))
+
+
+def split_join(large: DataFrame, small: DataFrame, key: str, how: str, hot: DataFrame) -> DataFrame:
+    """Join of a large side with HOT: each row meets exactly the small side's rows of its key, in one of two joins."""
+    cold = large.where(~F.col(HOT)).drop(HOT).join(small, on=key, how=how)
+    few = small.join(F.broadcast(hot.select(key)), key, "left_semi")
+    apart = large.where(F.col(HOT)).drop(HOT).join(F.broadcast(few), on=key, how=how)
+    return cold.unionByName(apart)
+
+
 def skewed_join(large: DataFrame, small: DataFrame, key: str, how: str, salt_cols: Sequence[str],
                 hot_rows: int | DataFrame | None = None) -> DataFrame:
     """`hot_rows`: threshold (default HOT_ROWS), 0 for a plain join, or a
-    DataFrame of `hot_keys` computed beforehand (e.g. during preparation)."""
+    DataFrame of `hot_keys` computed beforehand (e.g. during preparation).
+    A large side with HOT needs the hot set that it was written with."""
+    if HOT in large.columns:
+        if isinstance(hot_rows, DataFrame):
+            return split_join(large, small, key, how, hot_rows)
+        large = large.drop(HOT)
     if isinstance(hot_rows, DataFrame):
         hot = hot_rows.select(key, "salts")
     elif hot_rows == 0:   # caller guarantees no hot keys (e.g. inputs bucketed by the key)

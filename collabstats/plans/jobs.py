@@ -13,7 +13,7 @@ them with display headers (S6).
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +24,11 @@ from collabstats.operators.clean import attach_agency, classify_agency, clean_us
 from collabstats.operators.collab import branch_countries, collaborations_of_branches, pairs_of_branches
 from collabstats.operators.commits import (
     MASK_YEARS,
+    branch_years,
     commit_years,
     first_commits,
     first_commits_secondary,
     first_year,
-    with_branch_year,
     yearly_commits,
     years_to_rows,
 )
@@ -38,8 +38,8 @@ from collabstats.operators.fractional import (
     new_repos_by_sector_year,
 )
 from collabstats.operators.institutions import agency_totals_of, agency_years_of, branch_org_first_year, top_institutions
-from collabstats.operators.merge import merge_commits, merge_users
-from collabstats.operators.skew import hot_keys
+from collabstats.operators.merge import merge_users, new_commits
+from collabstats.operators.skew import HOT, hot_keys, mark_hot, within_bytes
 from collabstats.schemas import (
     COMMITS_FIRST_SCHEMA,
     COMMITS_YEARLY_SCHEMA,
@@ -54,8 +54,10 @@ from collabstats.schemas import (
     REPORT_YEARS,
     USERS_CLEAN_SCHEMA,
 )
+from collabstats.session import settings
+from collabstats.sources import files
 from collabstats.sources.parquet import require_schema, scan
-from collabstats.sources.sinks import write_by_year, write_parquet, write_report
+from collabstats.sources.sinks import only_years, write_by_year, write_parquet, write_report
 
 
 @dataclass(frozen=True)
@@ -80,12 +82,13 @@ class Prepared:
     in-memory catalog) it is read as plain Parquet: same rows, just not
     co-located.
 
-    Trade-off: a bucketed join is not shuffled, so a hot author cannot be
-    split - all its rows are joined by the task of its bucket.  Choosing
-    buckets declares that no author holds a large share of the commits, and
-    the reports then skip the hot-key salting (`operators.skew`), which
-    would undo the co-location.  The default (None) keeps salted, shuffled
-    joins, and so does a table that is read as plain Parquet.
+    A bucketed join is not shuffled, so a hot author's rows would all be joined
+    by the task of its bucket.  Commit tables are therefore written in two
+    parts: the bucketed table of the cold authors, and beside it, as plain
+    files spread over many tasks, the rows of the hot authors.  `read` unites
+    them under the column HOT, and joins treat them apart (`operators.skew`).
+    The default (None) keeps salted, shuffled joins, and so does a table that
+    is read as plain Parquet.
     """
 
     root: str
@@ -109,47 +112,122 @@ class Prepared:
         """Whether `read` finds the bucketed layout (a session may lack the catalog entry)."""
         return bool(self.buckets) and spark.catalog.tableExists(self.table(name))
 
-    def write(self, df: DataFrame, name: str, key: str | None = None, by_year: bool = False) -> str:
+    def write(self, df: DataFrame, name: str, key: str | None = None, year_col: str | None = None,
+              hot: DataFrame | None = None) -> str:
+        """Writes a table anew: `key` names the column of buckets, `year_col` that of folders, `hot` the keys set apart."""
         if self.buckets and key:
+            if name in SPLIT_TABLES:
+                marked = mark_hot(df, key, hot)
+                df, apart = marked.where(~F.col(HOT)).drop(HOT), marked.where(F.col(HOT)).drop(HOT)
+                apart = apart.repartition(self.buckets, *df.columns)   # a hot key's rows go to every task
+                writer = apart.write.mode("overwrite")
+                (writer.partitionBy(year_col) if year_col else writer).parquet(self.path(f"{name}_hot"))
             writer = df.repartition(self.buckets, key).write.mode("overwrite").option("path", self.path(name))
-            if by_year:
-                writer = writer.partitionBy("commit_year")
+            if year_col:
+                writer = writer.partitionBy(year_col)
             writer.bucketBy(self.buckets, key).saveAsTable(self.table(name))
             return self.path(name)
-        return write_by_year(df, self.path(name), whole=True) if by_year else write_parquet(df, self.path(name))
+        return write_by_year(df, self.path(name), year_col, whole=True) if year_col else write_parquet(df, self.path(name))
+
+    def rewrite(self, df: DataFrame, name: str, year_col: str, years: Sequence[int], key: str | None = None,
+                hot: DataFrame | None = None) -> None:
+        """Replaces the folders of these years alone, in the layout that `write` gave the table."""
+        spark = df.sparkSession
+        if not (self.buckets and key):
+            write_by_year(df, self.path(name), year_col, years)
+            return
+        marked = mark_hot(df, key, hot)
+        write_by_year(marked.where(F.col(HOT)).drop(HOT), self.path(f"{name}_hot"), year_col, years)
+        cold, table = only_years(marked.where(~F.col(HOT)).drop(HOT), years, year_col), self.table(name)
+        columns = spark.table(table).columns
+        with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            # Years that get no rows end empty: their folders go, once the others are written.
+            before = {y: files.matching(spark, f"{self.path(name)}/{year_col}={y}/*") for y in years}
+            cold.select(*columns).repartition(self.buckets, key).write.insertInto(table, overwrite=True)
+            for year, names in before.items():
+                if names and files.matching(spark, f"{self.path(name)}/{year_col}={year}/*") == names:
+                    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({year_col} = {year})")
+                    files.remove(spark, f"{self.path(name)}/{year_col}={year}")
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        if self.bucketed(spark, name):
-            return spark.table(self.table(name))
         schema = PREPARED_SCHEMAS.get(name)
+        plain = lambda path: spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+        apart = bool(self.buckets) and name in SPLIT_TABLES
+        if self.bucketed(spark, name):
+            table = spark.table(self.table(name))
+            if not apart:
+                return table
+            hot = plain(self.path(f"{name}_hot")).select(*table.columns)
+            return table.withColumn(HOT, F.lit(False)).unionByName(hot.withColumn(HOT, F.lit(True)))
         if schema is None:
             return scan(spark, self.path(name))
         # Known schema: no footer-reading job to infer it.
-        return spark.read.schema(schema).parquet(self.path(name))
+        return plain(self.path(name)).unionByName(plain(self.path(f"{name}_hot"))) if apart else plain(self.path(name))
+
+    def years(self, spark: SparkSession, name: str, year_col: str) -> list[int]:
+        """Years that the table has folders of."""
+        parts = {self.path(name), self.path(f"{name}_hot")}
+        found = {f.rpartition("=")[2] for p in parts for f in files.matching(spark, f"{p}/{year_col}=*", folders=True)}
+        return sorted(int(y) for y in found if y.lstrip("-").isdigit())
 
 
+#: Commit tables: a bucketed layout sets their hot authors' rows apart.
+SPLIT_TABLES = ("commits_yearly", "commits_first", "commits_merged")
+
 _HOT_SCHEMA = T.StructType([T.StructField("author_id", T.LongType()), T.StructField("salts", T.IntegerType())])
-_FIRST_WITH_BRANCH_YEAR = T.StructType([*COMMITS_FIRST_SCHEMA.fields, T.StructField("branch_year", T.LongType())])
+_BRANCH_YEARS_SCHEMA = T.StructType([T.StructField("branch", T.StringType()), T.StructField("branch_year", T.LongType())])
 PREPARED_SCHEMAS = {
     "users_clean": USERS_CLEAN_SCHEMA,
     "users_clean_secondary": USERS_CLEAN_SCHEMA,
     "users_merged": USERS_CLEAN_SCHEMA,
     "commits_yearly": COMMITS_YEARLY_SCHEMA,
-    "commits_first": _FIRST_WITH_BRANCH_YEAR,
+    "commits_first": COMMITS_FIRST_SCHEMA,
+    "branch_years": _BRANCH_YEARS_SCHEMA,
+    "first_added": COMMITS_FIRST_SCHEMA,
+    "branches_added": _BRANCH_YEARS_SCHEMA,
     "commits_first_secondary": COMMITS_FIRST_SCHEMA,
     "commits_merged": COMMITS_FIRST_SCHEMA,
+    "commits_added": COMMITS_FIRST_SCHEMA,
     "hot_authors": _HOT_SCHEMA,
     "hot_authors_merged": _HOT_SCHEMA,
 }
 
 
+def _user_bytes(users: DataFrame) -> DataFrame:
+    """(author_id, bytes): no less than what any report's expansion of the user row holds."""
+    def length(c: str):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") + 16
+
+    def entries(c: str):
+        return F.coalesce(F.size(F.split(c, ",")), F.lit(1)).cast("bigint")
+
+    whole = (length("country_cleaned") * entries("sector") + length("sector") * entries("country_cleaned") + length("organization_cleaned")
+             + 32 * entries("country_cleaned") * entries("sector"))
+    return users.select(F.col("id").alias("author_id"), whole.alias("bytes"))
+
+
+def _write_hot(spark: SparkSession, out: Prepared, name: str, pairs: DataFrame, users: str, hot_rows: int | None) -> DataFrame:
+    """Authors with many (author, branch) pairs: salted in every report's join, or set apart in a bucketed layout."""
+    hot = hot_keys(pairs, "author_id", hot_rows)
+    if out.buckets:
+        hot = within_bytes(hot, _user_bytes(out.read(spark, users)), "author_id")
+    write_parquet(hot, out.path(name))
+    return out.read(spark, name)
+
+
 def prepare_primary(spark: SparkSession, raw: RawInputs, root: str | Prepared,
-                    years=REPORT_YEARS, org_cols=ORG_COLUMNS_PRIMARY) -> Prepared:
+                    years=REPORT_YEARS, org_cols=ORG_COLUMNS_PRIMARY, hot_rows: int | None = None,
+                    incremental: bool = False) -> Prepared:
     """First source: cleaned users; per (author, branch) the active years (one
-    shuffle of the raw commits); from that table, without another shuffle, the
-    yearly distinct commits (partitioned by year) and first participation, which
-    also learns its branch's first year.  Year ranges beyond the mask of
-    `commit_years` take the yearly table first and its minimum second."""
+    shuffle of the raw commits); from that table, without another shuffle of
+    it, the hot authors, the yearly distinct commits (partitioned by year) and
+    first participation.  Year ranges beyond the mask of `commit_years` take
+    the distinct rows first and their minimum second.
+
+    With `incremental`, first participation is partitioned by its year and the
+    branches' first years are written, so `plans.incremental.add_year` can
+    add or rewrite one year.
+    """
     out = root if isinstance(root, Prepared) else Prepared(root)
     require_schema(raw.users, RAW_USERS_SCHEMA, "raw users")
     require_schema(raw.commits, RAW_COMMITS_SCHEMA, "raw commits")
@@ -158,44 +236,48 @@ def prepare_primary(spark: SparkSession, raw: RawInputs, root: str | Prepared,
         write_parquet(commit_years(raw.commits, years), out.path("commit_years"))
         bits = out.read(spark, "commit_years")
         yearly, first = years_to_rows(bits, years), first_year(bits, years)
-        out.write(yearly, "commits_yearly", key="author_id", by_year=True)
     else:
-        out.write(yearly_commits(raw.commits, years), "commits_yearly", key="author_id", by_year=True)
-        first = first_commits(out.read(spark, "commits_yearly"))
-    out.write(with_branch_year(first), "commits_first", key="author_id")
-    # Authors with many (author, branch) pairs, salted in every report's join.
-    write_parquet(hot_keys(out.read(spark, "commits_first"), "author_id"), out.path("hot_authors"))
+        write_parquet(yearly_commits(raw.commits, years), out.path("commit_years"))
+        yearly = out.read(spark, "commit_years")
+        first = first_commits(yearly)
+    hot = _write_hot(spark, out, "hot_authors", first, "users_clean", hot_rows)
+    out.write(yearly, "commits_yearly", key="author_id", year_col="commit_year", hot=hot)
+    out.write(first, "commits_first", key="author_id", year_col="min_commit_year" if incremental else None, hot=hot)
     # A new first source ends what was prepared from an earlier one.
-    return Prepared(out.root, out.buckets).having("users_clean", "commits_yearly", "commits_first", "hot_authors")
+    done = Prepared(out.root, out.buckets).having("users_clean", "commits_yearly", "commits_first", "hot_authors")
+    if not incremental:
+        return done
+    out.write(branch_years(out.read(spark, "commits_first")), "branch_years", year_col="branch_year")
+    return done.having("branch_years")
 
 
-def prepare_secondary(spark: SparkSession, raw: RawInputs, prepared: Prepared) -> Prepared:
+def prepare_secondary(spark: SparkSession, raw: RawInputs, prepared: Prepared, hot_rows: int | None = None) -> Prepared:
     """Second source: agency classification and cleaning of the second source, its first
     participation (>= first report year), and the merged tables (first source wins)."""
     users2 = raw.users_secondary
     require_schema(users2, RAW_USERS_SECONDARY_SCHEMA, "second-source users")
     require_schema(raw.commits_secondary, RAW_COMMITS_SECONDARY_SCHEMA, "second-source commits")
-    write_parquet(attach_agency(users2, classify_agency(users2)), prepared.path("users_gov_secondary"))
-    write_parquet(clean_users(prepared.read(spark, "users_gov_secondary"), ORG_COLUMNS_SECONDARY),
+    write_parquet(clean_users(attach_agency(users2, classify_agency(users2)), ORG_COLUMNS_SECONDARY),
                   prepared.path("users_clean_secondary"))
     write_parquet(first_commits_secondary(raw.commits_secondary), prepared.path("commits_first_secondary"))
     prepared.write(merge_users(prepared.read(spark, "users_clean"), prepared.read(spark, "users_clean_secondary")),
                    "users_merged", key="id")
-    prepared.write(merge_commits(prepared.read(spark, "commits_first").drop("branch_year"),
-                                 prepared.read(spark, "commits_first_secondary")),
-                   "commits_merged", key="author_id")
-    # The second source has hot authors of its own.
-    write_parquet(hot_keys(prepared.read(spark, "commits_merged"), "author_id"), prepared.path("hot_authors_merged"))
+    # The pairs that the second source adds, written once: the merged table and its hot authors need no second anti-join.
+    first = prepared.read(spark, "commits_first").drop(HOT)
+    write_parquet(new_commits(first, prepared.read(spark, "commits_first_secondary")), prepared.path("commits_added"))
+    merged = first.unionByName(prepared.read(spark, "commits_added"))
+    hot = _write_hot(spark, prepared, "hot_authors_merged", merged, "users_merged", hot_rows)
+    prepared.write(merged, "commits_merged", key="author_id", hot=hot)
     return prepared.having("users_clean_secondary", "commits_first_secondary", "users_merged", "commits_merged", "hot_authors_merged")
 
 
 def _salting(spark: SparkSession, prepared: Prepared, commits: str) -> dict:
-    """How reports join the given commits table: a table that is read bucketed declares that no author is hot
-    (plain, co-located joins); otherwise the hot authors found during preparation are salted."""
-    if prepared.bucketed(spark, commits):
-        return {"hot_rows": 0}
+    """How reports join the given commits table: by the hot authors found during preparation, which are salted or,
+    where the table is read bucketed, lie apart."""
     hot = "hot_authors_merged" if commits == "commits_merged" else "hot_authors"
-    return {"hot_rows": prepared.read(spark, hot)} if hot in prepared.tables else {}
+    if prepared.bucketed(spark, commits) or hot in prepared.tables:
+        return {"hot_rows": prepared.read(spark, hot)}
+    return {}
 
 
 def _agency_tables(prepared: Prepared) -> tuple[str, str]:

@@ -24,6 +24,8 @@ from collabstats.operators.commits import (
     years_to_rows,
 )
 from collabstats.operators.merge import merge_commits, merge_users
+from collabstats.plans.incremental import add_year
+from collabstats.plans.jobs import Prepared, RawInputs, prepare_primary, report_builders
 from collabstats.schemas import ORG_COLUMNS_SECONDARY, USERS_CLEAN_SCHEMA
 from collabstats.sources import adapter
 from collabstats.sources.parquet import preview, scan, scan_glob, scan_year_folders
@@ -83,6 +85,24 @@ def commits_branch_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_branch_year(commits_first_from_mask(spark, sf_dir))
 
 
+def commits_first_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5 from a state without 2011 and 2015, to which these years are added one by one."""
+    commits = adapter.raw_commits(spark, sf_dir)
+    of = lambda *years: commits.where(F.year("committedat").isin(*years))
+    start = RawInputs(adapter.raw_users(spark, sf_dir), of(2009, 2010, 2012, 2013, 2014))
+    state = prepare_primary(spark, start, shared_folder(spark), incremental=True)
+    for year in (2015, 2011):
+        state = add_year(spark, state, of(year), year)
+    return state.read(spark, "commits_first").join(state.read(spark, "branch_years"), "branch")
+
+
+def fractional_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C12 over bucketed tables whose hot authors - here those of 50 branches or more - lie apart."""
+    raw = RawInputs(adapter.raw_users(spark, sf_dir), adapter.raw_commits(spark, sf_dir))
+    prepared = prepare_primary(spark, raw, Prepared(shared_folder(spark), buckets=8), hot_rows=50)
+    return report_builders(spark, prepared, PRODUCTION_YEAR)["fractional_by_country"]()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for round trips, under the folder that the session shares: `spark.checkpoint.dir`, or the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
