@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collabstats.operators.expand import expand_countries
@@ -111,19 +111,36 @@ def codeveloped_pairs(commits_yearly: DataFrame, users: DataFrame, year: int,
     return pairs_of_branches(bc, missing, min_users)
 
 
+#: Countries of a block in which pairs are formed.
+PAIR_BLOCK = 64
+
+
 def pairs_of_branches(bc: DataFrame, missing: str = MISSING_COUNTRY, min_users: int = 2) -> DataFrame:
-    """C11 from the year's `branch_countries`, which C10 shares."""
+    """C11 from the year's `branch_countries`, which C10 shares.
+
+    Countries are free text, so a list may be long and its pairs very many.
+    The sorted list is cut into blocks: one row pairs a block with what
+    follows from it on, is dealt to any task, and goes on block by block.  So a
+    list is copied once per block and not per country, no task forms all pairs
+    of a long list, and no row holds more than a list and two blocks.
+    """
     sets = (
         bc.where(F.col("country").isNotNull() & (F.col("country") != missing) & (F.col("n_users") >= min_users))
         .groupBy("branch").agg(F.array_sort(F.collect_set("country")).alias("countries"))
         .where(F.size("countries") >= 2)
         .groupBy("countries").agg(F.count(F.lit(1)).alias("n_branches"))
     )
-    firsts = sets.select("countries", "n_branches", F.posexplode("countries").alias("i", "country_1"))
-    pairs = firsts.select(
-        "n_branches", "country_1",
-        F.explode(F.slice("countries", F.col("i") + 2, F.size("countries"))).alias("country_2"),
-    )
+
+    def blocks(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.floor((F.size(of) - 1) / PAIR_BLOCK).cast("int")))
+
+    at = F.col("_block") * PAIR_BLOCK + 1
+    mine = sets.withColumn("_block", blocks("countries")).select(
+        "n_branches", F.slice("countries", at, F.lit(PAIR_BLOCK)).alias("_mine"), F.slice("countries", at, F.size("countries")).alias("_from"))
+    tasks = int(bc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = mine.repartition(tasks, F.xxhash64("_mine", "_from")).withColumn("_block", blocks("_from")).select(
+        "n_branches", F.explode("_mine").alias("country_1"), F.slice("_from", at, F.lit(PAIR_BLOCK)).alias("_others"))
+    pairs = met.select("n_branches", "country_1", F.explode("_others").alias("country_2")).where(F.col("country_1") < F.col("country_2"))
     return (
         pairs.groupBy("country_1", "country_2")
         .agg(F.sum("n_branches").cast("bigint").alias("co_developed_repositories"))

@@ -79,15 +79,29 @@ def new_repos_by_agency_year(first_commits: DataFrame, users: DataFrame,
     The year columns are the report years and every other year that occurs, so
     no pair is lost.  With an explicit list, a pair outside it fails the query.
     """
-    return agency_years_of(branch_org_first_year(first_commits, users, hot_rows=hot_rows), agencies, years)
+    counts = agency_counts(branch_org_first_year(first_commits, users, hot_rows=hot_rows), agencies)
+    return agency_years_of(counts, agencies, years) if years is not None else agency_years_of(collected(counts), agencies)
 
 
-def agency_years_of(branch_orgs: DataFrame, agencies: Sequence[str] = AGENCY_LIST,
+#: Rows of the long form that may come to the driver: labels times years.
+LONG_ROWS = 100_000
+
+
+def collected(counts: DataFrame) -> DataFrame:
+    """The long form as a local table: the join below runs once, in one job, and both the year columns and the
+    report follow from its few rows.  More than LONG_ROWS of them are an error."""
+    rows = counts.limit(LONG_ROWS + 1).collect()
+    if len(rows) > LONG_ROWS:
+        raise ValueError(f"more than {LONG_ROWS} pairs of an institution and a year: name the years")
+    return counts.sparkSession.createDataFrame(rows, counts.schema)
+
+
+def agency_years_of(counts: DataFrame, agencies: Sequence[str] = AGENCY_LIST,
                     years: Sequence[int] | None = None) -> DataFrame:
-    """C13 from `branch_org_first_year` rows, which C14 shares."""
-    long = agency_counts(branch_orgs, agencies)
+    """C13 from `agency_counts` rows, written or `collected`: without `years` they are read for the years."""
+    long = counts
     if years is None:
-        occurring = [r[0] for r in branch_orgs.select("first_year").distinct().collect() if r[0] is not None]   # one row per year
+        occurring = [r[0] for r in counts.select("first_year").distinct().collect() if r[0] is not None]   # one row per year
         years = sorted({*REPORT_YEARS, *occurring})
     else:
         outside = F.concat(F.lit("first year outside the report's years: "), F.coalesce(F.col("first_year").cast("string"), F.lit("none")))
@@ -102,15 +116,13 @@ def repos_by_agency(first_commits: DataFrame, users: DataFrame,
                     agencies: Sequence[str] = AGENCY_LIST, hot_rows: int | DataFrame | None = None) -> DataFrame:
     """C14: repositories per listed agency over all years, plus Federal Total
     and All Other Federal (both always present, 0 on empty input)."""
-    return agency_totals_of(branch_org_first_year(first_commits, users, hot_rows=hot_rows), agencies)
+    return agency_totals_of(agency_counts(branch_org_first_year(first_commits, users, hot_rows=hot_rows), agencies), agencies)
 
 
-def agency_totals_of(branch_orgs: DataFrame, agencies: Sequence[str] = AGENCY_LIST) -> DataFrame:
-    """C14 from `branch_org_first_year` rows, which C13 shares."""
-    spark: SparkSession = branch_orgs.sparkSession
-    rows = branch_orgs.select(F.explode(_agency_rows(agencies)).alias("institution"), F.lit(1).alias("n"))
-    always = spark.createDataFrame([(FEDERAL_TOTAL, 0), (ALL_OTHER_FEDERAL, 0)], "institution string, n int")
-    out = stack_blocks(rows, always).groupBy("institution").agg(F.sum("n").cast("bigint").alias("n_repositories"))
+def agency_totals_of(counts: DataFrame, agencies: Sequence[str] = AGENCY_LIST) -> DataFrame:
+    """C14 from `agency_counts` rows, which C13 shares: the sum over all years."""
+    always = counts.sparkSession.createDataFrame([(FEDERAL_TOTAL, 0), (ALL_OTHER_FEDERAL, 0)], "institution string, n bigint")
+    out = stack_blocks(counts.select("institution", "n"), always).groupBy("institution").agg(F.sum("n").cast("bigint").alias("n_repositories"))
     return order_rows(out, "institution", [FEDERAL_TOTAL, *agencies, ALL_OTHER_FEDERAL])
 
 

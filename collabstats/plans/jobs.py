@@ -37,7 +37,7 @@ from collabstats.operators.fractional import (
     new_repos_by_country_year,
     new_repos_by_sector_year,
 )
-from collabstats.operators.institutions import agency_totals_of, agency_years_of, branch_org_first_year, top_institutions
+from collabstats.operators.institutions import agency_counts, agency_totals_of, agency_years_of, branch_org_first_year, top_institutions
 from collabstats.operators.merge import merge_users, new_commits
 from collabstats.operators.skew import HOT, hot_keys, mark_hot, within_bytes
 from collabstats.schemas import (
@@ -291,17 +291,18 @@ def _branch_countries(spark: SparkSession, prepared: Prepared, year: int) -> Dat
                             commits_distinct=True, **_salting(spark, prepared, "commits_yearly"))
 
 
-def _branch_orgs(spark: SparkSession, prepared: Prepared) -> DataFrame:
+def _agency_counts(spark: SparkSession, prepared: Prepared) -> DataFrame:
     commits, users = _agency_tables(prepared)
-    return branch_org_first_year(prepared.read(spark, commits), prepared.read(spark, users), **_salting(spark, prepared, commits))
+    return agency_counts(branch_org_first_year(
+        prepared.read(spark, commits), prepared.read(spark, users), **_salting(spark, prepared, commits)))
 
 
 def prepare_reports(spark: SparkSession, prepared: Prepared, year: int) -> Prepared:
     """The joins that several reports share, written once: the year's countries per branch (C10 twice, C11) and
-    the agencies' first years per branch (C13, C14)."""
+    the agencies' pairs per first year (C13, C14), whose few rows also tell the year columns."""
     write_parquet(_branch_countries(spark, prepared, year), prepared.path(f"branch_countries_{year}"))
-    write_parquet(_branch_orgs(spark, prepared), prepared.path("agency_branches"))
-    return prepared.having(f"branch_countries_{year}", "agency_branches")
+    write_parquet(_agency_counts(spark, prepared), prepared.path("agency_counts"))
+    return prepared.having(f"branch_countries_{year}", "agency_counts")
 
 
 def report_builders(spark: SparkSession, prepared: Prepared, year: int,
@@ -318,8 +319,8 @@ def report_builders(spark: SparkSession, prepared: Prepared, year: int,
         name = f"branch_countries_{year}"
         return prepared.read(spark, name) if name in prepared.tables else _branch_countries(spark, prepared, year)
 
-    def orgs() -> DataFrame:
-        return prepared.read(spark, "agency_branches") if "agency_branches" in prepared.tables else _branch_orgs(spark, prepared)
+    def agencies() -> DataFrame:
+        return prepared.read(spark, "agency_counts") if "agency_counts" in prepared.tables else _agency_counts(spark, prepared)
 
     y = {"commits_distinct": True, **_salting(spark, prepared, "commits_yearly")}
     h = _salting(spark, prepared, "commits_first")
@@ -332,8 +333,8 @@ def report_builders(spark: SparkSession, prepared: Prepared, year: int,
         "top_institutions": lambda: top_institutions(first(), users(), **h),
         "sectors_by_year": lambda: new_repos_by_sector_year(first(), users(), years, **f),
         "countries_by_year": lambda: new_repos_by_country_year(first(), users(), years, **f),
-        "agency_new_by_year": lambda: agency_years_of(orgs()),
-        "agency_totals": lambda: agency_totals_of(orgs()),
+        "agency_new_by_year": lambda: agency_years_of(agencies()),
+        "agency_totals": lambda: agency_totals_of(agencies()),
     }
 
 
