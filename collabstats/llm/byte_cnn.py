@@ -6,7 +6,8 @@ shared with the next chunk); mean, largest and smallest of the chunks' values go
 probability.  A filter over one-hot bytes is a table lookup per byte, so the convolution adds up rows of a table.
 
 The network is fitted with Adam in one task, on at most ``SAMPLE`` labelled rows with the smallest hashes of their
-ids; the weights have a fixed size.  Scoring is one pass over the documents without a shuffle.
+ids, together of at most ``SAMPLE_BYTES``, none longer than ``LONGEST``; the weights have a fixed size.  Scoring is
+one pass over the documents without a shuffle, ``ROWS`` texts at a time.
 
 Edge cases: null and empty texts are one chunk of padding; a text of any length is scored whole, in pieces; without
 labels every score is 0.5, with one label only it is that label's smoothed share; several labels of one id count by
@@ -22,10 +23,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from collabstats.llm.words import pieces
+
 SAMPLE, EPOCHS, BATCH, RATE = 4000, 10, 64, 0.01
+#: Bytes of the texts that the network is fitted on, and of one of them.
+SAMPLE_BYTES, LONGEST = 64 << 20, 8 << 20
+#: Texts that are turned into Python objects at once.
+ROWS = 1000
 FILTERS, WIDTH, STRIDE, HALF, HIDDEN = 24, 8, 4, 32, 16
 #: Bytes of a half chunk, and bytes that are convolved at once.
 _HALF_BYTES = HALF * STRIDE
@@ -170,15 +178,19 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("double").alias("__label"))
     ids = docs.select("doc_id").distinct().join(known, "doc_id").orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(sample)
     texts = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("__text")).join(F.broadcast(ids), "doc_id")  # at most ``sample`` ids
-    chosen = texts.groupBy("doc_id").agg(F.min("__text").alias("__text"), F.first("__label").alias("__label"))
+    short = texts.where(F.octet_length("__text") <= LONGEST)
+    each = short.groupBy("doc_id").agg(F.min("__text").alias("__text"), F.first("__label").alias("__label"))
+    # the at most ``sample`` rows meet in the one task that fits them, in the order of their hashes
+    so_far = W.orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    chosen = each.withColumn("__bytes", F.sum(F.octet_length("__text").cast("bigint")).over(so_far)).where(F.col("__bytes") <= SAMPLE_BYTES).drop("__bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r["doc_id"], r["__text"], r["__label"]) for b in batches for r in b.to_pylist())
         w = fit([t.encode("utf-8") for _, t, _ in rows], np.array([x for _, _, x in rows]))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(w)], pa.binary())], names=["weights"])
 
-    found = chosen.coalesce(1).mapInArrow(run, "weights binary").collect()
-    return pickle.loads(found[0]["weights"]) if found else fit([], np.zeros(0))
+    found = chosen.mapInArrow(run, "weights binary").collect()
+    return pickle.loads(found[0]["weights"]) if found and found[0]["weights"] else fit([], np.zeros(0))
 
 
 def predict(docs: DataFrame, weights: dict, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -186,7 +198,7 @@ def predict(docs: DataFrame, weights: dict, text: str = "text", keep: tuple[str,
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # of a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, ROWS):
             scores: list[np.ndarray] = [np.zeros(0)]
             part: list[bytes] = []
             held = 0
