@@ -1,12 +1,14 @@
 """Language-model scores of whole texts from a subword lattice.
 
 A text is lower-cased (A-Z) and cut into words; every word is a lattice whose arcs are the pieces of an existing
-unigram vocabulary, weighted by the vocabulary's scores, and, for words of the training corpus, the whole word with
-the weight that it earned there.  A forward recursion in log space sums over all segmentations, so a word has its
+vocabulary and, for words of the training corpus, the whole word with the weight that it earned there.  No unigram
+vocabulary with probabilities of its own is installed, and none is trained: a BPE vocabulary stands in, whose scores
+are merge ranks, read as Zipf weights 1 / (rank + 2.7).  A forward recursion in log space sums over all segmentations, so a word has its
 marginal probability, and a text the product over its words and one end.  Unseen words share the mass
 V / (N + V) of the pieces (Witten and Bell's estimate); N counts training tokens, V their kinds.
 
-Scale: documents are cut into blocks whose distinct words are listed once; only (block, word) rows meet the corpus
+Scale: documents are cut into blocks, bounded in distinct words, documents and bytes, whose distinct words are listed
+once; only (block, word) rows meet the corpus
 counts, so a word in every document is one row per block and no key is hot; texts are read and tokenized once, and
 their packed word numbers go back to their block.  Nothing but N, V and the number of training texts reaches the
 driver.
@@ -32,8 +34,10 @@ from pyspark.sql import types as T
 
 from collabstats.llm.common import crc_is_one, materialize, small_batches
 
-#: Distinct words at which a block of documents is closed.
-BLOCK_WORDS = 200_000
+#: Distinct words, documents, or bytes of word numbers and counts at which a block of documents is closed.
+BLOCK_WORDS, BLOCK_DOCS, BLOCK_BYTES = 200_000, 10_000, 24 << 20
+#: Rows of a block that are handed on at once.
+OUT_ROWS = 20_000
 START = "▁"  # stands before each word in the vocabulary
 
 
@@ -104,6 +108,7 @@ def _count(docs: DataFrame, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number: dict[bytes, int] = {}
+        held = 0
         ids, outs, totals, numbers, times = [], [], [], [], []
 
         def close(schema: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -120,7 +125,8 @@ def _count(docs: DataFrame, text: str) -> DataFrame:
                 "number": pa.array([*range(w), *[None] * d], pa.int32()), "trained": pa.array([*trained.tolist(), *[None] * d], pa.int64()),
                 "numbers": pa.array([None] * w + [_pack(x, w) for x in numbers], pa.binary()),
                 "times": pa.array([None] * w + [x.astype("<u4").tobytes() if len(x) and x.max() > 255 else x.astype("u1").tobytes() for x in times], pa.binary())}
-            yield pa.RecordBatch.from_arrays(list(both.values()), names=list(both))
+            whole = pa.RecordBatch.from_arrays(list(both.values()), names=list(both))
+            yield from (whole.slice(at, OUT_ROWS) for at in range(0, w + d, OUT_ROWS))
             number.clear()
             for kept in (ids, outs, totals, numbers, times):
                 kept.clear()
@@ -136,8 +142,10 @@ def _count(docs: DataFrame, text: str) -> DataFrame:
                 totals.append(len(words) + 1)
                 numbers.append(np.fromiter((number.setdefault(w, len(number)) for w in count), np.int32, len(count)))
                 times.append(np.fromiter(count.values(), np.int32, len(count)))
-                if len(number) >= BLOCK_WORDS:
+                held += 8 * len(count)
+                if len(number) >= BLOCK_WORDS or len(ids) >= BLOCK_DOCS or held >= BLOCK_BYTES:
                     yield from close(schema)
+                    held = 0
         if ids:
             yield from close(schema)
 
