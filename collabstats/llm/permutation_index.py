@@ -6,12 +6,13 @@ reads the files of its ``READ`` nearest.  A file's vectors are ranked by the foo
 the query's, and the nearest ``SHARE`` of them is reranked by the exact cosine of the original vectors.
 
 Equal vectors are represented once, by their smallest ids (as many as a result can hold), and equal queries are
-answered once, so a vector shared by a third of the rows is one entry.  Large files are cut into blocks; only the best
-rows of a block leave it.  A query for which the files hold fewer rows than it needs is answered exactly, against all
+answered once, so a vector shared by a third of the rows is one entry.  Large files are cut into blocks, and the queries
+that read a file too, so a task holds a bounded part of each; only the best rows of a block leave it.  A query for which the files hold fewer rows than it needs is answered exactly, against all
 rows in blocks.
 
-Measured recall is in the README.  Edge cases: vectors that are null, zero, hold a null or a value that is not
-finite, or have another length than the pivots take no part, as do rows without id; rows with the query's own id are
+Measured recall is in the README, with the part of all vectors that a query ranks.  Edge cases: vectors that are null,
+zero, hold a null or a value that is not finite, or have another length than most (of equally common lengths the
+smallest) take no part, as do rows without id; rows with the query's own id are
 the query's own; ties go to the smaller id; with fewer candidates than wanted all are returned; an empty table gives
 an empty table.  Input columns other than id and vector are ignored.
 """
@@ -29,9 +30,9 @@ from pyspark.sql import functions as F
 from collabstats.llm.common import materialize
 
 #: Bounded sample that the index is fitted on; files that a vector is posted in, and that a query reads.
-PIVOTS, POSTED, READ = 256, 8, 48
-#: Part of a file's block that is reranked, and its least number of vectors; vectors in a block.
-SHARE, LEAST, BLOCK = 0.15, 64, 8192
+PIVOTS, POSTED, READ = 256, 10, 16
+#: Part of a file's block that is reranked, and its least number of vectors; vectors and queries in a block.
+SHARE, LEAST, BLOCK, ASKED = 0.25, 64, 8192, 32_768
 #: Cosines closer than this are compared by the exact formula.
 SLACK = 1e-9
 
@@ -80,12 +81,13 @@ def search(vectors: DataFrame, every: int = 50, wanted: int = 5, vec_id: str = "
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``wanted`` nearest rows to each row whose id is a multiple of ``every``."""
     spark = vectors.sparkSession
     rows = usable(vectors, vec_id, vector)
+    common = rows.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").first()
+    if common is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    width = common["size"]
+    rows = rows.where(F.size("vec") == width)
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()  # bounded by PIVOTS
-    out = "query_id long, rank int, vec_id long, score double"
-    if not sample:
-        return spark.createDataFrame([], out)
-    width = len(sample[0]["vec"])
-    pivots = _unit(np.array([r["vec"] for r in sample if len(r["vec"]) == width]))
+    pivots = _unit(np.array([r["vec"] for r in sample]))
     shared = spark.sparkContext.broadcast(pivots)
     depth = wanted + 1  # a query may find itself
 
@@ -99,7 +101,7 @@ def search(vectors: DataFrame, every: int = 50, wanted: int = 5, vec_id: str = "
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([packed[i:i + step] for i in range(0, len(packed), step)], pa.binary()), pa.array(near.tolist(), pa.list_(pa.int16()))], names=["vec_id", "vec", "near"])
 
-    ordered = materialize(rows.where(F.size("vec") == width).mapInArrow(order, "vec_id long, vec binary, near array<short>"), "ann-order")
+    ordered = materialize(rows.mapInArrow(order, "vec_id long, vec binary, near array<short>"), "ann-order")
     place = F.row_number().over(W.partitionBy("vec").orderBy("vec_id"))
     entries = materialize(ordered.withColumn("place", place).where(F.col("place") <= depth).select("vec_id", "vec", "near"), "ann-entries")
     asked = ordered.where(F.pmod("vec_id", F.lit(every)) == 0)
@@ -108,9 +110,13 @@ def search(vectors: DataFrame, every: int = 50, wanted: int = 5, vec_id: str = "
     posts = entries.select("vec_id", "vec", F.explode(F.slice("near", 1, POSTED)).alias("pivot"))
     sizes = {r["pivot"]: -(-r["n"] // BLOCK) for r in posts.groupBy("pivot").agg(F.count("*").alias("n")).collect()}  # a row per pivot
     blocks = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (int(k), n))), F.col("pivot").cast("int")), F.lit(0))
-    members = posts.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
+    # a file's queries come in blocks of about ASKED, each of which meets the file's vectors by itself
+    parts = max(1, -(-queries.count() * READ // (ASKED * len(pivots))))
+    members = (posts.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks).cast("int"))
+               .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
     reads = (queries.select("query", "vec", F.explode(F.slice("near", 1, READ)).alias("pivot")).withColumn("blocks", blocks).where("blocks > 0")
-             .select("query", "vec", "pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
+             .select("query", "vec", "pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+                     F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int").alias("part")))
 
     def rank(key: tuple, own: pa.Table, asking: pa.Table) -> pa.Table:
         found: list[tuple] = []
@@ -145,15 +151,19 @@ def search(vectors: DataFrame, every: int = 50, wanted: int = 5, vec_id: str = "
         return _found(found)
 
     schema = "query long, vec_id long, score double"
-    ranked = materialize(members.select("pivot", "block", "vec_id", "vec").groupBy("pivot", "block").cogroup(reads.groupBy("pivot", "block")).applyInArrow(rank, schema), "ann-found")
+    key = ("pivot", "block", "part")
+    ranked = materialize(members.select(*key, "vec_id", "vec").groupBy(*key).cogroup(reads.groupBy(*key)).applyInArrow(rank, schema), "ann-found")
     total = entries.count()
     enough = ranked.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= min(depth, total))
     short = materialize(queries.join(enough, "query", "left_anti").select("query", "vec"), "ann-short")
     if short.limit(1).count():
-        parts = -(-total // BLOCK)
-        everything = entries.select("vec_id", "vec", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).alias("block"))
-        again = short.select("query", "vec", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("bigint").alias("block"))
-        ranked = ranked.join(short, "query", "left_anti").unionByName(everything.groupBy("block").cogroup(again.groupBy("block")).applyInArrow(exact, schema))
+        cut, dealt = -(-total // BLOCK), max(1, -(-short.count() // ASKED))
+        everything = entries.select("vec_id", "vec", F.pmod(F.xxhash64("vec_id"), F.lit(cut)).alias("block"),
+                                    F.explode(F.sequence(F.lit(0), F.lit(dealt - 1))).alias("part"))
+        again = short.select("query", "vec", F.explode(F.sequence(F.lit(0), F.lit(cut - 1))).cast("bigint").alias("block"),
+                             F.pmod(F.xxhash64("query"), F.lit(dealt)).cast("int").alias("part"))
+        ranked = ranked.join(short, "query", "left_anti").unionByName(
+            everything.groupBy("block", "part").cogroup(again.groupBy("block", "part")).applyInArrow(exact, schema))
 
     best = W.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     top = ranked.withColumn("place", F.row_number().over(best)).where(F.col("place") <= depth)
