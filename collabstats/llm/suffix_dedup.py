@@ -291,8 +291,18 @@ def _compare(strings: DataFrame) -> DataFrame:
         held = 0
 
         def done() -> pa.RecordBatch:
-            members = sorted((x for g in groups.values() if len(g) > 1 for x in g), key=lambda x: (x[0], x[1]))
-            rids, begins, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            # equal strings of a key: the later ones are repeated whole, and only one goes into the construction
+            members, copies = [], []
+            for group in groups.values():
+                first: dict[bytes, tuple[int, int, bytes]] = {}
+                for x in sorted(group, key=lambda x: x[:2]):
+                    if first.setdefault(x[2], x) is not x:
+                        copies.append(x)
+                if len(first) > 1:
+                    members += first.values()
+            members.sort(key=lambda x: x[:2])
+            whole = [np.fromiter((f(x) for x in copies), np.int64, len(copies)) for f in (lambda x: x[0], lambda x: x[1], lambda x: x[1] + len(x[2]))]
+            rids, begins, ends = ([w] for w in whole)
             if members:
                 sizes = np.fromiter((len(x[2]) for x in members), np.int64, len(members))
                 marks = repeated_starts([x[2] for x in members])
@@ -304,8 +314,11 @@ def _compare(strings: DataFrame) -> DataFrame:
                     at = marks - offsets[own] + start[own]
                     cut = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1)]))
                     last = np.append(cut[1:], len(at)) - 1
-                    rids, begins, ends = [rid[own[cut]]], [at[cut]], [at[last] + LENGTH]
-            return pa.RecordBatch.from_arrays([pa.array(rids[0]), pa.array(begins[0].astype(np.int32)), pa.array(ends[0].astype(np.int32))], names=["rid", "start", "end"])
+                    rids.append(rid[own[cut]])
+                    begins.append(at[cut])
+                    ends.append(at[last] + LENGTH)
+            rids, begins, ends = (np.concatenate(x) for x in (rids, begins, ends))
+            return pa.RecordBatch.from_arrays([pa.array(rids), pa.array(begins.astype(np.int32)), pa.array(ends.astype(np.int32))], names=["rid", "start", "end"])
 
         for batch in batches:
             for key, rid, start, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
