@@ -172,7 +172,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) ->
             yield done(pa.Table.from_batches(held))
 
     distinct = prints.select("simhash").distinct()
-    spread = distinct.repartition(partitions(prints.sparkSession), "simhash")  # each row becomes 64
+    # each row becomes 64; by a key of its own, or Spark would take distinct's few coalesced partitions for these
+    spread = distinct.repartition(partitions(prints.sparkSession), F.xxhash64("simhash"))
     keyed = spread.mapInArrow(expand, "variant short, rest long, simhash long")
     sizes = keyed.groupBy("variant", "rest").agg(F.count("*").alias("n")).where("n > 1")
     pieces = F.ceil(F.col("n") / bucket).cast("int")

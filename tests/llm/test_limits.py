@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from collabstats.llm import byte_cnn, lattice_lm, permutation_index, suffix_dedup
+from collabstats.llm import byte_cnn, lattice_lm, permutation_index, simhash, suffix_dedup
 from collabstats.llm import queries as Q
 from tests.llm.conftest import SMALL
 
@@ -111,6 +111,14 @@ def test_quality_sample_is_bounded_in_bytes(spark, monkeypatch):
     assert byte_cnn.train(docs, labels)["share"] == 0.0
 
 
+def test_fingerprints_expand_in_all_partitions(spark):
+    from pyspark.sql import functions as F
+
+    prints = spark.range(500).select(F.xxhash64("id").alias("simhash"))
+    plan = simhash.links(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(xxhash64(simhash" in plan
+
+
 def test_equal_strings_of_a_key_are_removed_whole(spark):
     """Passages that meet again with equal and with other surroundings, against every string by itself."""
     rng = random.Random(9)
