@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from collabstats.functions.numeric import round_half_even
 from collabstats.operators.credit import credit_cells
 from collabstats.operators.expand import expand_countries, expand_country_sector
+from collabstats.operators.ranking import numbered, top_with_ties
 from collabstats.operators.skew import keep
 from collabstats.plans.report import contributions, order_rows, pivot_years, recode, year_sums
 from collabstats.schemas import (
@@ -82,6 +83,36 @@ def new_repos_by_sector_year(first_commits: DataFrame, users: DataFrame, years:
     return order_rows(report, "sector", SECTOR_ROW_ORDER)
 
 
+def country_cube(first_commits: DataFrame, users: DataFrame, missing: str = MISSING,
+                 hot_rows: int | DataFrame | None = None, commits_distinct: bool = False) -> DataFrame:
+    """(is_total, country_val, year, credit): the sums of which C17 is made."""
+    ux = expand_countries(users, missing, out="country_val")
+    cells = _first_year_cells(first_commits, ux, ["country_val"], [missing], hot_rows, commits_distinct)
+    return cells.groupBy("is_total", "country_val", "year").agg(F.sum("credit").alias("credit"))
+
+
+def countries_of_cube(cube: DataFrame, years: Sequence[int] = REPORT_YEARS, top_n: int = 10, missing: str = MISSING) -> DataFrame:
+    """C17 from a written `country_cube`.
+
+    The same report as `new_repos_by_country_year`, for any number of ties: the top countries are those from the
+    n-th score up (`ranking.top_with_ties`), their rows are numbered in parts (`ranking.numbered`), and no
+    task sees all of them.  The cube is read several times, which is why it should be written.
+    """
+    scores = cube.where(~F.col("is_total") & (F.col("country_val") != missing)) \
+        .groupBy("country_val").agg(F.round(F.sum("credit"), 6).alias("_score"))
+    leaders = numbered(top_with_ties(scores, "_score", top_n), [-F.col("_score"), F.col("country_val")], "_pos")
+    country, placed = F.col("country_val"), F.col("_pos").isNotNull()
+    labels = (
+        F.when(F.col("is_total"), contributions(("Total Repos", 0)))
+        .when(country == missing, contributions(("Total (Missing Country)", 1_000_001)))
+        .when(placed, contributions((country, F.col("_pos") + 1), ("Total (Any Country)", 1)))
+        .otherwise(contributions(("All Other Countries", 1_000_000), ("Total (Any Country)", 1)))
+    )
+    rows = cube.join(leaders.select("country_val", "_pos"), "country_val", "left").select("year", "credit", F.explode(labels).alias("_l"))
+    wide = rows.groupBy(F.col("_l.label").alias("country"), F.col("_l.row_order").alias("row_order")).agg(*year_sums("credit", "year", years))
+    return wide.select("country", *[round_half_even(str(y)).alias(str(y)) for y in years], "row_order")
+
+
 def new_repos_by_country_year(first_commits: DataFrame, users: DataFrame, years: Sequence[int] = REPORT_YEARS,
                               top_n: int = 10, missing: str = MISSING, hot_rows: int | DataFrame | None = None,
                               commits_distinct: bool = False, buckets: int = 256) -> DataFrame:
@@ -97,9 +128,7 @@ def new_repos_by_country_year(first_commits: DataFrame, users: DataFrame, years:
     row, and the final ranking sees at most about buckets x (n + 1) rows
     however many country strings the users wrote.
     """
-    ux = expand_countries(users, missing, out="country_val")
-    cells = _first_year_cells(first_commits, ux, ["country_val"], [missing], hot_rows, commits_distinct)
-    cube = cells.groupBy("is_total", "country_val", "year").agg(F.sum("credit").alias("credit"))
+    cube = country_cube(first_commits, users, missing, hot_rows, commits_distinct)
     per_country = cube.groupBy("is_total", "country_val").agg(
         F.sum("credit").alias("overall"), *year_sums("credit", "year", years)
     )

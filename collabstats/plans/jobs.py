@@ -33,6 +33,8 @@ from collabstats.operators.commits import (
     years_to_rows,
 )
 from collabstats.operators.fractional import (
+    countries_of_cube,
+    country_cube,
     fractional_repos_by_country,
     new_repos_by_country_year,
     new_repos_by_sector_year,
@@ -299,10 +301,13 @@ def _agency_counts(spark: SparkSession, prepared: Prepared) -> DataFrame:
 
 def prepare_reports(spark: SparkSession, prepared: Prepared, year: int) -> Prepared:
     """The joins that several reports share, written once: the year's countries per branch (C10 twice, C11) and
-    the agencies' pairs per first year (C13, C14), whose few rows also tell the year columns."""
+    the agencies' pairs per first year (C13, C14), whose few rows also tell the year columns;
+    and the countries' credit by year, in which C17 looks for its top countries."""
     write_parquet(_branch_countries(spark, prepared, year), prepared.path(f"branch_countries_{year}"))
     write_parquet(_agency_counts(spark, prepared), prepared.path("agency_counts"))
-    return prepared.having(f"branch_countries_{year}", "agency_counts")
+    write_parquet(country_cube(prepared.read(spark, "commits_first"), prepared.read(spark, "users_clean"), commits_distinct=True,
+                               **_salting(spark, prepared, "commits_first")), prepared.path("country_cube"))
+    return prepared.having(f"branch_countries_{year}", "agency_counts", "country_cube")
 
 
 def report_builders(spark: SparkSession, prepared: Prepared, year: int,
@@ -332,7 +337,8 @@ def report_builders(spark: SparkSession, prepared: Prepared, year: int,
         "fractional_by_country": lambda: fractional_repos_by_country(yearly(), users(), year, **y),
         "top_institutions": lambda: top_institutions(first(), users(), **h),
         "sectors_by_year": lambda: new_repos_by_sector_year(first(), users(), years, **f),
-        "countries_by_year": lambda: new_repos_by_country_year(first(), users(), years, **f),
+        "countries_by_year": lambda: countries_of_cube(prepared.read(spark, "country_cube"), years) if "country_cube" in prepared.tables
+        else new_repos_by_country_year(first(), users(), years, **f),
         "agency_new_by_year": lambda: agency_years_of(agencies()),
         "agency_totals": lambda: agency_totals_of(agencies()),
     }

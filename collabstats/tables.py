@@ -23,6 +23,7 @@ from collabstats.operators.commits import (
     yearly_commits,
     years_to_rows,
 )
+from collabstats.operators.fractional import countries_of_cube, country_cube
 from collabstats.operators.merge import merge_commits, merge_users
 from collabstats.plans.incremental import add_year
 from collabstats.plans.jobs import Prepared, RawInputs, prepare_primary, report_builders
@@ -103,6 +104,12 @@ def fractional_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_builders(spark, prepared, PRODUCTION_YEAR)["fractional_by_country"]()
 
 
+def countries_from_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C17 from its written sums, by a threshold instead of a ranking of all countries."""
+    cube = country_cube(commits_first(spark, sf_dir), users(spark, sf_dir), commits_distinct=True)
+    return countries_of_cube(scan(spark, write_parquet(cube, shared_folder(spark))))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for round trips, under the folder that the session shares: `spark.checkpoint.dir`, or the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
