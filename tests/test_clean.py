@@ -71,6 +71,37 @@ def test_rule_order_and_case(spark):
     assert got["l7"] == ("General Services Administration", True)
 
 
+#: An organisation of each agency, and whether its rule reads over the case of letters (stated here by hand, not taken from the rules).
+EACH_AGENCY = [
+    ("Department of Agriculture", "USDA Forest Service", True),
+    ("Department of Commerce", "US Patent and Trademark Office", True),
+    ("Department of the Interior", "National Park Service", True),
+    ("Department of Defense", "Department of Defense", True),
+    ("Department of Energy", "Oak Ridge", True),
+    ("Department of Health and Human Services", "National Institutes of Health", False),
+    ("Department of Homeland Security", "USCIS", False),
+    ("Department of Justice", "Unicor", True),
+    ("Department of Labor", "Bureau of Labor Statistics", True),
+    ("Department of Transportation", "NHTSA", False),
+    ("Department of Veterans Affairs", "Department of Veterans Affairs", True),
+    ("Environmental Protection Agency", "US Environmental Protection Agency", True),
+    ("Federal Election Commission", "Federal Election Commission", True),
+    ("General Services Administration", "General Services Administration", False),
+    ("National Aeronautics and Space Administration", "National Aeronautics and Space Administration", False),
+    ("National Science Foundation", "US National Science Foundation", False),
+    ("Office of Personnel Management", "OPM", False),
+    ("Social Security Administration", "Social Security Administration", False),
+    ("Department of State", "US Department of State", False),
+]
+
+
+def test_every_agency_has_its_rule(spark):
+    got = _classify(spark, [(org.swapcase() if swap else org, "United States") for swap in (False, True) for _, org, _ in EACH_AGENCY])
+    for i, (agency, _, any_case) in enumerate(EACH_AGENCY):
+        assert got[f"l{i}"] == (agency, True)
+        assert got[f"l{len(EACH_AGENCY) + i}"] == ((agency, True) if any_case else (None, False)), agency
+
+
 def test_country_filter_and_binds_first(spark):
     got = _classify(spark, [
         (None, "United States of America"),   # kept without org (P17), no agency
