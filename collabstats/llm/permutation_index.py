@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from collabstats.llm.common import materialize
 
 #: Bounded sample that the index is fitted on; files that a vector is posted in, and that a query reads.
-PIVOTS, POSTED, READ = 256, 10, 16
+PIVOTS, POSTED, READ = 256, 10, 20
 #: Part of a file's block that is reranked, and its least number of vectors; vectors and queries in a block.
 SHARE, LEAST, BLOCK, ASKED = 0.25, 64, 8192, 32_768
 #: Cosines closer than this are compared by the exact formula.
