@@ -1,6 +1,6 @@
 """Mixing sources to target weights, in DataFrame operations only.
 
-The words of a source, its documents in order of id, are packed into blocks of fixed length.  Targets follow the
+The words of a source, its documents in order of a hash bucket and then id, are packed into blocks of fixed length.  Targets follow the
 sources' weights; a target stops at ``LIMIT`` times its source's size and the excess is shared again by weight.  A
 source's target becomes a number of block slots; dealing the slots independently to the output shards is one
 multinomial draw of the source's counts per shard, conditional on its total, so the totals meet the targets.  Slot
