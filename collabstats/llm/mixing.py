@@ -1,16 +1,17 @@
 """Mixing sources to target weights, in DataFrame operations only.
 
-The words of a source, its documents in order of a hash bucket and then id, are packed into blocks of fixed length.  Targets follow the
+The words of a source, its documents in order of a hash bucket (of id and text) and then id, are packed into blocks of fixed length.  Targets follow the
 sources' weights; a target stops at ``LIMIT`` times its source's size and the excess is shared again by weight.  A
 source's target becomes a number of block slots; dealing the slots independently to the output shards is one
 multinomial draw of the source's counts per shard, conditional on its total, so the totals meet the targets.  Slot
 ``k`` of a source reads block ``perm(k mod blocks)`` of epoch ``k div blocks``, where every epoch of every source has
 a pseudorandom permutation of its own (a swap-or-not shuffle, a bijection for any number of blocks).  Picked blocks
-then join the texts' packed blocks by index; the joined rows are the mix, written to the shared folder, and what it
-takes of a document is counted in them.
+then join the texts' packed blocks by index; the joined rows, each with the slots that read it, are the mix, written to
+the shared folder, and what it takes of a document is counted in them.
 
 Scale: offsets inside a source come from about sqrt(rows) buckets of its documents (running sums inside buckets and
 over buckets), so no task holds a source; slots are made in chunks; the only rows in one task are one row per source.
+Texts are shuffled once, to their bucket, where the picks of the bucket's blocks meet them.
 
 Edge cases: a null source is a source, the last; a null or blank text has size 0 and takes 0; equal rows are placed
 one after the other and each gets its share; with no words at all every target is 0; an empty table gives an empty
@@ -91,11 +92,12 @@ def slots(sources: DataFrame, seed: int = SEED) -> DataFrame:
         permuted(k % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("skey"), epoch).alias("block"))
 
 
-def plan(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents with their place in their source, the same with their texts, and the slots."""
+def plan(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> tuple[DataFrame, DataFrame, Column, DataFrame]:
+    """Documents with their place in their source; the sources' buckets in order, with what their source has; the bucket
+    of a row of ``sizes``; and the slots."""
     rows = materialize(sizes(docs).drop("text"), "mix-sizes")
     buckets = max(1, isqrt(rows.count()))
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64("doc_id", "print"), F.lit(buckets))
     rows = rows.withColumn("bucket", bucket)
     parts = materialize(rows.groupBy("skey", "bucket").agg(F.sum("size").alias("words"), F.first("source").alias("source")), "mix-buckets")
     totals = parts.groupBy("skey").agg(F.sum("words").alias("source_size"), F.first("source").alias("source"))
@@ -104,15 +106,16 @@ def plan(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> tuple[DataFra
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sources = materialize(sources.withColumn("slots", F.round(share * F.col("blocks")).cast("bigint")), "mix-sources")
     earlier = F.sum("words").over(W.partitionBy("skey").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1))
-    offsets = (parts.withColumn("offset", F.coalesce(earlier, F.lit(0))).drop("words", "source")
-               .join(sources.select("skey", "source_size", "target", "length"), "skey"))
-    within = F.sum("size").over(W.partitionBy("skey", "bucket").orderBy("doc_id", "size", "print").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
+    offsets = (parts.withColumn("offset", F.coalesce(earlier, F.lit(0))).drop("source")
+               .join(sources.select("skey", "source", "source_size", "target", "length"), "skey"))
+    placed = place(rows.drop("source"), offsets).select("doc_id", "source", "skey", "size", "print", "source_size", "target", "length", "start")
+    return placed, offsets, bucket, slots(sources, seed)
 
-    def place(rows: DataFrame, *columns: str) -> DataFrame:
-        placed = rows.withColumn("within", within).join(offsets, ["skey", "bucket"]).withColumn("start", F.col("offset") + F.col("within"))
-        return placed.select("doc_id", "source", "skey", "size", "print", "source_size", "target", "length", "start", *columns)
 
-    return place(rows), place(sizes(docs).withColumn("bucket", bucket), "text"), slots(sources, seed)
+def place(rows: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``rows`` of ``sizes`` with their bucket's columns and ``start``, the number of words of their source before them."""
+    within = F.sum("size").over(W.partitionBy("skey", "bucket").orderBy("doc_id", "size", "print").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
+    return rows.withColumn("within", within).join(offsets, ["skey", "bucket"]).withColumn("start", F.col("offset") + F.col("within"))
 
 
 def pieces(placed: DataFrame) -> tuple[DataFrame, Column, Callable[[Column], Column], Callable[[Column], Column]]:
@@ -122,43 +125,65 @@ def pieces(placed: DataFrame) -> tuple[DataFrame, Column, Callable[[Column], Col
     return placed.where("size > 0"), F.sequence(first, last), lambda b: F.greatest(b * F.col("length"), "start"), lambda b: F.least((b + 1) * F.col("length"), end)
 
 
-def pack(texts: DataFrame) -> DataFrame:
-    """One row per block: ``skey``, ``block``, ``source``, ``words`` (as a text, by single spaces) and ``parts``, in order:
-    the documents' ``doc_id``, ``start`` (place of the document in its source), ``first`` (place of the part) and ``n`` words."""
-    rows, numbers, begin, end = pieces(texts)
+def picks(offsets: DataFrame, dealt: DataFrame) -> DataFrame:
+    """One row per bucket and picked block that has words in it: ``skey``, ``bucket``, ``block``, ``slots`` (``slot`` and ``shard``
+    of each, at most ``LIMIT`` and one) and ``whole``, whether no other bucket has words of the block."""
+    length, end = F.col("length"), F.col("offset") + F.col("words")
+    held = offsets.where("words > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("offset") / length), F.floor((end - 1) / length))))
+    whole = (F.col("block") * length >= F.col("offset")) & (F.least((F.col("block") + 1) * length, "source_size") <= end)
+    of_block = dealt.groupBy("skey", "block").agg(F.collect_list(F.struct("slot", "shard")).alias("slots"))
+    # sizes after explode are not estimated: without the hint a small-looking side would be broadcast
+    return held.select("skey", "bucket", "block", whole.alias("whole")).join(of_block.hint("merge"), ["skey", "block"])
+
+
+def pack(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Documents with their place, and the picked blocks: ``skey``, ``block``, ``source``, ``slots``, ``words`` (as a text, by single
+    spaces) and ``parts``, in order: the documents' ``doc_id``, ``start`` (place of the document in its source), ``first``
+    (place of the part) and ``n`` words.
+
+    Texts and picks meet in their bucket, by the one shuffle of the texts: there rows are placed, cut and packed.  Only
+    the blocks that a bucket shares with the next ones are put together from their written halves.
+    """
+    placed, offsets, bucket, dealt = plan(docs, seed, block)
+    texts = sizes(docs).where("size > 0").withColumn("bucket", bucket).drop("source")
+    met = place(texts.unionByName(picks(offsets, dealt).withColumn("size", F.lit(0).cast("bigint")), allowMissingColumns=True), offsets)
+    _, numbers, begin, end = pieces(met)
 
     def part(b: Column, words: Column) -> Column:
         n = end(b) - begin(b)
         cut = F.slice(words, (begin(b) - F.col("start") + 1).cast("int"), n.cast("int"))
-        return F.struct(b.alias("block"), begin(b).alias("first"), n.alias("n"), F.array_join(cut, " ").alias("words"))
+        return F.struct(b.alias("block"), F.struct(begin(b).alias("first"), "doc_id", "start", n.alias("n"), F.array_join(cut, " ").alias("words")).alias("part"))
 
     # the text is cut into words once, as the only element of an array, not once per block
     cut = F.flatten(F.transform(F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), lambda words: F.transform(numbers, lambda b: part(b, words))))
-    cuts = rows.select("skey", "source", "doc_id", "start", F.explode(cut).alias("cut"))
-    parts = F.sort_array(F.collect_list(F.struct("cut.first", "doc_id", "start", "cut.n", "cut.words")))
-    packed = cuts.groupBy("skey", "cut.block").agg(F.first("source").alias("source"), parts.alias("parts"))
+    pick = F.array(F.struct("block", F.lit(None).alias("part")))
+    cuts = met.select("skey", "bucket", "source", "slots", "whole", F.explode(F.when(F.col("size") > 0, cut).otherwise(pick)).alias("cut"))
+    packed = (cuts.groupBy("skey", "bucket", "cut.block")
+              .agg(F.first("source").alias("source"), F.first("slots", ignorenulls=True).alias("slots"), F.first("whole", ignorenulls=True).alias("whole"),
+                   F.sort_array(F.collect_list("cut.part")).alias("parts")).where("slots is not null"))
     told = F.transform("parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["start"].alias("start"), p["first"].alias("first"), p["n"].alias("n")))
-    return packed.select("skey", "block", "source", F.array_join("parts.words", " ").alias("words"), told.alias("parts"))
+    own = ["skey", "block", "source", "slots"]
+    written = materialize(packed.select(*own, "whole", F.array_join("parts.words", " ").alias("words"), told.alias("parts")), "mix-blocks")
+    halves = F.sort_array(F.collect_list(F.struct(F.col("parts")[0]["first"].alias("first"), "words", "parts")))
+    shared = (written.where("not whole").groupBy("skey", "block")
+              .agg(F.first("source").alias("source"), F.first("slots").alias("slots"), halves.alias("halves"))
+              .select(*own, F.array_join("halves.words", " ").alias("words"), F.flatten("halves.parts").alias("parts")))
+    return placed, written.where("whole").drop("whole").unionByName(materialize(shared, "mix-shared"))
 
 
 def blocks(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """The mix itself, one row per slot: ``shard``, ``slot`` (its number in its source), ``skey``, ``source``, ``block``,
     ``words`` and ``parts`` (as of ``pack``)."""
-    return _blocks(*plan(docs, seed, block)[1:])
-
-
-def _blocks(texts: DataFrame, dealt: DataFrame) -> DataFrame:
-    # sizes after explode are not estimated: without the hint a small-looking side would be broadcast
-    joined = pack(texts).join(dealt.hint("merge"), ["skey", "block"])
-    return materialize(joined.select("shard", "slot", "skey", "source", "block", "words", "parts"), "mix-blocks")
+    dealt = pack(docs, seed, block)[1].withColumn("own", F.explode("slots"))
+    return dealt.select("own.shard", "own.slot", "skey", "source", "block", "words", "parts")
 
 
 def mix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """``doc_id``, ``source``, ``size``, ``source_size``, ``target`` and ``taken`` (words that the mix takes) of every row,
-    counted in the rows of ``blocks``, which are written first."""
-    placed, texts, dealt = plan(docs, seed, block)
-    parts = _blocks(texts, dealt).select("skey", F.explode("parts").alias("part"))
-    taken = parts.groupBy("skey", F.col("part.start").alias("start")).agg(F.sum("part.n").alias("taken"))
+    counted in the written blocks, each as often as slots read it."""
+    placed, packed = pack(docs, seed, block)
+    parts = packed.select("skey", F.size("slots").alias("times"), F.explode("parts").alias("part"))
+    taken = parts.groupBy("skey", F.col("part.start").alias("start")).agg(F.sum(F.col("part.n") * F.col("times")).alias("taken"))
     out = ["doc_id", "source", "size", "source_size", "target"]
     found = placed.where("size > 0").join(taken.hint("merge"), ["skey", "start"], "left").select(*out, F.coalesce("taken", F.lit(0)).alias("taken"))
     return found.unionByName(placed.where("size = 0").select(*out, F.lit(0).cast("bigint").alias("taken")))
@@ -166,12 +191,12 @@ def mix(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
 
 def takings(docs: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """What ``mix`` counts, of every row with words, told by block numbers alone, without the texts; with ``skey`` and ``print``."""
-    placed, _, dealt = plan(docs, seed, block)
-    picks = dealt.groupBy("skey", "block").agg(F.count("*").alias("times"))
+    placed, _, _, dealt = plan(docs, seed, block)
+    times = dealt.groupBy("skey", "block").agg(F.count("*").alias("times"))
     rows, numbers, begin, end = pieces(placed)
     cuts = rows.withColumn("block", F.explode(numbers)).withColumn("words", end(F.col("block")) - begin(F.col("block")))
     row = ["skey", "start", "doc_id", "source", "size", "print", "source_size", "target"]
-    return (cuts.join(picks.hint("merge"), ["skey", "block"], "left")
+    return (cuts.join(times.hint("merge"), ["skey", "block"], "left")
             .groupBy(*row).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken")))
 
 
