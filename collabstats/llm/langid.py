@@ -248,3 +248,14 @@ SPANS = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), (
 def accepted(name: Column, score: Column, least: float = 0.34) -> Column:
     """What a language filter keeps: texts with a known language that holds at least ``least`` of their letters."""
     return (name != UNKNOWN) & (score >= least)
+
+
+def learned_share(text: Column, model: tuple[list[str], np.ndarray, np.ndarray]) -> Column:
+    """Part of a text's letters whose script some language was learned with; 0 for a null text or one without letters."""
+    ends = [start for start, _ in SCRIPTS[1:]] + [0x110000]
+    learned = model[2].any(axis=1)
+    ranges = "".join(f"\\x{{{start:X}}}-\\x{{{end - 1:X}}}" for (start, s), end in zip(SCRIPTS, ends, strict=True) if learned[s])
+    if not ranges:
+        return F.lit(0.0)
+    letters, own = F.regexp_count(text, F.lit(r"\p{L}")), F.regexp_count(text, F.lit(rf"[\p{{L}}&&[{ranges}]]"))
+    return F.coalesce(own / F.nullif(letters, F.lit(0)), F.lit(0.0))

@@ -5,8 +5,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from collabstats.llm import byte_cnn, lattice_lm, permutation_index, simhash, suffix_dedup
+import corpus_pipeline
+from collabstats.llm import byte_cnn, langid, lattice_lm, mixing, permutation_index, simhash, suffix_dedup
 from collabstats.llm import queries as Q
 from tests.llm.conftest import SMALL
 
@@ -135,3 +137,30 @@ def test_equal_strings_of_a_key_are_removed_whole(spark):
         want[i] = "".join(c for k, c in enumerate(t) if k not in covered)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
     assert {r.doc_id: r.kept.decode() for r in suffix_dedup.remove_repeats(docs).collect()} == want
+
+
+def test_language_filter_rejects_scripts_that_were_not_learned(spark):
+    rows = [(i, t, lang, "a", None) for i, (t, lang) in enumerate([("the house and the garden", "en"), ("der hund und die katze", "de")] * 30)]
+    made = ["мир и привет всем людям", "漢字仮名交じり文", "η γάτα και ο σκύλος", "the house and the γάτα", "der hund мир привет всем людям и и и", None, "12 34"]
+    docs = spark.createDataFrame(rows + [(1000 + i, t, None, "b", None) for i, t in enumerate(made)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.languages(spark, docs, "").collect()}
+    assert set(range(60)) <= set(kept) and {i: v for i, v in kept.items() if i >= 1000} == {1003: "en"}
+
+
+def test_letters_of_learned_scripts(spark):
+    learned = np.zeros((16, 2), bool)
+    learned[1, 0] = learned[3, 1] = True   # Latin and Cyrillic
+    rows = spark.createDataFrame([("ab мир",), ("ab \u00e9 γ",), ("漢字",), ("1 2",), (None,), ("\U0001F600 x",)], "text string")
+    model = (["en", "ru"], None, learned)
+    assert [r[0] for r in rows.select(langid.learned_share(F.col("text"), model)).collect()] == [1.0, 0.75, 0.0, 0.0, 0.0, 1.0]
+    none = (["en"], None, np.zeros((16, 1), bool))
+    assert {r[0] for r in rows.select(langid.learned_share(F.col("text"), none)).collect()} == {0.0}
+
+
+def test_rows_without_ids_lie_in_many_buckets_of_the_mix(spark):
+    rows = [(None, f"w{i} " * 20, "a") for i in range(400)] + [(7, f"v{i} " * 20, "a") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    _, offsets, _, _ = mixing.plan(docs)
+    assert offsets.count() > 20 and offsets.agg(F.max("words")).first()[0] < 16000 // 4
+    told = mixing.mix(docs).collect()
+    assert len(told) == 800 and sum(r.taken for r in told) == pytest.approx(16000, rel=0.01)
