@@ -19,12 +19,13 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents with a known language; a document without a language of its own gets the predicted one.
 
+    Letters of scripts that no language was learned with belong to no language, so texts in such a script are rejected.
     Null and empty texts and texts without letters are rejected; repeated rows and null ids are judged by their text like any
     other; no documents give none; columns beyond those of documents go.
     """
     model = langid.train(docs.where(~crc_is_one(F.col("doc_id"), 3)))
     told = langid.predict(docs, model, keep=COLUMNS)
-    kept = told.where(langid.accepted(F.col("lang_pred"), F.col("score")))
+    kept = told.where(langid.accepted(F.col("lang_pred"), F.col("score") * langid.learned_share(F.col("text"), model)))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
