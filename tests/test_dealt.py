@@ -1,0 +1,48 @@
+"""Work and memory of tasks that grew with the input: joins dealt by their rows, sources that are computed once."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from collabstats import tables
+from collabstats.operators import skew
+from collabstats.operators.commits import with_branch_year
+from collabstats.operators.fractional import country_cube, new_repos_by_country_year, new_repos_by_sector_year
+from collabstats.plans.incremental import first_from
+from collabstats.plans.jobs import RawInputs, prepare_primary
+from collabstats.sources import adapter
+from tests.conftest import SF001, first_df
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 10)
+    cores = spark.sparkContext.defaultParallelism
+    assert [skew.tasks_for(spark.range(n)) for n in (0, 10)] == [None, None]
+    assert skew.tasks_for(spark.range(11)) == max(2, cores)
+    assert skew.tasks_for(spark.range(100 * cores)) == 10 * cores
+    monkeypatch.setattr(skew, "TASKS", 4)
+    assert skew.tasks_for(spark.range(1000)) == 4
+
+
+@pytest.mark.parametrize("report", [new_repos_by_sector_year, new_repos_by_country_year, country_cube])
+def test_first_year_reports_are_dealt_by_rows(spark, monkeypatch, report):
+    first, users = tables.commits_first(spark, SF001), tables.users(spark, SF001)
+    want = report(first, users, commits_distinct=True)
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    got = tables.first_year_report(report, first, users)
+    tasks = -(-first.count() // 100)
+    dealt = re.findall(r"hashpartitioning\((\w+)#\d+.*?, (\d+)\), REPARTITION_BY_NUM", _plan(got))
+    assert sorted(dealt) == [("author_id", str(tasks)), ("branch", str(tasks))]
+    sums = "credit" if "credit" in want.columns else None
+    same = (lambda df: _rows(df.withColumn(sums, F.round(sums, 6)))) if sums else _rows
+    assert same(got) == same(want)
