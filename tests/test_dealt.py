@@ -46,3 +46,10 @@ def test_first_year_reports_are_dealt_by_rows(spark, monkeypatch, report):
     sums = "credit" if "credit" in want.columns else None
     same = (lambda df: _rows(df.withColumn(sums, F.round(sums, 6)))) if sums else _rows
     assert same(got) == same(want)
+
+
+def test_branch_years_are_dealt_by_rows(spark):
+    first = first_df(spark, [(None if i % 9 == 0 else f"b{i % 40}", i, 2009 + i % 12) for i in range(300)])
+    dealt = with_branch_year(first, tasks=23)
+    assert re.search(r"hashpartitioning\(_branch#.*, 23\), REPARTITION_BY_NUM", _plan(dealt))
+    assert _rows(dealt) == _rows(with_branch_year(first))
