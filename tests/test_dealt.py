@@ -53,3 +53,11 @@ def test_branch_years_are_dealt_by_rows(spark):
     dealt = with_branch_year(first, tasks=23)
     assert re.search(r"hashpartitioning\(_branch#.*, 23\), REPARTITION_BY_NUM", _plan(dealt))
     assert _rows(dealt) == _rows(with_branch_year(first))
+
+
+@pytest.mark.parametrize("name", ["sectors_by_year", "countries_by_year", "countries_by_year_cube", "sectors_by_year_prepared",
+                                  "countries_by_year_prepared"])
+def test_reports_read_written_commits(spark, name):
+    """The join and the count of hot authors read a table; neither computes the commits again."""
+    files = entry.queries()[name](spark, SF001).inputFiles()
+    assert files and not any("lineitem" in f for f in files)
