@@ -61,3 +61,20 @@ def test_reports_read_written_commits(spark, name):
     """The join and the count of hot authors read a table; neither computes the commits again."""
     files = entry.queries()[name](spark, SF001).inputFiles()
     assert files and not any("lineitem" in f for f in files)
+
+
+def test_an_added_year_joins_nothing(spark):
+    """Pairs of earlier years leave by the minimum that is taken anyway."""
+    state = prepare_primary(spark, RawInputs(adapter.raw_users(spark, SF001), adapter.raw_commits(spark, SF001)),
+                            tables.shared_folder(spark), incremental=True)
+    later = first_from(state, spark, 2012)
+    assert "Join" not in _plan(later)
+    want = state.read(spark, "commits_first").where("min_commit_year >= 2012").select(*later.columns)
+    assert _rows(later) == _rows(want) and later.count() > 0
+
+
+def test_an_incremental_run_joins_its_source_once(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(tables, "prepare_primary", lambda s, raw, *a, **k: given.append(raw.commits) or prepare_primary(s, raw, *a, **k))
+    tables.commits_first_incremental(spark, SF001)
+    assert not any("lineitem" in f for f in given[0].inputFiles())
