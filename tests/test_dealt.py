@@ -63,6 +63,14 @@ def test_reports_read_written_commits(spark, name):
     assert files and not any("lineitem" in f for f in files)
 
 
+@pytest.mark.parametrize("scan", [tables.year_folder_round_trip, tables.drifting_years_scan])
+def test_year_folders_come_from_one_computation(spark, monkeypatch, scan):
+    read, write = [], tables.write_parquet
+    monkeypatch.setattr(tables, "write_parquet", lambda df, path: read.append(any("lineitem" in f for f in df.inputFiles())) or write(df, path))
+    scan(spark, SF001)
+    assert len(read) == 8 and sum(read) == 1
+
+
 def test_an_added_year_joins_nothing(spark):
     """Pairs of earlier years leave by the minimum that is taken anyway."""
     state = prepare_primary(spark, RawInputs(adapter.raw_users(spark, SF001), adapter.raw_commits(spark, SF001)),
