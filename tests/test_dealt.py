@@ -63,6 +63,12 @@ def test_reports_read_written_commits(spark, name):
     assert files and not any("lineitem" in f for f in files)
 
 
+def test_merged_commits_are_computed_once(spark):
+    merged = tables.commits_merged_written(spark, SF001)
+    assert not any("lineitem" in f for f in merged.inputFiles())
+    assert _rows(merged) == _rows(tables.commits_merged(spark, SF001))
+
+
 @pytest.mark.parametrize("scan", [tables.year_folder_round_trip, tables.drifting_years_scan])
 def test_year_folders_come_from_one_computation(spark, monkeypatch, scan):
     read, write = [], tables.write_parquet
